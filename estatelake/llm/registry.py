@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from estatelake.llm import line_dedup
+from estatelake.llm import line_dedup, mixing
 
 
 def queries() -> dict:
@@ -10,9 +10,10 @@ def queries() -> dict:
 
     return {
         "op1_line_dedup": line_dedup.op1_line_dedup,
+        "op10_mix_sources": mixing.op10_mix_sources,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": line_dedup.ORACLE}
+    return {"op1_line_dedup": line_dedup.ORACLE, "op10_mix_sources": mixing.ORACLE}
