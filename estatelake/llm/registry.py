@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from estatelake.llm import line_dedup, mixing
+from estatelake.llm import line_dedup, mixing, packing
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
     return {
         "op1_line_dedup": line_dedup.op1_line_dedup,
         "op10_mix_sources": mixing.op10_mix_sources,
+        "op3_best_fit_packing": packing.op3_best_fit_packing,
         "pipeline": corpus_pipeline.run,
     }
 
