@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from estatelake.llm import line_dedup, mixing, packing
+from estatelake.llm import langid, line_dedup, mixing, packing
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op1_line_dedup": line_dedup.op1_line_dedup,
         "op10_mix_sources": mixing.op10_mix_sources,
         "op3_best_fit_packing": packing.op3_best_fit_packing,
+        "op2_language_id": langid.op2_language_id,
         "pipeline": corpus_pipeline.run,
     }
 
