@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from estatelake.llm import langid, line_dedup, mixing, packing
+from estatelake.llm import langid, line_dedup, mixing, packing, secret_scan
 
 
 def queries() -> dict:
@@ -13,6 +13,7 @@ def queries() -> dict:
         "op10_mix_sources": mixing.op10_mix_sources,
         "op3_best_fit_packing": packing.op3_best_fit_packing,
         "op2_language_id": langid.op2_language_id,
+        "op4_secret_scan": secret_scan.op4_secret_scan,
         "pipeline": corpus_pipeline.run,
     }
 
