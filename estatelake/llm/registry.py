@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from estatelake.llm import langid, line_dedup, mixing, packing, secret_scan
+from estatelake.llm import langid, line_dedup, mixing, packing, quality, secret_scan
 
 
 def queries() -> dict:
@@ -14,9 +14,10 @@ def queries() -> dict:
         "op3_best_fit_packing": packing.op3_best_fit_packing,
         "op2_language_id": langid.op2_language_id,
         "op4_secret_scan": secret_scan.op4_secret_scan,
+        "op6_quality_rules": quality.op6_quality_rules,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": line_dedup.ORACLE, "op10_mix_sources": mixing.ORACLE}
+    return {"op1_line_dedup": line_dedup.ORACLE, "op10_mix_sources": mixing.ORACLE, "op6_quality_rules": quality.ORACLE}
