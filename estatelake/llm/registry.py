@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from estatelake.llm import langid, line_dedup, mixing, packing, quality, secret_scan
+from estatelake.llm import langid, line_dedup, mixing, near_dedup, packing, quality, secret_scan
 
 
 def queries() -> dict:
@@ -15,6 +15,7 @@ def queries() -> dict:
         "op2_language_id": langid.op2_language_id,
         "op4_secret_scan": secret_scan.op4_secret_scan,
         "op6_quality_rules": quality.op6_quality_rules,
+        "op5_near_dedup": near_dedup.op5_near_dedup,
         "pipeline": corpus_pipeline.run,
     }
 
