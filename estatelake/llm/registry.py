@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from estatelake.llm import langid, line_dedup, mixing, near_dedup, packing, quality, secret_scan
+from estatelake.llm import langid, line_dedup, mixing, near_dedup, packing, quality, secret_scan, topk
 
 
 def queries() -> dict:
@@ -16,9 +16,10 @@ def queries() -> dict:
         "op4_secret_scan": secret_scan.op4_secret_scan,
         "op6_quality_rules": quality.op6_quality_rules,
         "op5_near_dedup": near_dedup.op5_near_dedup,
+        "op7_exact_top_k": topk.op7_exact_top_k,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": line_dedup.ORACLE, "op10_mix_sources": mixing.ORACLE, "op6_quality_rules": quality.ORACLE}
+    return {"op1_line_dedup": line_dedup.ORACLE, "op10_mix_sources": mixing.ORACLE, "op6_quality_rules": quality.ORACLE, "op7_exact_top_k": topk.ORACLE}
