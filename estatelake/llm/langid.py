@@ -128,9 +128,11 @@ def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample: in
     """Fits on at most ``sample`` labelled texts that are not held out, the same number of each language: those with the smallest hashed ids."""
     labelled = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id")))
     ids = labelled.select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
-    # Spark keeps the first rows of each language before the shuffle, so the window sees a few from each task.
+    # A first cut by hash leaves about twice the sample of each language, so that no task sorts all rows of one.
+    rates = ids.groupBy(F.col("lang").alias("of")).agg((F.lit(2.0 * sample) / F.count(F.lit(1))).alias("rate"))
+    some = ids.join(rates, F.col("lang") == F.col("of")).filter(F.pmod("h", F.lit(1 << 30)) < F.col("rate") * (1 << 30))
     first = Window.partitionBy("lang").orderBy("h", "doc_id")
-    picked = ids.withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= sample).select("doc_id", "lang", "nth").orderBy("nth", "lang").limit(sample).select("doc_id").collect()
+    picked = some.withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= sample).select("doc_id", "lang", "nth").orderBy("nth", "lang").limit(sample).select("doc_id").collect()
     if not picked:
         return None
     wanted = labelled.filter(F.col("doc_id").isin([r[0] for r in picked])).mapInArrow(_bits, "doc_id long, lang string, bits binary")
