@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from estatelake.llm import langid, line_dedup, mixing, near_dedup, packing, quality, secret_scan, topk
+from estatelake.llm import langid, line_dedup, mixing, near_dedup, packing, quality, secret_scan, topk, warc
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         "op6_quality_rules": quality.op6_quality_rules,
         "op5_near_dedup": near_dedup.op5_near_dedup,
         "op7_exact_top_k": topk.op7_exact_top_k,
+        "op8_warc": warc.op8_warc,
         "pipeline": corpus_pipeline.run,
     }
 
