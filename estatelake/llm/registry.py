@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from estatelake.llm import langid, line_dedup, mixing, near_dedup, packing, quality, secret_scan, topk, warc
+from estatelake.llm import langid, line_dedup, mixing, near_dedup, packing, quality, secret_scan, substring_dedup, topk, warc
 
 
 def queries() -> dict:
@@ -18,6 +18,7 @@ def queries() -> dict:
         "op5_near_dedup": near_dedup.op5_near_dedup,
         "op7_exact_top_k": topk.op7_exact_top_k,
         "op8_warc": warc.op8_warc,
+        "op9_substring_dedup": substring_dedup.op9_substring_dedup,
         "pipeline": corpus_pipeline.run,
     }
 
