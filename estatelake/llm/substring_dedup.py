@@ -39,8 +39,8 @@ from estatelake.llm.textwords import mix, piece_hashes, prefix_sums, word_bounds
 
 #: A cut falls behind about one byte in 256 / CUT; it depends on the last 12 bytes.
 CUT = 13
-#: Chunks are cut by force at this length.
-MOST_BYTES = 256
+#: Longer stretches without a cut are cut where their hash is smallest.
+MOST_BYTES = 64
 SPAN = 3
 MIN_WORDS = 28
 #: Texts of a batch, in bytes; digests of a shard.
@@ -60,18 +60,24 @@ def gear(raw: np.ndarray) -> np.ndarray:
 
 
 def chunk_ends(raw: np.ndarray) -> np.ndarray:
-    """Ends of the chunks of a text; no chunk is longer than MOST_BYTES."""
+    """Ends of the chunks of a text; no chunk is longer than MOST_BYTES.
+
+    A longer stretch without a cut, such as one word over and over, is cut where
+    its hash is smallest, at all such places: that too depends on content alone.
+    """
     if not len(raw):
         return np.zeros(0, np.int64)
-    cuts = np.flatnonzero(((gear(raw) >> np.uint32(4)) & np.uint32(255)) < CUT) + 1
-    cuts = np.unique(np.append(cuts, len(raw)))
-    gaps = np.diff(cuts, prepend=0)
-    more = (gaps - 1) // MOST_BYTES
-    if not more.any():
-        return cuts
-    starts = np.repeat(cuts - gaps, more)
-    nth = np.arange(len(starts)) - np.repeat(np.cumsum(more) - more, more) + 1
-    return np.sort(np.concatenate([cuts, starts + nth * MOST_BYTES]))
+    h = gear(raw)
+    cuts = np.unique(np.append(np.flatnonzero(((h >> np.uint32(4)) & np.uint32(255)) < CUT) + 1, len(raw)))
+    h = h & np.uint32(0xFFFF)  # of the last 16 bytes
+    while (long := np.flatnonzero(np.diff(cuts, prepend=0) > MOST_BYTES)).size:
+        new = [cuts]
+        for i in long.tolist():
+            begin, end = (int(cuts[i - 1]) if i else 0), int(cuts[i])
+            inner = h[begin : end - 1]
+            new.append(np.flatnonzero(inner == inner.min()) + begin + 1)
+        cuts = np.unique(np.concatenate(new))
+    return cuts
 
 
 def chunked(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
