@@ -1,6 +1,14 @@
 """From raw documents to packed training sequences, in five stages.
 
-run() writes each stage's result to the shared folder and reads it again.
+1. language_id drops documents whose text has no letter or whose language is
+   guessed with little confidence.
+2. line_dedup drops lines that a document with a smaller id has.
+3. near_dedup keeps one document of each class of near-duplicates.
+4. mix_sources repeats or drops documents, so that sources meet their targets.
+5. pack cuts and packs what is left into sequences of 2048 tokens.
+
+run() writes each stage's result to the shared folder and reads it again. A
+repeated document of stage 4 is a repeated row, and is packed once for each.
 """
 
 from __future__ import annotations
@@ -8,17 +16,48 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estatelake.llm import line_dedup
+from estatelake.llm import langid, line_dedup, mixing, near_dedup, packing
 from estatelake.llm.common import keep, table
 
+#: Below this the languages are about as likely as each other.
+LEAST_SCORE = 0.4
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a letter and a language; columns stay as they are."""
+    out = langid.identify(docs)
+    return out.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select("row.*")
+
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts lose the lines that a document with a smaller id has; n_chars follows."""
+    """Texts lose the lines that a document with a smaller id has; n_chars follows. A text may become empty."""
     out = line_dedup.dedup_lines(docs)
     return out.select(F.col("row").withField("text", F.col("kept")).withField("n_chars", F.length("kept").cast("long")).alias("row")).select("row.*")
 
 
-STAGES = [("line_dedup", drop_repeated_lines)]
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class; columns stay as they are."""
+    return near_dedup.keep_one_of_each(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each copy that the mix takes."""
+    out = mixing.mix(docs)
+    return out.filter("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("line_dedup", drop_repeated_lines),
+    ("near_dedup", drop_near_duplicates),
+    ("mix_sources", mix_sources),
+    ("pack", pack_sequences),
+]
 
 #: SQL can't express language models, MinHash and best fit: tests/llm holds the stages against brute force.
 ORACLE_SQL = None
