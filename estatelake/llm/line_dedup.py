@@ -186,9 +186,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     postings = keep(line_postings(docs, id_col, text_col, min_chars), "line-postings")
     arrays, shards = build_shards(postings, keys_per_shard)
     drops = probe_shards(postings, arrays, shards, probes_per_task).groupBy("id").agg(F.collect_set("h1").alias("drops"))
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.struct("*").alias("row"), id_key(id_col).alias("id"), F.col(text_col).alias("text"))
-    met = rows.join(drops, "id", "left")
+    met = docs.select(F.struct("*").alias("row"), id_key(id_col).alias("id")).join(drops, "id", "left")
+    text = F.coalesce(F.col("row")[text_col], F.lit(""))
     cleaned = met.withColumn("done", _without(min_chars)(F.when(F.col("drops").isNotNull(), text), F.col("drops")))
     return cleaned.select("row", (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"), F.coalesce("done.n_dropped", F.lit(0)).cast("long").alias("n_dropped"), F.coalesce("done.kept", text).alias("kept"))
 
