@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from estatelake.llm.common import id_key, keep, ranked, table
+from estatelake.llm.common import keep, ranked, table
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
@@ -57,26 +57,44 @@ def offset(source: F.Column, seed: int) -> F.Column:
     return F.conv(F.substring(F.md5(F.encode(F.concat(F.lit(f"{seed}:"), F.coalesce(source, F.lit(""))), "UTF-8")), 1, 8), 16, 10).cast("double") / 2**32
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, seed: int = 17, with_rows: bool = True) -> DataFrame:
-    """Returns ``row`` (the input row, if ``with_rows``), ``doc_id``, ``source``, ``size``, ``source_size``, ``target``, ``copies`` and ``taken``."""
-    sized = docs.select(*[F.struct("*").alias("row")] * with_rows, F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), words(F.col(text_col)).alias("size"))
-    if not with_rows:
-        sized = keep(sized, "mix-sizes")
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, seed: int = 17) -> DataFrame:
+    """Returns ``doc_id``, ``source``, ``size``, ``source_size``, ``target``, ``copies`` and ``taken``; also ``key``, which take_copies uses."""
+    sized = keep(docs.select(_row_key(id_col, text_col).alias("key"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), words(F.col(text_col)).alias("size")), "mix-sizes")
     groups = keep(sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "mix-groups")
     goals = targets(groups.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights, most)
     starts = Window.partitionBy("source").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
     groups = groups.withColumn("first", F.coalesce(F.sum("n").over(starts), F.lit(0)))
     rated = groups.join(goals, groups["source"].eqNullSafe(goals["source"])).select(groups["source"].alias("g_source"), F.col("size").alias("g_size"), "first", "source_size", "target")
-    placed = ranked(sized.withColumn("id", id_key("doc_id")), ["source", "size"], ["id"], F.col("id"), SALTS, "rank")
+    placed = ranked(sized, ["source", "size"], ["key"], F.col("key"), SALTS, "rank")
     met = placed.join(rated, F.col("source").eqNullSafe(F.col("g_source")) & (F.col("size") == F.col("g_size")))
     rate, at = F.col("target") / F.col("source_size"), F.col("first") + F.col("rank")
     shift = offset(F.col("source"), seed)
     copies = F.when(F.col("source_size") == 0, F.lit(0)).otherwise(F.least(F.floor(rate * at + shift) - F.floor(rate * (at - 1) + shift), F.lit(most))).cast("long")
-    return met.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size")).select(*["row"] * with_rows, "doc_id", "source", "size", "source_size", "target", "copies", "taken")
+    return met.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size")).select("doc_id", "source", "size", "source_size", "target", "copies", "taken", "key")
+
+
+def _row_key(id_col: str, text_col: str) -> F.Column:
+    """The id; rows without one are told apart by their texts."""
+    return F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text_col))
+
+
+def take_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The mix itself: each row as often as it is taken, all columns as they are.
+
+    Rows go through one shuffle, by key. Rows of one key are told apart by their
+    place in the order of (source, size), on both sides alike.
+    """
+    mixed = mix(docs, id_col, text_col, source_col, **options)
+    order = F.array_sort(F.collect_list(F.struct(F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("s"), "size", "copies")))
+    taken = mixed.groupBy("key").agg(F.transform(order, lambda x: x["copies"]).alias("copies"))
+    rows = docs.select(F.struct("*").alias("row"), _row_key(id_col, text_col).alias("key")).join(taken, "key")
+    nth = F.row_number().over(Window.partitionBy("key").orderBy(F.col("row")[source_col].isNull(), F.coalesce(F.col("row")[source_col], F.lit("")), words(F.col("row")[text_col])))
+    own = F.when(F.size("copies") == 1, F.col("copies")[0]).otherwise(F.get("copies", nth - 1)).cast("int")
+    return rows.withColumn("own", own).filter("own > 0").select("row", F.explode(F.sequence(F.lit(1), "own"))).select("row.*")
 
 
 def op10_mix_sources(spark, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents"), with_rows=False).select("doc_id", "size", "source_size", "target", "taken")
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 ORACLE = """
