@@ -29,13 +29,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from estatelake.llm.common import NULL_ID, id_key, keep, table
-from estatelake.llm.textwords import mix, piece_hashes, prefix_sums, word_bounds
+from estatelake.llm.sharded import sharded_lookup
+from estatelake.llm.textwords import piece_hashes, prefix_sums, word_bounds
 
 #: A cut falls behind about one byte in 256 / CUT; it depends on the last 12 bytes.
 CUT = 13
@@ -93,7 +93,7 @@ def chunked(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return ends, points, words, piece_hashes(prefix_sums(raw), starts[:n], ends[SPAN - 1 :])
 
 
-CHUNKS = "batch string, n long, ids binary, chunks binary, points binary, words binary, digests binary"
+CHUNKS = "batch string, n long, ids binary, chunks binary, counts binary, points binary, words binary, digests binary"
 
 
 def _chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,7 +102,7 @@ def _chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def packed() -> pa.RecordBatch:
         joined = lambda parts, kind: np.concatenate(parts).astype(kind).tobytes()
-        return pa.RecordBatch.from_pydict({"batch": [rng.bytes(16).hex()], "n": [sum(map(len, digests))], "ids": [np.array(ids, np.int64).tobytes()], "chunks": [np.array(chunks, np.int64).tobytes()], "points": [joined(points, np.uint16)], "words": [joined(words, np.uint16)], "digests": [joined(digests, np.uint64)]}, schema=_CHUNK_SCHEMA)
+        return pa.RecordBatch.from_pydict({"batch": [rng.bytes(16).hex()], "n": [sum(map(len, digests))], "ids": [np.array(ids, np.int64).tobytes()], "chunks": [np.array(chunks, np.int64).tobytes()], "counts": [np.array([*map(len, digests)], np.int64).tobytes()], "points": [joined(points, np.uint16)], "words": [joined(words, np.uint16)], "digests": [joined(digests, np.uint64)]}, schema=_CHUNK_SCHEMA)
 
     for batch in batches:
         for i, text in zip(batch["id"].to_pylist(), batch["text"].to_pylist(), strict=True):
@@ -122,64 +122,7 @@ def _chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield packed()
 
 
-_CHUNK_SCHEMA = pa.schema([("batch", pa.string()), ("n", pa.int64()), *((x, pa.binary()) for x in ("ids", "chunks", "points", "words", "digests"))])
-
-
-def _owners(row: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Digests of a batch and the id of the document of each."""
-    ids, chunks = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["chunks"], np.int64)
-    return np.frombuffer(row["digests"], np.uint64), np.repeat(ids, np.maximum(chunks - SPAN + 1, 0))
-
-
-def _distinct(digests: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each digest once, in order, with the smallest and the largest id."""
-    order = np.argsort(digests, kind="stable")
-    digests, first, last = digests[order], first[order], last[order]
-    at = np.flatnonzero(np.concatenate([[True], digests[1:] != digests[:-1]])) if len(digests) else np.zeros(0, np.int64)
-    if not len(at):
-        return digests, first, last
-    return digests[at], np.minimum.reduceat(first, at), np.maximum.reduceat(last, at)
-
-
-def _ask(shards: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                digests, owners = _owners(row)
-                digests, first, last = _distinct(digests, owners, owners)
-                ids = np.unique(owners)
-                bounds = np.searchsorted(digests, np.array([(s << 64) // shards for s in range(1, shards)], np.uint64))
-                out = [[], [], [], []]
-                for s, part in enumerate(zip(*(np.split(x, bounds) for x in (digests, np.searchsorted(ids, first), np.searchsorted(ids, last))), strict=True)):
-                    if len(part[0]):
-                        body = part[0].tobytes() + part[1].astype(np.uint32).tobytes() + part[2].astype(np.uint32).tobytes()
-                        for to, x in zip(out, (s, row["batch"], ids.tobytes(), body), strict=True):
-                            to.append(x)
-                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.binary()), pa.array(out[3], pa.binary())], ["shard", "batch", "ids", "body"])
-
-    return run
-
-
-ANSWER = "batch string, digests binary, firsts binary"
-
-
-def _answer(pdf: pd.DataFrame) -> pd.DataFrame:
-    """A shard: of the digests that two documents hold, the smallest id, to each batch that asked."""
-    asked = []
-    for ids, body in zip(pdf["ids"], pdf["body"], strict=True):
-        ids, n = np.frombuffer(ids, np.int64), len(body) // 16
-        place = np.frombuffer(body, np.uint32, offset=8 * n)
-        asked.append((np.frombuffer(body, np.uint64, n), ids[place[:n]], ids[place[n:]]))
-    digests, first, last = _distinct(*(np.concatenate(x) for x in zip(*asked, strict=True)))
-    twice = first != last
-    digests, first = digests[twice], first[twice]
-    out = []
-    for batch, own in zip(pdf["batch"], asked, strict=True):
-        at = np.searchsorted(digests, own[0])
-        at[at == len(digests)] = 0
-        hit = digests[at] == own[0] if len(digests) else np.zeros(len(own[0]), bool)
-        out.append((batch, own[0][hit].tobytes(), first[at[hit]].tobytes()))
-    return pd.DataFrame(out, columns=["batch", "digests", "firsts"])
+_CHUNK_SCHEMA = pa.schema([("batch", pa.string()), ("n", pa.int64()), *((x, pa.binary()) for x in ("ids", "chunks", "counts", "points", "words", "digests"))])
 
 
 PASSAGE = "doc_id long, start long, end long, n_words long, first_doc_id long, dropped boolean"
@@ -193,7 +136,7 @@ def _passages(min_words: int):
                 told = [np.concatenate([np.frombuffer(x or b"", kind) for x in row[c] or [b""]]) for c, kind in (("answers", np.uint64), ("firsts", np.int64))]
                 order = np.argsort(told[0])
                 known, firsts = told[0][order], told[1][order]
-                digests, _ = _owners(row)
+                digests = np.frombuffer(row["digests"], np.uint64)
                 at = np.searchsorted(known, digests)
                 at[at == len(known)] = 0
                 hit = known[at] == digests if len(known) else np.zeros(len(digests), bool)
@@ -227,9 +170,7 @@ def _passages(min_words: int):
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, shard_digests: int = SHARD_DIGESTS) -> DataFrame:
     """A row for each repeated passage: doc_id, start and end (code points), n_words, first_doc_id (the smallest id that holds a part of it) and dropped (false in that document)."""
     chunks = keep(docs.select(id_key(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_chunk, CHUNKS), "chunks")
-    shards = max(1, -(-(chunks.agg(F.sum("n")).first()[0] or 0) // shard_digests))
-    asked = chunks.select("batch", "ids", "chunks", "digests").mapInArrow(_ask(shards), "shard long, batch string, ids binary, body binary")
-    answers = asked.groupBy("shard").applyInPandas(_answer, ANSWER).groupBy("batch").agg(F.collect_list(F.struct("digests", "firsts")).alias("told"))
+    answers = sharded_lookup(chunks, chunks.agg(F.sum("n")).first()[0] or 0, shard_digests)
     met = chunks.join(answers, "batch", "left").select("ids", "chunks", "points", "words", "digests", F.col("told.digests").alias("answers"), F.col("told.firsts").alias("firsts"))
     return met.mapInArrow(_passages(min_words), PASSAGE)
 
