@@ -51,5 +51,5 @@ def fold_partial_updates(events: DataFrame, keys: list[str], order: str, columns
 
 
 def saved_set(events: DataFrame, user: str, item: str, action: str, order: str) -> DataFrame:
-    """(user, item) whose last event is ``save``."""
-    return events.groupBy(user, item).agg(F.max_by(action, order).alias("_last"), F.max(order).alias("saved_at")).filter(F.col("_last") == "save").drop("_last")
+    """(user, item) whose last event is ``save``; at the same time, an unsave counts."""
+    return events.groupBy(user, item).agg(F.max_by(action, F.struct(order, action)).alias("_last"), F.max(order).alias("saved_at")).filter(F.col("_last") == "save").drop("_last")

@@ -191,7 +191,7 @@ def _(spark, sf):
     return out.withColumn("first_seen", F.to_date("first_seen")).withColumn("last_seen", F.to_date("last_seen"))
 
 
-@query("s7i_saved_set", "WITH e AS (SELECT o_custkey, l_partkey, CASE WHEN l_returnflag = 'R' THEN 'unsave' ELSE 'save' END AS action, l_orderkey * 10 + l_linenumber AS saved_at FROM lineitem JOIN orders ON l_orderkey = o_orderkey) SELECT o_custkey, l_partkey, max(e.saved_at) AS saved_at FROM e GROUP BY ALL HAVING arg_max(action, e.saved_at) = 'save'")
+@query("s7i_saved_set", "WITH e AS (SELECT o_custkey, l_partkey, CASE WHEN l_returnflag = 'R' THEN 'unsave' ELSE 'save' END AS action, l_orderkey * 10 + l_linenumber AS saved_at FROM lineitem JOIN orders ON l_orderkey = o_orderkey) SELECT o_custkey, l_partkey, max(e.saved_at) AS saved_at FROM e GROUP BY ALL HAVING arg_max(action, (e.saved_at, action)) = 'save'")
 def _(spark, sf):
     l, o = table(spark, sf, "lineitem"), table(spark, sf, "orders")
     e = l.join(o, l["l_orderkey"] == o["o_orderkey"]).select("o_custkey", "l_partkey", F.when(F.col("l_returnflag") == "R", "unsave").otherwise("save").alias("action"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("at"))
