@@ -54,14 +54,14 @@ WIDTH, DEPTH = 1 << 17, 2
 #: Shingles in fewer than this share of all documents weigh the same.
 RARE = 0.02
 IDF_RANGE = 0.2
-VARIATES = 1 << 16
+VARIATES = 1 << 14
 #: While pairs across components are more than DIRECT for each member, up to STAR_ROUNDS more centres are tried first.
 STAR_ROUNDS, DIRECT = 1, 4
 #: Samples, of BANDS * ROWS, whose two sketch bits may differ; at similarity 0.8 it is 8.4 on average, 2.7 the deviation.
 MOST_DIFFERENT = 18
 #: Of the search for shingles that two texts hold: texts of a batch in bytes, digests of a shard.
-BATCH_BYTES = 4 << 20
-SHARD_DIGESTS = 2_000_000
+BATCH_BYTES = 1 << 20
+SHARD_DIGESTS = 500_000
 
 
 # --- weights ----------------------------------------------------------------
@@ -128,7 +128,7 @@ def variates() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def bands(hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """A 64-bit value for each band, equal if its samples are; then two words with a bit of each sample."""
     r_all, lnc_all, beta_all = variates()
-    at = (hashes >> np.uint64(48)).astype(np.int64)
+    at = (hashes >> np.uint64(50)).astype(np.int64)
     ln_w = np.log(weights)[:, None]
     best = picked = level = None
     for begin in range(0, len(hashes), 1024):
@@ -170,14 +170,15 @@ def _verified(shared, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = Weights(*shared.value)
         last: tuple[int | None, object] = None, None
-        for batch in batches:
-            out = []
-            for a, b, text_a, text_b in zip(batch["a"].to_pylist(), batch["b"].to_pylist(), batch["text_a"].to_pylist(), batch["text_b"].to_pylist(), strict=True):
-                if last[0] != a:
-                    last = a, weights(text_a)
-                if similarity(last[1], weights(text_b)) >= least:
-                    out.append((a, b))
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], ["a", "b"])
+        for whole in batches:
+            for begin in range(0, whole.num_rows, 500):
+                out, batch = [], whole.slice(begin, 500)
+                for a, b, text_a, text_b in zip(*(batch[c].to_pylist() for c in ("a", "b", "text_a", "text_b")), strict=True):
+                    if last[0] != a:
+                        last = a, weights(text_a)
+                    if similarity(last[1], weights(text_b)) >= least:
+                        out.append((a, b))
+                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], ["a", "b"])
 
     return run
 
