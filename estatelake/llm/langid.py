@@ -149,7 +149,7 @@ def hash_order(doc_id: int) -> int:
 def _predict(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        score = model.scorer()
+        score = model.scorer() if model else None
         for batch in batches:
             texts, lettered = batch["_text"], batch["_lettered"].to_pylist()
             rows = np.flatnonzero(lettered)
