@@ -26,7 +26,7 @@ def comparables(listings: DataFrame, cap: int = 200) -> DataFrame:
     its segment. listings: id, SEGMENT, layout, area, price.
     """
     facts = listings.filter(F.col("price").isNotNull()).select("id", *SEGMENT, "layout", "area", "price", per_sqm(F.col("price"), F.col("area")).alias("sqm"))
-    # The first cap + 1 ids of a segment leave cap others for each of its listings. A minimum over parts comes first.
+    # The first cap + 1 ids of a segment leave cap others for each of its listings; Spark cuts to them before the shuffle.
     nth = F.row_number().over(Window.partitionBy(*SEGMENT).orderBy("id"))
     few = facts.withColumn("_n", nth).filter(F.col("_n") <= cap + 1)
     others = few.select(*SEGMENT, *[F.col(c).alias(f"o_{c}") for c in ("id", "layout", "area", "price", "sqm")], "_n")
