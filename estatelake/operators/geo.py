@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from estatelake.functions.columns import fold, haversine_m, rounded
@@ -81,3 +81,32 @@ def geocode_streets(mentions: DataFrame, gazetteer: DataFrame, max_km: float = 2
     met = asked.join(held, ["_s", "_t"]).filter(haversine_m(F.col("town_lat"), F.col("town_lon"), F.col("geo_lat"), F.col("geo_lon")) <= max_km * 1000)
     best = met.groupBy("id").agg(F.min_by(F.struct("candidate", "geo_lat", "geo_lon"), F.struct("nth", "geo_lat", "geo_lon")).alias("g")).select("id", F.col("g.candidate").alias("street"), "g.geo_lat", "g.geo_lon")
     return mentions.join(best, "id", "left").withColumn("geo_precision", F.when(F.col("geo_lat").isNotNull(), "street")).withColumn("street", F.coalesce("street", F.get("candidates", F.lit(0))))
+
+
+def index_region(listings: DataFrame, regions: DataFrame, national: str = "SR") -> DataFrame:
+    """regions: (name, region), districts and towns, a small dimension. The region of the district, else of the city, else the nation."""
+    dim = lambda c: regions.select(fold(F.col("name")).alias(f"_{c}"), F.col("region").alias(f"_r_{c}")).dropDuplicates([f"_{c}"])
+    out = listings.withColumn("_district", fold(F.col("district"))).withColumn("_city", fold(F.col("city")))
+    met = out.join(dim("district"), "_district", "left").join(dim("city"), "_city", "left")
+    return met.withColumn("index_region", F.coalesce("_r_district", "_r_city", F.lit(national))).drop("_district", "_city", "_r_district", "_r_city")
+
+
+def administrative_district(listings: DataFrame, areas: DataFrame) -> DataFrame:
+    """areas: (area, district). 'Praha - Karlín' by its last part; what is a district already stays."""
+    last = F.trim(F.element_at(F.split("district", "-"), -1))
+    dim = areas.select(fold(F.col("area")).alias("_area"), F.col("district").alias("_to")).dropDuplicates(["_area"])
+    met = listings.withColumn("_area", fold(last)).join(dim, "_area", "left")
+    known = F.col("district").rlike(r"^Praha \d+$")
+    return met.withColumn("admin_district", F.when(known, F.col("district")).otherwise(F.col("_to"))).drop("_area", "_to")
+
+
+#: Fixed endings: Slovak and Czech names in other cases than the nominative.
+ENDINGS = [("skej", ("ská", "ska")), ("ckej", ("cká", "cka")), ("ej", ("á", "a")), ("ého", ("é",)), ("ou", ("á",)), ("ovi", ("ov", "ova"))]
+
+
+def street_candidates(name: F.Column) -> F.Column:
+    """At most four spellings in the nominative, then the name as found, each once; null for null."""
+    text = F.trim(F.regexp_extract(name, r"^([^.]*)", 1))
+    clean = F.when(text != "", text).otherwise(name)
+    made = [F.when(clean.endswith(end), F.concat(F.regexp_replace(clean, f"{end}$", ""), F.lit(to))) for end, tos in ENDINGS for to in tos]
+    return F.when(name.isNotNull(), F.array_distinct(F.concat(F.slice(F.array_compact(F.array(*made)), 1, 4), F.array(clean))))

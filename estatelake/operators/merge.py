@@ -53,3 +53,16 @@ def fold_partial_updates(events: DataFrame, keys: list[str], order: str, columns
 def saved_set(events: DataFrame, user: str, item: str, action: str, order: str) -> DataFrame:
     """(user, item) whose last event is ``save``; at the same time, an unsave counts."""
     return events.groupBy(user, item).agg(F.max_by(action, F.struct(order, action)).alias("_last"), F.max(order).alias("saved_at")).filter(F.col("_last") == "save").drop("_last")
+
+
+def backfill(target: DataFrame, source: DataFrame, keys: list[str], columns: list[str], order: str) -> DataFrame:
+    """Null columns of the target from the latest source row of its key."""
+    latest = source.groupBy(*keys).agg(F.max_by(F.struct(*columns), order).alias("_new"))
+    met = target.join(latest, keys, "left")
+    return met.withColumns({c: F.coalesce(c, F.col(f"_new.{c}")) for c in columns}).drop("_new")
+
+
+def ingest_summary(merged: DataFrame, n_changes: int, n_failed: int) -> DataFrame:
+    """One row: new, updated, price changes, failed, status. merged: a result of merge_by_key."""
+    counts = merged.agg(F.count_if(F.col("merge_action") == "inserted").alias("n_new"), F.count_if(F.col("merge_action") == "updated").alias("n_updated"))
+    return counts.select("n_new", "n_updated", F.lit(n_changes).alias("n_price_changes"), F.lit(n_failed).alias("n_failed"), F.lit("completed_with_errors" if n_failed else "succeeded").alias("status"))

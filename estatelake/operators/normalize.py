@@ -118,3 +118,23 @@ def normalize_listings(raw: DataFrame, run_time: datetime, raw_col: str = "raw")
     )
     good = F.col("source").isNotNull() & F.col("source_listing_id").isNotNull()
     return out.filter(good), out.filter(~good).select(*raw.columns, F.when(F.col("source").isNull(), "unknown source").otherwise("no id").alias("reason"))
+
+
+def repaired_url(url: F.Column, host: str = "bezrealitky.cz", segment: str = "/nemovitosti-byty-domy/") -> F.Column:
+    """Puts a missing path segment behind the host; again is no change."""
+    broken = url.contains(host) & ~url.contains(segment)
+    return F.when(broken, F.regexp_replace(url, rf"({host.replace('.', '[.]')})/", f"$1{segment}")).otherwise(url)
+
+
+def backfilled_deal_type(stored: F.Column, url: F.Column, raw: F.Column) -> F.Column:
+    """The stored deal type, else the URL's, else the raw item's, else buy."""
+    payload = deal_type_of(F.coalesce(F.get_json_object(raw, "$.dealType"), F.get_json_object(raw, "$.offerType")), F.lit(""))
+    return F.coalesce(stored, deal_type_of(F.lit(None).cast("string"), url), payload, F.lit("buy"))
+
+
+def universal_log(*logs: DataFrame) -> DataFrame:
+    """Logs of single sources as one; columns that one lacks are null."""
+    out = logs[0]
+    for x in logs[1:]:
+        out = out.unionByName(x, allowMissingColumns=True)
+    return out

@@ -39,3 +39,55 @@ def user_directory(users: DataFrame, subscriptions: DataFrame, key: str, q: str
     """Users with their subscription, if any; q is searched in the name regardless of case; ``total`` counts what is found."""
     found = users.filter(F.col(name).ilike(f"%{q}%")) if q else users
     return found.join(subscriptions, key, "left")
+
+
+def listing_projection(listings: DataFrame) -> DataFrame:
+    """What a reader of listings sees: the geocoded point where both its coordinates are there, else the town's; text id; sale or rent."""
+    exact = F.col("geo_lat").isNotNull() & F.col("geo_lon").isNotNull()
+    return listings.select(
+        F.col("id").cast("string").alias("id"), F.when(F.col("deal_type") == "rent", "rent").otherwise("sale").alias("dealType"), "category", "district", "region", F.col("price").cast("double").alias("price"),
+        F.when(exact, F.col("geo_lat")).otherwise(F.col("lat")).alias("lat"), F.when(exact, F.col("geo_lon")).otherwise(F.col("lon")).alias("lon"), F.when(exact, "street").when(F.col("lat").isNotNull(), "town").alias("geoPrecision"),
+    )
+
+
+def pending_geocode(listings: DataFrame, limit: int | None = None, retry_misses: bool = False) -> DataFrame:
+    """Listings never geocoded, or with retry_misses those tried in vain; by id."""
+    tried = F.col("geocoded_at").isNotNull()
+    out = listings.filter((tried & F.col("geo_precision").isNull()) if retry_misses else ~tried)
+    return out.orderBy("id").limit(limit) if limit else out
+
+
+def pending_location_score(listings: DataFrame, scores: DataFrame) -> DataFrame:
+    """Active listings with coordinates and without a score."""
+    return listings.filter(F.col("active") & F.col("lat").isNotNull() & F.col("lon").isNotNull()).join(scores.select("id"), "id", "left_anti")
+
+
+def single_photo(listings: DataFrame) -> DataFrame:
+    return listings.filter(F.coalesce(F.size("images"), F.lit(0)) <= 1)
+
+
+def benchmark_rows(bench: DataFrame, period: str | None = None, granularity: str | None = None) -> DataFrame:
+    """Rows of a period (default: the latest), districts first by name."""
+    if period is None:
+        newest = bench.agg(F.max_by("period", F.struct("year", "quarter", "period")).alias("period"))  # one row
+        bench = bench.join(F.broadcast(newest), "period")
+    else:
+        bench = bench.filter(F.col("period") == period)
+    return bench if granularity is None else bench.filter(F.col("granularity") == granularity)
+
+
+def with_total(df: DataFrame) -> int:
+    """The total for a page's footer."""
+    return df.count()
+
+
+def in_given_order(df: DataFrame, ids: list[int], most: int = 20) -> DataFrame:
+    """The rows of a list of ids in its order; unknown ids and repeats drop out. The list is a request's, so it is short."""
+    spark = df.sparkSession
+    wanted = spark.createDataFrame([(i, n) for n, i in enumerate(dict.fromkeys(ids))], "id long, nth int")
+    return df.join(F.broadcast(wanted), "id").orderBy("nth").limit(most)
+
+
+def public_user(users: DataFrame) -> DataFrame:
+    """Facts of users that may be shown: whether there is a password or a linked account, never which."""
+    return users.select("id", "email", "name", F.col("password_hash").isNotNull().alias("has_password"), F.col("google_sub").isNotNull().alias("has_google"), "plan", "status")

@@ -69,3 +69,53 @@ def buy_vs_rent(listings: DataFrame, price: str = "price", rent: str = "rent", g
     path = F.aggregate(F.sequence(F.lit(1), F.lit(12 * years)), start, step)["path"]
     ahead = F.filter(F.col("path"), lambda x: (x["year"] > 0) & (x["buyer"] >= x["renter"]))
     return listings.withColumn("payment", F.round(pay, 0)).withColumn("path", path).withColumn("break_even_year", F.get(ahead, F.lit(0))["year"])
+
+
+def widened(pairs: DataFrame, wide: DataFrame, floor: int = 60, min_strong: int = 3) -> DataFrame:
+    """Pairs of the segment; where fewer than min_strong are strong, also those of a wider area that aren't there yet."""
+    strong = pairs.groupBy("id").agg(F.count_if(F.col("similarity") >= floor).alias("_strong"))
+    weak = wide.join(strong, "id", "left").filter(F.coalesce("_strong", F.lit(0)) < min_strong).drop("_strong")
+    return pairs.withColumn("widened", F.lit(False)).unionByName(weak.join(pairs.select("id", "o_id"), ["id", "o_id"], "left_anti").withColumn("widened", F.lit(True)))
+
+
+def photo_context(best: DataFrame, scores: DataFrame, metrics: list[str]) -> DataFrame:
+    """A listing's photo metrics beside the means over its comparables; mock rows don't count."""
+    real = scores.filter(~F.coalesce("mock", F.lit(False)))
+    means = best.join(real, best["o_id"] == real["id"]).groupBy(best["id"]).agg(*[F.avg(m).alias(f"mean_{m}") for m in metrics], F.count(F.lit(1)).alias("n_scored"))
+    return real.select("id", *metrics).join(means, "id", "left")
+
+
+def index_source(external: DataFrame, own: DataFrame, market: DataFrame, least: int = 3) -> DataFrame:
+    """Series of (district, period, value): the external one if it has ``least`` points, else the district's own, else the market's; ``kind`` says which."""
+    every = external.withColumn("kind", F.lit(0)).unionByName(own.withColumn("kind", F.lit(1))).unionByName(market.withColumn("kind", F.lit(2)))
+    counts = every.groupBy("district", "kind").agg(F.count("value").alias("_n")).filter(F.col("_n") >= least)
+    chosen = counts.groupBy("district").agg(F.min("kind").alias("kind"))
+    names = F.element_at(F.array(F.lit("external"), F.lit("district"), F.lit("market")), F.col("kind") + 1)
+    return every.join(chosen, ["district", "kind"]).withColumn("kind", names)
+
+
+def market_codes(price: F.Column, estimate: F.Column, sqm: F.Column, median_sqm: F.Column, wide: F.Column) -> F.Column:
+    """Codes: below, above or in line with the estimate at 1 %, the same for the price per m2, and whether the search was widened."""
+    near = lambda a, b: F.when(a < b * 0.99, "below").when(a > b * 1.01, "above").when(b.isNotNull(), "inline")
+    return F.array_compact(F.array(F.concat(F.lit("price_"), near(price, estimate)), F.concat(F.lit("sqm_"), near(sqm, median_sqm)), F.when(wide, "widened")))
+
+
+def benchmark_entries(deal_type: F.Column, local: F.Column, regional: F.Column) -> F.Column:
+    """The local median, and for sales the region's index."""
+    return F.array_compact(F.array(F.when(local.isNotNull(), F.struct(F.lit("local_median").alias("kind"), local.alias("value"))), F.when((deal_type != "rent") & regional.isNotNull(), F.struct(F.lit("region_index").alias("kind"), regional.alias("value")))))
+
+
+def property_facts(listings: DataFrame, now) -> DataFrame:
+    """Images with the card image first, days on the market, sale or rent."""
+    images = F.array_distinct(F.array_compact(F.concat(F.array("image_url"), F.coalesce("images", F.array().cast("array<string>")))))
+    return listings.select("id", images.alias("images"), F.greatest(F.date_diff(F.lit(now).cast("date"), F.to_date("first_seen_at")), F.lit(0)).alias("days_on_market"), F.when(F.col("deal_type") == "rent", "rent").otherwise("sale").alias("deal"))
+
+
+def location_facts(counts: list[str]) -> F.Column:
+    """Labelled counts that are known; an empty array means none is."""
+    return F.array_compact(F.array(*[F.when(F.col(c).isNotNull(), F.struct(F.lit(c).alias("label"), F.col(c).cast("long").alias("count"))) for c in counts]))
+
+
+def valuation_block(values: DataFrame, area: F.Column) -> DataFrame:
+    """(id, valuation): value, value per m2, range and sample size."""
+    return values.select("id", F.struct(F.round("estimate", 0).cast("long").alias("value"), F.round(F.col("estimate") / F.nullif(area, F.lit(0)), 0).cast("long").alias("value_per_sqm"), F.struct("low", F.col("estimate").alias("mid"), "high").alias("range"), "sample_size").alias("valuation"))

@@ -291,3 +291,69 @@ def _(spark, sf):
 @query("x1_street_mentions", r"SELECT page_id, regexp_extract(url, '^[a-z]+://([^/]+)/', 1) AS host, regexp_extract(url, '/(\d+)', 1) AS number FROM pages")
 def _(spark, sf):
     return table(spark, sf, "pages").select("page_id", F.regexp_extract("url", "^[a-z]+://([^/]+)/", 1).alias("host"), F.regexp_extract("url", r"/(\d+)", 1).alias("number"))
+
+
+@query("p5_listing_projection", f"WITH {CURRENT} SELECT CAST(event_id AS VARCHAR) AS id, CASE WHEN deal_type = 'rent' THEN 'rent' ELSE 'sale' END AS dealType, category, district, region, price, CASE WHEN area % 2 = 0 THEN 48.5 ELSE 48.0 END AS lat, CASE WHEN area % 2 = 0 THEN 17.5 ELSE 17.0 END AS lon, CASE WHEN area % 2 = 0 THEN 'street' ELSE 'town' END AS geoPrecision FROM cur")
+def _(spark, sf):
+    hit = F.col("area") % 2 == 0
+    cur = _current(spark, sf).withColumn("id", F.col("event_id")).withColumn("lat", F.lit(48.0)).withColumn("lon", F.lit(17.0)).withColumn("geo_lat", F.when(hit, 48.5)).withColumn("geo_lon", F.when(hit, 17.5))
+    return search.listing_projection(cur)
+
+
+@query("p12_benchmark_rows", f"WITH {BENCH} SELECT place, period, value FROM bench WHERE granularity = 'district' AND period = (SELECT arg_max(period, year * 10 + quarter) FROM bench)")
+def _(spark, sf):
+    return search.benchmark_rows(benchmarks(spark, sf), granularity="district").select("place", "period", "value")
+
+
+@query("p10_pending_scores", f"WITH {CURRENT} SELECT event_id AS id FROM cur WHERE price > 50 AND NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = listing_id AND o_orderstatus = 'F')")
+def _(spark, sf):
+    cur = _current(spark, sf).select(F.col("event_id"), F.col("listing_id").alias("id"), (F.col("price") > 50).alias("active"), F.lit(48.0).alias("lat"), F.lit(17.0).alias("lon"))
+    scores = table(spark, sf, "orders").filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("id"))
+    return search.pending_location_score(cur, scores).select(F.col("event_id").alias("id"))
+
+
+@query("j17_backfill", "WITH latest AS (SELECT o_custkey, arg_max(o_orderpriority, o_orderkey) AS p FROM orders GROUP BY o_custkey) SELECT c_custkey, coalesce(CASE WHEN c_acctbal > 0 THEN c_mktsegment END, p) AS note FROM customer LEFT JOIN latest ON o_custkey = c_custkey")
+def _(spark, sf):
+    target = table(spark, sf, "customer").select("c_custkey", F.when(F.col("c_acctbal") > 0, F.col("c_mktsegment")).alias("note"))
+    source = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"), F.col("o_orderpriority").alias("note"), "o_orderkey")
+    return merge.backfill(target, source, ["c_custkey"], ["note"], "o_orderkey")
+
+
+@query("w13_index_source", f"""WITH {BENCH}, e AS (SELECT place AS district, period, value FROM bench WHERE granularity = 'district' AND length(place) % 2 = 0), m AS (SELECT n_name AS district, period, value FROM nation JOIN region ON n_regionkey = r_regionkey JOIN bench ON granularity = 'region' AND place = r_name)
+SELECT district, period, value, 'external' AS kind FROM e UNION ALL SELECT district, period, value, 'market' FROM m WHERE district NOT IN (SELECT district FROM e)""")
+def _(spark, sf):
+    b = benchmarks(spark, sf)
+    own = b.filter("granularity = 'district'").select(F.col("place").alias("district"), "period", "value")
+    wide = b.filter("granularity = 'region'").join(F.broadcast(places(spark, sf)), F.col("place") == F.col("region")).select("district", "period", "value")
+    return valuation.index_source(own.filter(F.length("district") % 2 == 0), own.limit(0), wide)
+
+
+@query("r4_market_codes", f"""WITH {_PAIRS}, p AS (SELECT id, price, area, sqm, percentile_cont(0.5) WITHIN GROUP (ORDER BY o_price) AS mp, percentile_cont(0.5) WITHIN GROUP (ORDER BY o_sqm) AS ms FROM pairs GROUP BY ALL),
+e AS (SELECT *, {r2('coalesce(ms * nullif(area, 0), mp)')} AS estimate, {r2('ms')} AS m2 FROM p)
+SELECT id, 'price_' || CASE WHEN price < estimate * 0.99 THEN 'below' WHEN price > estimate * 1.01 THEN 'above' ELSE 'inline' END || ',sqm_' || CASE WHEN sqm < m2 * 0.99 THEN 'below' WHEN sqm > m2 * 1.01 THEN 'above' ELSE 'inline' END AS codes FROM e WHERE sqm IS NOT NULL AND m2 IS NOT NULL""")
+def _(spark, sf):
+    listings = _listings(spark, sf)
+    facts = listings.select("id", "price", per_sqm(F.col("price"), F.col("area")).alias("sqm"))
+    met = valuation.value_listings(valuation.comparables(listings)).join(facts, "id").filter("sqm IS NOT NULL AND median_sqm IS NOT NULL")
+    return met.select("id", F.array_join(valuation.market_codes(F.col("price"), F.col("estimate"), F.col("sqm"), F.col("median_sqm"), F.lit(False)), ",").alias("codes"))
+
+
+@query("s11_valuation_documents")
+def _(spark, sf):
+    from estatelake.sources.io import valuation_documents
+
+    cur, listings = _current(spark, sf), _listings(spark, sf)
+    values = valuation.value_listings(valuation.comparables(listings))
+    block = valuation.valuation_block(values.join(listings.select("id", "area"), "id"), F.col("area"))
+    facts = cur.select(F.col("event_id").alias("id"), F.date_diff(F.lit("2024-02-01").cast("date"), F.to_date("first_seen_at")).alias("days_on_market"), "deal_type", "district", "region")
+    codes = values.select("id", "label").join(facts, "id").select("id", valuation.recommendation(F.col("label"), F.col("days_on_market"), F.lit(None).cast("array<string>")).alias("recommendation"))
+    return valuation_documents(facts.join(block, "id").join(codes, "id"))
+
+
+@query("u1_widened_pool", f"""WITH {_PAIRS}, s AS (SELECT id, count(*) FILTER (similarity >= 60) AS strong FROM pairs GROUP BY id), w AS (
+  SELECT a.id, b.id AS o_id, row_number() OVER (PARTITION BY a.id ORDER BY b.id) AS n FROM l a JOIN (SELECT event_id, region FROM cur) ra ON ra.event_id = a.id JOIN l b ON a.category = b.category AND a.deal_type = b.deal_type AND a.id <> b.id JOIN (SELECT event_id, region FROM cur) rb ON rb.event_id = b.id AND rb.region = ra.region)
+SELECT id, o_id, FALSE AS widened FROM pairs UNION ALL SELECT w.id, w.o_id, TRUE FROM w LEFT JOIN s ON s.id = w.id WHERE n <= 200 AND coalesce(strong, 0) < 3 AND NOT EXISTS (SELECT 1 FROM pairs p WHERE p.id = w.id AND p.o_id = w.o_id)""")
+def _(spark, sf):
+    listings = _listings(spark, sf)
+    wide = valuation.comparables(listings.drop("district").withColumnRenamed("region", "district"))
+    return valuation.widened(valuation.comparables(listings).drop("district"), wide.drop("district")).select("id", "o_id", "widened")

@@ -194,3 +194,41 @@ def test_streams_match_batch(spark, folder):
     seen = []
     streams.ingest(streams.without_repeats(timed), lambda df, i: seen.append(df.count()), f"{folder}/c3").awaitTermination()
     assert sum(seen) == 45
+
+
+def test_backfills(spark):
+    url = "https://www.bezrealitky.cz/77-x"
+    got = one(spark, a=normalize.repaired_url(F.lit(url)), b=normalize.repaired_url(normalize.repaired_url(F.lit(url))), c=normalize.backfilled_deal_type(F.lit(None).cast("string"), F.lit("http://x/na-predaj"), F.lit("{}")), d=normalize.backfilled_deal_type(F.lit(None).cast("string"), F.lit("http://x"), F.lit('{"offerType": "PRONAJEM"}')), e=normalize.backfilled_deal_type(F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit(None).cast("string")))
+    fixed = "https://www.bezrealitky.cz/nemovitosti-byty-domy/77-x"
+    assert tuple(got) == (fixed, fixed, "buy", "rent", "buy")
+    target = spark.createDataFrame([(1, None), (2, "x")], "k int, v string")
+    source = spark.createDataFrame([(1, "old", 1), (1, "new", 2), (2, "y", 1)], "k int, v string, ts int")
+    assert sorted(map(tuple, merge.backfill(target, source, ["k"], ["v"], "ts").collect())) == [(1, "new"), (2, "x")]
+    assert normalize.universal_log(target, source).columns == ["k", "v", "ts"]
+
+
+def test_regions_and_streets(spark):
+    regions = spark.createDataFrame([("Malacky", "BA"), ("Bratislava", "BA")], "name string, region string")
+    asked = spark.createDataFrame([(1, "Malacky", None), (2, None, "Bratislava"), (3, "Neverland", None)], "i int, district string, city string")
+    assert {r["i"]: r["index_region"] for r in geo.index_region(asked, regions).collect()} == {1: "BA", 2: "BA", 3: "SR"}
+    areas = spark.createDataFrame([("Karlín", "Praha 8")], "area string, district string")
+    named = spark.createDataFrame([("Praha - Karlín",), ("Praha 5",), ("Brno",)], "district string")
+    assert {r["district"]: r["admin_district"] for r in geo.administrative_district(named, areas).collect()} == {"Praha - Karlín": "Praha 8", "Praha 5": "Praha 5", "Brno": None}
+    got = [r[0] for r in spark.createDataFrame([("Sibírskej",), ("Moyzesova",), (None,)], "s string").select(geo.street_candidates(F.col("s"))).collect()]
+    assert "Sibírská" in got[0] and got[0][-1] == "Sibírskej" and got[1:] == [["Moyzesova"], None]
+
+
+def test_report_parts(spark):
+    entries = spark.createDataFrame([("buy", 2900.0, 2682.3), ("rent", 11.5, 2682.3)], "d string, l double, r double")
+    assert [len(r[0]) for r in entries.select(valuation.benchmark_entries(F.col("d"), F.col("l"), F.col("r"))).collect()] == [2, 1]
+    listings = spark.createDataFrame([(1, "buy", "card", ["a", "card"], datetime(2026, 1, 1))], "id long, deal_type string, image_url string, images array<string>, first_seen_at timestamp")
+    assert tuple(valuation.property_facts(listings, datetime(2026, 1, 11)).first()) == (1, ["card", "a"], 10, "sale")
+    counts = spark.createDataFrame([(3, None)], "a int, b int")
+    assert [x["label"] for x in counts.select(valuation.location_facts(["a", "b"])).first()[0]] == ["a"]
+    scores = spark.createDataFrame([(1, 50.0, False), (2, 70.0, False), (3, 90.0, True)], "id long, q double, mock boolean")
+    best = spark.createDataFrame([(1, 2), (1, 3)], "id long, o_id long")
+    assert {r["id"]: (r["q"], r["mean_q"]) for r in valuation.photo_context(best, scores, ["q"]).collect()} == {1: (50.0, 70.0), 2: (70.0, None)}
+    ordered = search.in_given_order(spark.range(5), [3, 9, 1, 3]).collect()
+    assert [r["id"] for r in ordered] == [3, 1]
+    merged = merge.merge_by_key(spark.createDataFrame([(1, "a")], "k int, v string"), spark.createDataFrame([(1, "b"), (2, "c")], "k int, v string"), ["k"])
+    assert tuple(merge.ingest_summary(merged, 1, 0).first()) == (1, 1, 1, 0, "succeeded")
