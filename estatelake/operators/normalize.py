@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 
 from estatelake.functions.columns import deal_type_of, number, per_sqm, whole
 
-#: Fixed values.
+#: Names of categories, and words that tell them apart in Slovak texts, in order of precedence.
 CATEGORIES = {"byty": "apartment", "byt": "apartment", "apartment": "apartment", "domy": "house", "dum": "house", "house": "house", "pozemky": "land", "pozemek": "land", "land": "land", "komercni": "commercial", "commercial": "commercial"}
 TEXT_CATEGORIES = [
-    ("commercial", "nebytov|kancel[áa]r|obchodn|sklad|prev[áa]dzk|komer[čc]|re[šs]taur[áa]c|priemyseln"),
-    ("apartment", r"\bbyt\w*|\bizb|gar[zs][óo]n|apartm[áa]n|mezonet"),
-    ("house", r"rodinn\w*\s+dom|\bdom\b|dom[čc]ek|chat\w*|chalup|\bvila\b|novostavb"),
-    ("land", r"pozemok|pozemk|parcel|z[áa]hrad|orn\w*\s+pôd"),
+    ("commercial", r"nebytov|kancelár|kancelar|obchodn|sklad|prevádzk|prevadzk|komerč|komerc|reštaurác|restaurac|priemyseln"),
+    ("apartment", r"\bbyt\w*|\bizb|garzón|garzon|garsón|garson|apartmán|apartman|mezonet"),
+    ("house", r"rodinn\w*\s+dom|\bdom\b|domček|domcek|chat\w*|chalup|\bvila\b|novostavb"),
+    ("land", r"pozemok|pozemk|parcel|záhrad|zahrad|orn\w*\s+pôd"),
 ]
 
 
@@ -66,13 +66,13 @@ def area_in_text(text: F.Column) -> F.Column:
 
 def rooms_in_text(title: F.Column) -> F.Column:
     n = F.replace(F.regexp_extract(title, r"(?iu)(\d+(?:[.,]\d+)?)\s*-?\s*izb", 1), F.lit(","), F.lit("."))
-    return F.when(title.rlike("(?iu)gar[sz][óo]n"), "1-izb").when(n != "", F.concat(F.regexp_replace(n, r"\.0$", ""), F.lit("-izb")))
+    return F.when(title.rlike("(?iu)garzón|garzon|garsón|garson"), "1-izb").when(n != "", F.concat(F.regexp_replace(n, r"\.0$", ""), F.lit("-izb")))
 
 
 def deal_type_in_text(title: F.Column, content: F.Column, price: F.Column) -> F.Column:
     def word(text):
         t = F.lower(F.coalesce(text, F.lit("")))
-        rent, buy = t.rlike("pren[aá]j"), t.rlike("predaj|predá|predam")
+        rent, buy = t.rlike("prenaj|prenáj"), t.rlike("predaj|predá|predam")
         return F.when(rent & ~buy, "rent").when(buy & ~rent, "buy")
 
     return F.coalesce(word(title), F.when(price >= 15000, "buy").when(price <= 4000, "rent"), word(content))
