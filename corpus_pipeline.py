@@ -13,11 +13,14 @@ repeated document of stage 4 is a repeated row, and is packed once for each.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from estatelake.llm import langid, line_dedup, mixing, near_dedup, packing
 from estatelake.llm.common import keep, table
+from estatelake.ship import ship
 
 #: Below this the languages are about as likely as each other.
 LEAST_SCORE = 0.4
@@ -50,12 +53,23 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.pack(docs)
 
 
+def _ready(stage):
+    """A stage that first gives the library to executors that lack it."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("language_id", identify_language),
-    ("line_dedup", drop_repeated_lines),
-    ("near_dedup", drop_near_duplicates),
-    ("mix_sources", mix_sources),
-    ("pack", pack_sequences),
+    ("language_id", _ready(identify_language)),
+    ("line_dedup", _ready(drop_repeated_lines)),
+    ("near_dedup", _ready(drop_near_duplicates)),
+    ("mix_sources", _ready(mix_sources)),
+    ("pack", _ready(pack_sequences)),
 ]
 
 #: SQL can't express language models, MinHash and best fit: tests/llm holds the stages against brute force.
