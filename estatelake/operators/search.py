@@ -35,10 +35,24 @@ def entitled_plan(role: F.Column, override: F.Column, status: F.Column, plan: F.
     return F.when((role == "admin") | F.coalesce(override, F.lit(False)), "pro").when(status.isin("active", "trialing", "past_due"), F.coalesce(plan, F.lit("pro"))).otherwise("basic")
 
 
-def user_directory(users: DataFrame, subscriptions: DataFrame, key: str, q: str | None = None, name: str = "name") -> DataFrame:
-    """Users with their subscription, if any; q is searched in the name regardless of case; ``total`` counts what is found."""
-    found = users.filter(F.col(name).ilike(f"%{q}%")) if q else users
-    return found.join(subscriptions, key, "left")
+def user_directory(users: DataFrame, subscriptions: DataFrame, key: str, q: str | None = None, name: str = "name", email: str | None = None, newest: list[str] | None = None, limit: int | None = None, offset: int = 0) -> DataFrame:
+    """Users with their subscription, if any; q is searched in the name, and the e-mail if there is one, regardless of case.
+
+    ``total`` counts what is found on all pages. ``newest``: columns to order by, each descending; a page needs them.
+    """
+    found = users
+    if q:
+        met = F.coalesce(F.col(name).ilike(f"%{q}%"), F.lit(False))
+        found = users.filter(met | F.coalesce(F.col(email).ilike(f"%{q}%"), F.lit(False)) if email else met)
+    total = found.agg(F.count(F.lit(1)).alias("total"))  # one row
+    order = [F.desc_nulls_last(c) for c in newest or []]
+    if limit is not None or offset:
+        if not order:
+            raise ValueError("a page needs an order")
+        found = found.orderBy(*order).offset(offset)
+        found = found if limit is None else found.limit(limit)
+    out = found.join(subscriptions, key, "left").crossJoin(F.broadcast(total))
+    return out.orderBy(*order) if order else out
 
 
 def listing_projection(listings: DataFrame) -> DataFrame:

@@ -178,6 +178,20 @@ def _(spark, sf):
     return out.select("c_custkey", "c_name", F.col("o_orderstatus").alias("status"), search.entitled_plan(role, F.lit(False), status, F.lit(None).cast("string")).alias("plan"))
 
 
+_U = "lower(c_mktsegment) || (c_custkey * 7) || '@example.org'"
+
+
+@query("p14_user_directory", f"""WITH s AS (SELECT o_custkey AS c_custkey, arg_max(o_orderstatus, (o_orderdate, o_orderkey)) AS status FROM orders GROUP BY ALL), f AS (SELECT *, {_U} AS email FROM customer WHERE c_name ILIKE '%7%' OR {_U} ILIKE '%7%')
+SELECT c_custkey, c_name, email, status, CASE WHEN c_mktsegment = 'BUILDING' THEN 'pro' WHEN status IN ('F', 'P') THEN 'pro' ELSE 'basic' END AS plan, (SELECT count(*) FROM f) AS total FROM f LEFT JOIN s USING (c_custkey)""")
+def _(spark, sf):
+    status = F.when(F.col("o_orderstatus") == "F", "active").when(F.col("o_orderstatus") == "P", "past_due").otherwise("canceled")
+    subs = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max_by("o_orderstatus", F.struct("o_orderdate", "o_orderkey")).alias("o_orderstatus"))
+    users = table(spark, sf, "customer").withColumn("email", F.concat(F.lower("c_mktsegment"), F.col("c_custkey") * 7, F.lit("@example.org")))
+    out = search.user_directory(users, subs, "c_custkey", "7", "c_name", "email", ["c_custkey"])
+    role = F.when(F.col("c_mktsegment") == "BUILDING", "admin").otherwise("user")
+    return out.select("c_custkey", "c_name", "email", F.col("o_orderstatus").alias("status"), search.entitled_plan(role, F.lit(False), status, F.lit(None).cast("string")).alias("plan"), "total")
+
+
 @query("s7a_merge_state", f"""WITH {OBS}, a AS (SELECT source, listing_id, arg_max(price, (scraped_at, event_id)) AS price, min(scraped_at) AS first_seen, max(scraped_at) AS last_seen FROM obs WHERE event_id % 2 = 0 GROUP BY ALL),
 b AS (SELECT source, listing_id, arg_max(price, (scraped_at, event_id)) AS price, min(scraped_at) AS first_seen, max(scraped_at) AS last_seen FROM obs WHERE event_id % 2 = 1 GROUP BY ALL)
 SELECT coalesce(a.source, b.source) AS source, coalesce(a.listing_id, b.listing_id) AS listing_id, coalesce(b.price, a.price) AS price, CAST(coalesce(a.first_seen, b.first_seen) AS DATE) AS first_seen, CAST(greatest(a.last_seen, b.last_seen) AS DATE) AS last_seen,
