@@ -301,7 +301,7 @@ def _(spark, sf):
     from estatelake.operators.features import build_features, score, train
 
     frame = build_features(_snaps(spark, sf), market.market_statistics(_current(spark, sf)), "sale_price")
-    model, _ = train(frame, rounds=10)
+    model, _ = train(frame)
     return score(model, frame).select("source", "listing_id", "day", "target", "predicted")
 
 

@@ -1,12 +1,13 @@
 """Jobs that once did less than the whole."""
 
+import inspect
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from estatelake.operators import geo, search
+from estatelake.operators import features, geo, search
 from estatelake.plans.registry import STREETS
 
 SF = "/root/testdata/sf0.001"
@@ -82,3 +83,15 @@ def test_street_query_is_brute_force(spark):
     assert {r["doc_id"]: (r["street"], r["house_number"]) for r in rows} == want and len(rows) == len(docs)
     assert sum(s is not None for s, _ in want.values()) > len(docs) // 3
     assert next(r["candidates"] for r in rows if r["street"] == "Sibírskej").split("|")[-1] == "Sibírskej"
+
+
+def test_training_query_uses_all_trees(spark, monkeypatch):
+    asked, real = [], features.train
+
+    def few(frame, **options):
+        asked.append(options)
+        return real(frame, rounds=1)
+
+    monkeypatch.setattr(features, "train", few)
+    assert entry.queries()["m3_train_and_score"](spark, SF).count() > 0
+    assert asked == [{}] and inspect.signature(real).parameters["rounds"].default == 200
