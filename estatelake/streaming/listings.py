@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from datetime import date, timedelta
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 CHANGES = "source string, listing_id long, day date, old_price double, new_price double"
-_STATE = "price double"
+_STATE = "base double, days array<int>, stamps array<long>, events array<long>, prices array<double>"
+_EPOCH = date(1970, 1, 1)
 
 
 def ingest(stream: DataFrame, batch_job: Callable[[DataFrame, int], None], checkpoint: str):
@@ -29,21 +31,63 @@ def without_repeats(stream: DataFrame, late: str = "2 days") -> DataFrame:
     return stream.withWatermark("scraped_at", late).dropDuplicatesWithinWatermark(["source", "listing_id", "day", "content_hash"])
 
 
-def _changes(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    rows = pd.concat(list(batches)).sort_values(["scraped_at", "event_id"])
-    old = state.get[0] if state.exists else None
-    out = []
-    for day, price in zip(rows["day"], rows["price"], strict=True):
-        if pd.isna(price):
-            continue
-        if old is not None and price != old:
-            out.append((key[0], int(key[1]), day, old, float(price)))
-        old = float(price)
-    if old is not None:
-        state.update((old,))
-    yield pd.DataFrame(out, columns=["source", "listing_id", "day", "old_price", "new_price"])
-
-
-def price_changes(stream: DataFrame) -> DataFrame:
-    """Changes against the price last seen, by listing; the state is one price for each."""
-    return stream.groupBy("source", "listing_id").applyInPandasWithState(_changes, CHANGES, _STATE, "append", GroupStateTimeout.NoTimeout)
+def _epoch_ms(day: int) -> int:
+    """A day is over in each time zone: its end in UTC and half a day for zones west of it."""
+    return (day + 1) * 86_400_000 + 43_200_000
+
+
+def _changes(hold: bool):
+    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        """The state: the last observation of each open day, and the last price before them."""
+        base, *held = state.get if state.exists else (None, [], [], [], [])
+        days = {d: (at, event, price) for d, at, event, price in zip(*held, strict=True)}
+        touched = set()
+        for rows in batches:
+            if rows.empty:  # a timeout
+                continue
+            price = rows["price"].astype(object).where(rows["price"].notna(), None)
+            # In microseconds: the column's own unit depends on the reader.
+            stamps = rows["scraped_at"].astype("datetime64[us]" if rows["scraped_at"].dt.tz is None else "datetime64[us, UTC]").astype("int64")
+            for day, at, event, value in zip(rows["day"], stamps, rows["event_id"], price, strict=True):
+                d = (day - _EPOCH).days
+                new = (int(at), int(event), None if value is None else float(value))
+                if d not in days or new[:2] > days[d][:2]:
+                    days[d] = new
+                    touched.add(d)
+        if hold:
+            now = state.getCurrentWatermarkMs()
+            touched = {d for d in days if _epoch_ms(d) <= now}
+        out, old = [], base
+        for d in sorted(days):
+            price = days[d][2]
+            if price is None:
+                continue
+            if d in touched and old is not None and price != old:
+                out.append((key[0], int(key[1]), _EPOCH + timedelta(days=d), old, price))
+            old = price
+            if hold and d in touched:
+                base = price
+        if hold:
+            days = {d: x for d, x in days.items() if d not in touched}
+        left = sorted(days)
+        state.update((base, left, *[[days[d][i] for d in left] for i in range(3)]))
+        if hold and left:
+            state.setTimeoutTimestamp(max(_epoch_ms(left[0]), now + 1))
+        yield pd.DataFrame(out, columns=["source", "listing_id", "day", "old_price", "new_price"])
+
+    return run
+
+
+def price_changes(stream: DataFrame, late: str | None = None) -> DataFrame:
+    """Changes of a day's last price against the last price strictly before its day, by listing.
+
+    With ``late`` (as for a watermark; scraped_at is a timestamp) a day's row waits
+    until the watermark has passed the day, so the rows are those of the batch job
+    for all that comes in time; what comes later is dropped. Without it, rows come
+    at once and the state keeps a price for each day: a later observation of a day
+    gives a further row, and a late day is compared with the price before it but
+    doesn't revise the rows of days after it.
+    """
+    timed = stream.withWatermark("scraped_at", late) if late else stream
+    timeout = GroupStateTimeout.EventTimeTimeout if late else GroupStateTimeout.NoTimeout
+    return timed.groupBy("source", "listing_id").applyInPandasWithState(_changes(bool(late)), CHANGES, _STATE, "append", timeout)

@@ -2,13 +2,15 @@
 
 import inspect
 import re
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from estatelake.operators import features, geo, search
+from estatelake.operators import features, geo, history, search
 from estatelake.plans.registry import STREETS
+from estatelake.streaming import listings as streams
 
 SF = "/root/testdata/sf0.001"
 
@@ -95,3 +97,30 @@ def test_training_query_uses_all_trees(spark, monkeypatch):
     monkeypatch.setattr(features, "train", few)
     assert entry.queries()["m3_train_and_score"](spark, SF).count() > 0
     assert asked == [{}] and inspect.signature(real).parameters["rounds"].default == 200
+
+
+def in_batches(spark, folder, batches, late, zone):
+    """The rows of the streamed job, a micro-batch for each list of (listing, day, hour, event, price); and all observations."""
+    kind, parts = "source string, listing_id long, scraped_at timestamp_ntz, event_id long, price double", []
+    for i, rows in enumerate(batches):
+        df = spark.createDataFrame([("s", k, datetime(2026, 1, d, h), e, p) for k, d, h, e, p in rows], kind).withColumn("day", F.to_date("scraped_at"))
+        parts.append(df.withColumn("scraped_at", F.col("scraped_at").cast("timestamp")) if zone else df)
+        parts[-1].coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        changes = streams.price_changes(spark.readStream.schema(parts[-1].schema).parquet(f"{folder}/in"), **({"late": late} if late else {}))
+        changes.writeStream.foreachBatch(lambda out, n: out.write.mode("append").parquet(f"{folder}/out")).outputMode("append").option("checkpointLocation", f"{folder}/c").trigger(availableNow=True).start().awaitTermination()
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return sorted(map(tuple, spark.read.parquet(f"{folder}/out").collect())), out
+
+
+def test_late_and_same_day_rows_match_batch(spark, folder):
+    batches = [[(1, 1, 8, 1, 100.0), (2, 1, 8, 2, 5.0)], [(1, 4, 8, 3, 120.0), (2, 2, 9, 4, 6.0)], [(1, 2, 8, 5, 90.0), (2, 2, 7, 6, 9.0), (1, 4, 6, 7, 77.0)], [(1, 4, 20, 8, 130.0), (2, 3, 8, 9, None)], [(3, 28, 8, 10, 1.0), (2, 5, 8, 11, 6.0)]]
+    got, obs = in_batches(spark, folder, batches, "5 days", True)
+    batch = history.price_changes(history.day_snapshots(obs)).select("source", "listing_id", "day", "old_price", "new_price")
+    assert got == sorted(map(tuple, batch.collect())) == [("s", 1, date(2026, 1, 2), 100.0, 90.0), ("s", 1, date(2026, 1, 4), 90.0, 130.0), ("s", 2, date(2026, 1, 2), 5.0, 6.0)]
+
+
+def test_late_row_meets_the_price_before_its_day(spark, folder):
+    got, _ = in_batches(spark, folder, [[(1, 1, 8, 1, 100.0)], [(1, 4, 8, 2, 120.0)], [(1, 2, 8, 3, 100.0)], [(1, 5, 8, 4, 120.0)]], None, False)
+    assert got == [("s", 1, date(2026, 1, 4), 100.0, 120.0)]
