@@ -6,14 +6,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: Fixed names of a deal type as stored, and the words for it in URLs.
+DEALS = {"buy": (("buy", "sale"), ("prodej", "predaj")), "rent": (("rent",), ("pronajem", "pronájem", "prenajom"))}
+DEALS["sale"] = DEALS["buy"]
+
+
 def page(df: DataFrame, order: list, limit: int = 50, offset: int = 0) -> DataFrame:
     return df.orderBy(*order).offset(offset).limit(limit)
 
 
 def search_listings(listings: DataFrame, source=None, category=None, deal_type=None, region=None, district=None, active=None, min_price=None, max_price=None) -> DataFrame:
-    """Priced listings that meet each given argument; an argument of None adds no predicate."""
+    """Priced listings that meet each given argument; an argument of None adds no predicate.
+
+    A deal type of buy (or sale) or rent is the stored one, or where none is stored, the URL's if there is a column ``url``.
+    """
     out = listings.filter(F.col("price").isNotNull())
-    for name, value in (("source", source), ("category", category), ("deal_type", deal_type), ("region", region), ("district", district), ("active", active)):
+    if deal_type is not None:
+        names, slugs = DEALS.get(deal_type, ((deal_type,), ()))
+        met = F.col("deal_type").isin(*names)
+        if slugs and "url" in listings.columns:
+            linked = F.lower("url").rlike("|".join(slugs))
+            met = met | (F.col("deal_type").isNull() & F.coalesce(linked, F.lit(False)))
+        out = out.filter(met)
+    for name, value in (("source", source), ("category", category), ("region", region), ("district", district), ("active", active)):
         if value is not None:
             out = out.filter(F.col(name) == value)
     if min_price is not None:
@@ -80,14 +95,23 @@ def single_photo(listings: DataFrame) -> DataFrame:
     return listings.filter(F.coalesce(F.size("images"), F.lit(0)) <= 1)
 
 
-def benchmark_rows(bench: DataFrame, period: str | None = None, granularity: str | None = None) -> DataFrame:
-    """Rows of a period (default: the latest), districts first by name."""
+def benchmark_rows(bench: DataFrame, period: str | None = None, granularity: str | None = None, segment: str | None = None, metric: str | None = None, city: str | None = None) -> DataFrame:
+    """Rows of a period (default: the latest) that meet each given argument."""
     if period is None:
         newest = bench.agg(F.max_by("period", F.struct("year", "quarter", "period")).alias("period"))  # one row
         bench = bench.join(F.broadcast(newest), "period")
     else:
         bench = bench.filter(F.col("period") == period)
-    return bench if granularity is None else bench.filter(F.col("granularity") == granularity)
+    for name, value in (("granularity", granularity), ("segment", segment), ("metric", metric), ("city", city)):
+        if value is not None:
+            bench = bench.filter(F.col(name) == value)
+    return bench
+
+
+def saved_listings(saved: DataFrame, listings: DataFrame, user) -> DataFrame:
+    """saved: (user_id, id, saved_at). The listings that a user has saved, newest first."""
+    own = saved.filter(F.col("user_id") == user).select("id", "saved_at")
+    return listings.join(own, "id").orderBy(F.desc("saved_at"), F.desc("id"))
 
 
 def with_total(df: DataFrame) -> int:

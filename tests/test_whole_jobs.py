@@ -124,3 +124,17 @@ def test_late_and_same_day_rows_match_batch(spark, folder):
 def test_late_row_meets_the_price_before_its_day(spark, folder):
     got, _ = in_batches(spark, folder, [[(1, 1, 8, 1, 100.0)], [(1, 4, 8, 2, 120.0)], [(1, 2, 8, 3, 100.0)], [(1, 5, 8, 4, 120.0)]], None, False)
     assert got == [("s", 1, date(2026, 1, 4), 100.0, 120.0)]
+
+
+def test_search_by_the_url_where_no_deal_type_is_stored(spark):
+    rows = [(1, "buy", "x", 1), (2, None, "http://x/Prodej-bytu", 1), (3, None, "http://x/predaj", 1), (4, None, "http://x/prenajom", 1), (5, "rent", "http://x/predaj", 1), (6, None, None, 1), (7, "sale", None, 1)]
+    df = spark.createDataFrame(rows, "id int, deal_type string, url string, price int")
+    found = lambda kind: sorted(r["id"] for r in search.search_listings(df, deal_type=kind).collect())
+    assert found("buy") == found("sale") == [1, 2, 3, 7] and found("rent") == [4, 5]
+
+
+def test_saved_listings_and_benchmark_filters(spark):
+    saved = spark.createDataFrame([(1, 10, 5), (1, 11, 9), (2, 12, 7), (1, 99, 8)], "user_id int, id int, saved_at int")
+    assert [r["id"] for r in search.saved_listings(saved, spark.createDataFrame([(10,), (11,), (12,)], "id int"), 1).collect()] == [11, 10]
+    bench = spark.createDataFrame([("p", 2024, 1, "new", "avg", "A"), ("p", 2024, 1, "old", "avg", "A"), ("p", 2024, 1, "new", "avg", "B"), ("o", 2023, 1, "new", "avg", "A")], "period string, year int, quarter int, segment string, metric string, city string")
+    assert search.benchmark_rows(bench, segment="new", metric="avg", city="A").count() == 1
