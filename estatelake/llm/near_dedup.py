@@ -16,14 +16,16 @@ are the connected components of the links.
    are candidates (0.9994 of pairs at similarity 0.8, more above).
 3. Equal texts are one node. In a bucket, each node is first compared with a
    centre alone: the member that shares most buckets with others. Links merge
-   nodes into components. Then, in buckets that still hold more than one
-   component, pairs of nodes of different components are compared, unless a
-   bound rules the link out: what two texts share weighs no more than what
-   either shares with all texts of other components, so a text that was edited
-   too much for a link meets no one. Pairs whose samples differ far more often than those
-   of linked texts do (four in 10,000 pairs at similarity 0.8) aren't compared
-   either. So each candidate pair is compared, ruled out or already connected:
-   no cap, and no pairs within a group that is connected.
+   nodes into components. Buckets that still hold more than one component are
+   dealt into blocks of BLOCK_TEXTS nodes; a task gets two blocks (or one with
+   itself), compares all their pairs by matrix products over the shingles that
+   they share, and returns no more than one row for each node: what it is
+   connected to. So each candidate pair is compared or already connected, and
+   pairs are no rows of any table.
+4. In a bucket of more than one block, a text takes part only if its shingles
+   that texts of other components hold too weigh SIMILARITY of its weight: what
+   two linked texts share weighs that much. So texts of a large family that
+   were edited too much for a link meet no one.
 
 Cases: text that is null or has no word is a class of its own; a text of fewer
 than five words is one shingle; a null id is the largest; rows that repeat a
@@ -55,10 +57,10 @@ WIDTH, DEPTH = 1 << 17, 2
 RARE = 0.02
 IDF_RANGE = 0.2
 VARIATES = 1 << 14
-#: While pairs across components are more than DIRECT for each member, up to STAR_ROUNDS more centres are tried first.
-STAR_ROUNDS, DIRECT = 1, 4
-#: Samples, of BANDS * ROWS, whose two sketch bits may differ; at similarity 0.8 it is 8.4 on average, 2.7 the deviation.
-MOST_DIFFERENT = 18
+#: Of a block of a bucket, about: nodes, and code points of their texts. A centre meets as many in a task.
+BLOCK_TEXTS, BLOCK_CHARS = 1024, 4 << 20
+#: Columns of a matrix product; sums in another order differ by less than SLACK, which counts as equal.
+COLUMNS, SLACK = 2048, 1e-9
 #: Of the search for shingles that two texts hold: texts of a batch in bytes, digests of a shard.
 BATCH_BYTES = 1 << 20
 SHARD_DIGESTS = 500_000
@@ -126,7 +128,7 @@ def variates() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def bands(hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """A 64-bit value for each band, equal if its samples are; then two words with a bit of each sample."""
+    """A 64-bit value for each band, equal if its samples are."""
     r_all, lnc_all, beta_all = variates()
     at = (hashes >> np.uint64(50)).astype(np.int64)
     ln_w = np.log(weights)[:, None]
@@ -148,8 +150,7 @@ def bands(hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
     out = np.zeros(BANDS, np.uint64)
     for i in range(ROWS):
         out = mix(out * np.uint64(0xC2B2AE3D27D4EB4F) + sample[i::ROWS])
-    sketch = [np.packbits(np.append((sample >> np.uint64(i)) & np.uint64(1), np.zeros(64 - len(sample))).astype(np.uint8)).view(np.uint64) for i in (0, 1)]
-    return np.concatenate([out, *sketch]).view(np.int64)
+    return out.view(np.int64)
 
 
 def _signatures(shared):
@@ -166,25 +167,127 @@ def _signatures(shared):
     return run
 
 
-def _verified(shared, least: float):
+# --- comparing --------------------------------------------------------------
+
+
+def shared_weight(sets: list[tuple[np.ndarray, np.ndarray]], split: int) -> np.ndarray:
+    """Sums of minimums between sets[:split] and sets[split:] (split 0: between all).
+
+    A shingle is one column for each of the weights that it has: a text of
+    weight w holds the columns up to w, and a column counts its step.
+    """
+    n = len(sets)
+    hashes, weights = np.concatenate([x[0] for x in sets]), np.concatenate([x[1] for x in sets]).astype(np.float64)
+    owner = np.repeat(np.arange(n), [len(x[0]) for x in sets])
+    order = np.lexsort((weights, hashes))
+    hashes, weights, owner = hashes[order], weights[order], owner[order]
+    fresh = np.concatenate([[True], hashes[1:] != hashes[:-1]])
+    group = np.cumsum(fresh) - 1
+    left = np.bincount(group[owner < split], minlength=group[-1] + 1) if split else np.bincount(group)
+    met = (left > 0) & (np.bincount(group) > left) if split else left > 1
+    keep_at = met[group]
+    weights, owner, fresh, group = weights[keep_at], owner[keep_at], fresh[keep_at], group[keep_at]
+    out = np.zeros((split or n, n - split))
+    if not len(owner):
+        return out
+    step = fresh | np.concatenate([[True], weights[1:] != weights[:-1]])
+    level = np.cumsum(step) - 1  # the column of an entry's own weight
+    starts = np.flatnonzero(step)
+    size = np.where(fresh[starts], weights[starts], weights[starts] - weights[np.maximum(starts - 1, 0)])
+    lowest = level[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]  # the first column of an entry's shingle
+    begin = 0
+    while begin < len(owner):
+        end = int(np.searchsorted(level, level[begin] + COLUMNS))
+        if end < len(owner):  # whole shingles; a single one may have more columns
+            end = int(np.searchsorted(lowest, lowest[end], "left")) if lowest[end] > lowest[begin] else int(np.searchsorted(lowest, lowest[begin], "right"))
+        low, deep = lowest[begin:end], level[begin:end] - lowest[begin:end] + 1
+        at = np.repeat(low - low[0] - (np.cumsum(deep) - deep), deep) + np.arange(deep.sum())
+        held = np.zeros((n, level[end - 1] - low[0] + 1))
+        held[np.repeat(owner[begin:end], deep), at] = 1
+        out += (held[: split or n] * size[low[0] : level[end - 1] + 1]) @ held[split:].T
+        begin = end
+    return out
+
+
+def connected(sets: list[tuple[np.ndarray, np.ndarray]], split: int, comps: np.ndarray, least: float) -> np.ndarray:
+    """For each set the first that it is connected to by links, between sets[:split] and sets[split:] (split 0: all); equal ``comps`` aren't compared."""
+    n, total = len(sets), np.array([x[1].astype(np.float64).sum() for x in sets])
+    rows, cols = np.arange(split or n), np.arange(split, n)
+    both = shared_weight(sets, split)
+    alike = both / np.maximum(total[rows][:, None] + total[cols] - both, 1e-30)
+    link = (comps[rows][:, None] != comps[cols]) & (alike >= least - SLACK)
+    a, b = np.nonzero(link)
+    a, b, label = rows[a], cols[b], np.arange(n)
+    while True:
+        new = label.copy()
+        np.minimum.at(new, a, label[b])
+        np.minimum.at(new, b, label[a])
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
+def _links(rows: list, comps: list, split: int, least: float) -> list[tuple[int, int]]:
+    if len(set(comps)) < 2:
+        return []
+    nodes, sets = zip(*rows, strict=True)
+    first = connected(list(sets), split, np.array(comps), least)
+    return [(nodes[i], nodes[j]) for i, j in enumerate(first) if i != j]
+
+
+def _compared(shared, least: float):
+    """Rows come sorted by (band, value, i, j, side): the two blocks of a task's pair, or one block (i = j)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = Weights(*shared.value)
-        last: tuple[int | None, object] = None, None
-        for whole in batches:
-            for begin in range(0, whole.num_rows, 500):
-                out, batch = [], whole.slice(begin, 500)
-                for a, b, text_a, text_b in zip(*(batch[c].to_pylist() for c in ("a", "b", "text_a", "text_b")), strict=True):
-                    if last[0] != a:
-                        last = a, weights(text_a)
-                    if similarity(last[1], weights(text_b)) >= least:
-                        out.append((a, b))
-                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], ["a", "b"])
+        weigh = Weights(*shared.value)
+        key, rows, comps, split = None, [], [], 0
+        for batch in batches:
+            out = []
+            for *own, side, node, comp, text in zip(*(batch[c].to_pylist() for c in ("band", "value", "i", "j", "side", "node", "comp", "text")), strict=True):
+                if own != key:
+                    if key and (split or key[2] == key[3]):
+                        out += _links(rows, comps, split, least)
+                    key, rows, comps, split = own, [], [], 0
+                if side and not split:
+                    split = len(rows)
+                    if not split:  # nothing on the other side
+                        key = None
+                        continue
+                rows.append((node, weigh(text)))
+                comps.append(comp)
+            yield _pairs(out)
+        if key and (split or key[2] == key[3]):
+            yield _pairs(_links(rows, comps, split, least))
+
+    return run
+
+
+def _with_centre(shared, least: float):
+    """Rows come sorted by (centre, salt, side): the centre, then nodes to compare with it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weigh, centre = Weights(*shared.value), (None, None)
+        for batch in batches:
+            out = []
+            for side, node, text in zip(*(batch[c].to_pylist() for c in ("side", "node", "text")), strict=True):
+                if not side:
+                    centre = node, weigh(text)
+                elif similarity(centre[1], weigh(text)) >= least - SLACK:
+                    out.append((centre[0], node))
+            yield _pairs(out)
 
     return run
 
 
-HELD = "batch string, n long, ids binary, nodes binary, counts binary, weights binary, digests binary"
-_HELD_SCHEMA = pa.schema([("batch", pa.string()), ("n", pa.int64()), *((x, pa.binary()) for x in ("ids", "nodes", "counts", "weights", "digests"))])
+def _pairs(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[i] for x in pairs], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+
+# --- shingles that texts of other components hold ---------------------------
+
+HELD = "batch long, n long, ids binary, nodes binary, counts binary, weights binary, digests binary"
+_HELD_SCHEMA = pa.schema([("batch", pa.int64()), ("n", pa.int64()), *((x, pa.binary()) for x in ("ids", "nodes", "counts", "weights", "digests"))])
 
 
 def _packed_shingles(shared):
@@ -196,7 +299,7 @@ def _packed_shingles(shared):
 
         def packed() -> pa.RecordBatch:
             hashes, weights = zip(*sets, strict=True)
-            row = {"batch": rng.bytes(16).hex(), "n": sum(map(len, hashes)), "ids": np.array(ids, np.int64).tobytes(), "nodes": np.array(nodes, np.int64).tobytes(), "counts": np.array([*map(len, hashes)], np.int64).tobytes(), "weights": np.concatenate(weights).tobytes(), "digests": np.concatenate(hashes).tobytes()}
+            row = {"batch": int(rng.integers(1 << 62)), "n": sum(map(len, hashes)), "ids": np.array(ids, np.int64).tobytes(), "nodes": np.array(nodes, np.int64).tobytes(), "counts": np.array([*map(len, hashes)], np.int64).tobytes(), "weights": np.concatenate(weights).tobytes(), "digests": np.concatenate(hashes).tobytes()}
             return pa.RecordBatch.from_pylist([row], schema=_HELD_SCHEMA)
 
         for batch in batches:
@@ -230,28 +333,28 @@ def _summed_weights(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 class NearDuplicates:
     """The classes of a table of documents; the tables it writes are in the shared folder.
 
-    rows: (id, h1, h2, bands) of each document. texts: (h1, h2, rep, copies,
-    node) of each different text with a word. comps: (node, comp) of those with
-    a link. pairs_compared: how many pairs were verified.
+    rows: (id, h1, h2, chars, bands) of each document. texts: (h1, h2, rep,
+    copies, chars, node) of each different text with a word. comps: (node, comp)
+    of those with a link. rows_compared: how many texts the tasks that compare
+    were sent.
     """
 
-    def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY):
+    def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY, block_texts: int = BLOCK_TEXTS, block_chars: int = BLOCK_CHARS):
         self.spark = docs.sparkSession
-        self.least = least
+        self.least, self.block_texts, self.block_chars = least, block_texts, block_chars
         self.docs = docs.select(id_key(id_col).alias("id"), F.col(text_col).alias("text"))
         counts = document_frequencies(self.docs)
         self.shared = self.spark.sparkContext.broadcast((counts, self.docs.count()))
-        hashed = self.docs.withColumn("h1", F.xxhash64("text")).withColumn("h2", F.xxhash64(F.lit(7), "text"))
-        self.rows = keep(hashed.select("id", "h1", "h2", "text").mapInArrow(_signatures(self.shared), "id long, h1 long, h2 long, bands array<long>"), "near-rows")
-        texts = self.rows.filter("bands IS NOT NULL").groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands"))
-        texts = texts.select("h1", "h2", "rep", "copies", F.slice("bands", 1, BANDS).alias("bands"), *[F.col("bands")[BANDS + i].alias(f"sketch{i}") for i in (0, 1)])
+        hashed = self.docs.withColumn("h1", F.xxhash64("text")).withColumn("h2", F.xxhash64(F.lit(7), "text")).withColumn("chars", F.length("text").cast("long"))
+        self.rows = keep(hashed.select("id", "h1", "h2", "chars", "text").mapInArrow(_signatures(self.shared), "id long, h1 long, h2 long, chars long, bands array<long>"), "near-rows")
+        texts = self.rows.filter("bands IS NOT NULL").groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("chars").alias("chars"), F.first("bands").alias("bands"))
         self.texts = keep(texts.withColumn("node", F.monotonically_increasing_id()), "near-texts")
-        self.pairs_compared = 0
-        self.comps = self._classes(self._buckets())
+        self.rows_compared = 0
+        self.comps = self._classes()
 
     def _buckets(self) -> DataFrame:
-        """(band, value, node, n, weight) of the buckets with two nodes or more; weight: how often a node shares a bucket."""
-        held = self.texts.select("node", F.posexplode("bands").alias("band", "value"))
+        """(band, value, node, chars, n, weight) of the buckets with two nodes or more; weight: how often a node shares a bucket."""
+        held = self.texts.select("node", "chars", F.posexplode("bands").alias("band", "value"))
         sizes = held.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         shared = keep(held.join(sizes, ["band", "value"]), "near-buckets")
         weight = shared.groupBy("node").agg(F.sum("n").alias("weight"))
@@ -262,18 +365,22 @@ class NearDuplicates:
         found = self.docs.join(wanted, "id").filter((F.xxhash64("text") == F.col("h1")) & (F.xxhash64(F.lit(7), "text") == F.col("h2")))
         return keep(found.select("node", "text").dropDuplicates(["node"]), "near-texts")
 
-    def _verify(self, pairs: DataFrame) -> DataFrame:
-        pairs = keep(pairs.distinct(), "near-pairs")
-        self.pairs_compared += pairs.count()
-        if self.known is None:
-            self.known = self._text_of(self.buckets.select("node").distinct())
-        met = pairs.join(self.known.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(self.known.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-        return keep(met.mapInArrow(_verified(self.shared, self.least), "a long, b long"), "near-links")
-
-    def _star(self, members: DataFrame, order: F.Column) -> DataFrame:
-        """(a, b): each member of a bucket with the bucket's centre, the member that ``order`` puts last."""
-        centre = members.groupBy("band", "value").agg(F.max_by(F.struct("node", "comp"), F.struct(order, F.col("node"))).alias("c"))
-        return members.join(centre, ["band", "value"]).filter("comp <> c.comp").select(F.col("c.node").alias("a"), F.col("node").alias("b"))
+    def _sent(self, rows: DataFrame, keys: list[str], compare, name: str) -> DataFrame:
+        """(a, b) that ``compare`` finds in the rows of each key, which come with their texts."""
+        rows = keep(rows, name)
+        self.rows_compared += rows.count()
+        met = rows.join(self.known, "node").repartition(*keys).sortWithinPartitions(*keys, "side")
+        return keep(met.mapInArrow(compare(self.shared, self.least), "a long, b long"), "near-links")
+
+    def _star(self) -> DataFrame:
+        """Links between the members of a bucket and its centre, the member that shares most buckets."""
+        members = self.buckets.select("band", "value", "node", "weight")
+        centres = members.groupBy("band", "value").agg(F.max_by("node", F.struct("weight", "node")).alias("centre"))
+        pairs = members.join(centres, ["band", "value"]).filter("node <> centre").select("centre", "node").distinct()
+        salts = pairs.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / self.block_texts).alias("salts"))
+        met = pairs.join(salts, "centre").select("centre", F.pmod(F.xxhash64("node"), F.col("salts")).alias("salt"), F.lit(1).alias("side"), "node")
+        middle = salts.select("centre", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("side"), F.col("centre").alias("node"))
+        return self._sent(met.unionByName(middle), ["centre", "salt"], _with_centre, "near-star")
 
     def _shared_weights(self, nodes: DataFrame) -> DataFrame:
         """``nodes``: (node, comp). Returns (node, w, s): a text's weight, and the weight of its shingles that a text of another component holds too."""
@@ -290,51 +397,44 @@ class NearDuplicates:
         both = comps.unionByName(merged.join(comps, "node", "left_anti").select("node", F.col("node").alias("comp")))
         return keep(both.join(merged.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")), "near-comps")
 
-    def _apart(self, buckets: DataFrame, comps: DataFrame) -> tuple[DataFrame, int, int]:
-        """The buckets that hold more than one component, with ``comp``; their members, and pairs across components."""
-        labelled = buckets.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        parts = labelled.groupBy("band", "value", "comp").agg(F.count(F.lit(1)).alias("k"))
-        mixed = keep(parts.groupBy("band", "value").agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.col("k")).alias("kk"), F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c"), "near-mixed")
-        n, across = mixed.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("kk")) / 2), F.lit(0.0))).first()
-        return labelled.join(mixed.select("band", "value"), ["band", "value"]), n, across
-
-    def _classes(self, buckets: DataFrame) -> DataFrame:
-        self.buckets, self.known = buckets, None
-        comps = components(self._verify(self._star(buckets.withColumn("comp", F.col("node")), F.col("weight"))))
-        able, turn = buckets.select("band", "value", "node").join(self.texts.select("node", "sketch0", "sketch1"), "node"), 0
-        while True:
-            left, n, _ = self._apart(able, comps)
-            if not n:
-                return comps
-            left = keep(left.select("band", "value", "node", "comp", "sketch0", "sketch1"), "near-left")
-            weights = self._shared_weights(left.select("node", "comp").distinct())
-            # A text with s < t w has no partner in another component.
-            facts = keep(weights.filter(F.col("s") >= self.least * F.col("w") - 1e-6), "near-facts")
-            able, n, across = self._apart(left.drop("comp").join(facts, "node"), comps)
-            if turn == STAR_ROUNDS or across <= DIRECT * n:
-                break
-            # The centre is now the text that was edited least.
-            comps = self._merged(comps, self._verify(self._star(able, F.col("s") / F.col("w"))))
-            able, turn = able.drop("comp", "w", "s"), turn + 1
-        # Of a pair with similarity t, the shared weight is t / (1 + t) of both weights' sum.
-        able = keep(able, "near-able")
-        other = able.select("band", "value", *[F.col(c).alias(f"{c}_b") for c in ("node", "comp", "w", "s", "sketch0", "sketch1")])
-        differ = F.bit_count(F.col("sketch0").bitwiseXOR(F.col("sketch0_b")).bitwiseOR(F.col("sketch1").bitwiseXOR(F.col("sketch1_b"))))
-        need = self.least / (1 + self.least) * (F.col("w") + F.col("w_b")) - 1e-6
-        same = [able[c] == other[c] for c in ("band", "value")]
-        pairs = able.join(other, same[0] & same[1] & (F.col("node") < F.col("node_b")) & (F.col("comp") != F.col("comp_b")) & (F.least("s", "s_b") >= need) & (differ <= MOST_DIFFERENT))
-        return self._merged(comps, self._verify(pairs.select(F.col("node").alias("a"), F.col("node_b").alias("b"))))
+    def _apart(self, members: DataFrame) -> DataFrame:
+        """The buckets that hold more than one component, with ``blocks``, how many they are dealt into; of buckets with the same members, one."""
+        each = members.groupBy("band", "value").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(7), "node")).alias("y")).filter("low < high")
+        one = each.groupBy("n", "chars", "x", "y").agg(F.min(F.struct("band", "value")).alias("of"))
+        return one.select("of.band", "of.value", F.ceil(F.greatest(F.col("n") / self.block_texts, F.col("chars") / self.block_chars)).alias("blocks"))
+
+    def _across(self, comps: DataFrame) -> DataFrame:
+        """Connections between nodes that share a bucket and are in different components so far."""
+        named = self.buckets.select("band", "value", "node", "chars").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        members = keep(named.join(self._apart(named), ["band", "value"]), "near-apart")
+        crowd = members.filter("blocks > 1").drop("blocks")
+        members = members.filter("blocks = 1")
+        if crowd.limit(1).count():
+            weights = self._shared_weights(crowd.select("node", "comp").distinct())
+            able = crowd.join(weights.filter(F.col("s") >= self.least * F.col("w") - 1e-6).select("node"), "node")
+            able = keep(able, "near-able")
+            members = members.unionByName(able.join(self._apart(able), ["band", "value"]).select(*members.columns))
+        own = F.pmod(F.xxhash64("node", "band"), F.col("blocks"))
+        met = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        rows = met.select("band", "value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "comp")
+        return self._sent(rows, ["band", "value", "i", "j"], _compared, "near-blocks")
+
+    def _classes(self) -> DataFrame:
+        self.buckets = self._buckets()
+        self.known = self._text_of(self.buckets.select("node").distinct())
+        comps = components(self._star())
+        return self._merged(comps, self._across(comps))
 
     def text_classes(self) -> DataFrame:
         """(h1, h2, rep, class_id, class_size, keeper): a row for each different text; keeper marks one text of a class."""
         comp = F.coalesce("comp", "node").alias("comp")
-        texts = self.texts.drop("bands", "sketch0", "sketch1").join(self.comps, "node", "left").select("h1", "h2", "rep", "copies", "node", comp)
+        texts = self.texts.drop("bands", "chars").join(self.comps, "node", "left").select("h1", "h2", "rep", "copies", "node", comp)
         classes = texts.groupBy("comp").agg(F.min("rep").alias("class_id"), F.sum("copies").alias("class_size"), F.min_by("node", F.struct("rep", "h1", "h2")).alias("first"))
         return keep(texts.join(classes, "comp").select("h1", "h2", "rep", "class_id", "class_size", (F.col("node") == F.col("first")).alias("keeper")), "near-classes")
 
     def documents(self) -> DataFrame:
         """(doc_id, class_id, class_size, kept): a row for each document."""
-        told = self.rows.drop("bands").join(self.text_classes(), ["h1", "h2"], "left")
+        told = self.rows.drop("bands", "chars").join(self.text_classes(), ["h1", "h2"], "left")
         back = lambda x: F.when(x != 2**63 - 1, x)
         return told.select(back(F.col("id")).alias("doc_id"), back(F.coalesce("class_id", "id")).alias("class_id"), F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"), F.coalesce(F.col("keeper") & (F.col("id") == F.col("rep")), F.lit(True)).alias("kept"))
 

@@ -93,7 +93,7 @@ def chunked(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return ends, points, words, piece_hashes(prefix_sums(raw), starts[:n], ends[SPAN - 1 :])
 
 
-CHUNKS = "batch string, n long, ids binary, chunks binary, counts binary, points binary, words binary, digests binary"
+CHUNKS = "batch long, n long, ids binary, chunks binary, counts binary, points binary, words binary, digests binary"
 
 
 def _chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,7 +102,7 @@ def _chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def packed() -> pa.RecordBatch:
         joined = lambda parts, kind: np.concatenate(parts).astype(kind).tobytes()
-        return pa.RecordBatch.from_pydict({"batch": [rng.bytes(16).hex()], "n": [sum(map(len, digests))], "ids": [np.array(ids, np.int64).tobytes()], "chunks": [np.array(chunks, np.int64).tobytes()], "counts": [np.array([*map(len, digests)], np.int64).tobytes()], "points": [joined(points, np.uint16)], "words": [joined(words, np.uint16)], "digests": [joined(digests, np.uint64)]}, schema=_CHUNK_SCHEMA)
+        return pa.RecordBatch.from_pydict({"batch": [int(rng.integers(1 << 62))], "n": [sum(map(len, digests))], "ids": [np.array(ids, np.int64).tobytes()], "chunks": [np.array(chunks, np.int64).tobytes()], "counts": [np.array([*map(len, digests)], np.int64).tobytes()], "points": [joined(points, np.uint16)], "words": [joined(words, np.uint16)], "digests": [joined(digests, np.uint64)]}, schema=_CHUNK_SCHEMA)
 
     for batch in batches:
         for i, text in zip(batch["id"].to_pylist(), batch["text"].to_pylist(), strict=True):
@@ -122,7 +122,7 @@ def _chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield packed()
 
 
-_CHUNK_SCHEMA = pa.schema([("batch", pa.string()), ("n", pa.int64()), *((x, pa.binary()) for x in ("ids", "chunks", "counts", "points", "words", "digests"))])
+_CHUNK_SCHEMA = pa.schema([("batch", pa.int64()), ("n", pa.int64()), *((x, pa.binary()) for x in ("ids", "chunks", "counts", "points", "words", "digests"))])
 
 
 PASSAGE = "doc_id long, start long, end long, n_words long, first_doc_id long, dropped boolean"
