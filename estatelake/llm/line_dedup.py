@@ -12,8 +12,10 @@ probed by many tasks. What goes through a shuffle is hashes, and at the end the
 documents once, to meet their lists of dropped lines.
 
 Cases: null text is one empty line; a null id is the largest id; rows with the
-same id are one document when lines are counted, and each gets its own result;
-an empty table gives no rows; all columns of the input travel inside ``row``.
+same id are one document when lines are counted, and each gets its own result
+(those without an id are dealt by their texts, as they may be many); an empty
+table gives no rows; all columns of the input travel inside ``row``, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ from estatelake.llm.common import ASCII_SPACE, id_key, keep
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LEVELS = 40
+#: Shards whose salts (16 bytes each) are sent to all tasks.
+MOST_BROADCAST = 1 << 20
 #: Seeds of the two 64-bit hashes; the first is that of Spark's xxhash64.
 SEED_1, SALT_2 = 42, 7
 
@@ -58,8 +62,8 @@ class PerfectHash:
     """Levels of bit arrays: a key sits at the first level where no other key has its position.
 
     A key's slot is the number of bits set before its own, so n keys fill the
-    slots 0..n-1. Keys that share all positions (the same 64-bit key, which the
-    input should not hold) have no slot.
+    slots 0..n-1. Keys that share all positions (the same 64-bit key, of
+    different lines) have no slot; the shard keeps them aside.
     """
 
     def __init__(self, sizes: np.ndarray, bits: np.ndarray):
@@ -98,7 +102,7 @@ class PerfectHash:
         return out
 
 
-SHARD = "shard long, n_hits long, sizes binary, bits binary, prints binary, counts binary, firsts binary"
+SHARD = "shard long, n_hits long, sizes binary, bits binary, prints binary, counts binary, firsts binary, aside binary"
 
 
 def _build(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -109,27 +113,36 @@ def _build(pdf: pd.DataFrame) -> pd.DataFrame:
     prints, counts, firsts = np.zeros(size, np.int64), np.zeros(size, np.int64), np.zeros(size, np.int64)
     ok = slots >= 0
     prints[slots[ok]], counts[slots[ok]], firsts[slots[ok]] = h2[ok], pdf["n"].to_numpy(np.int64)[ok], pdf["first"].to_numpy(np.int64)[ok]
-    return pd.DataFrame({"shard": [pdf["shard"].iloc[0]], "n_hits": [int(pdf["n"].sum())], "sizes": [found.sizes.tobytes()], "bits": [found.bits.tobytes()], "prints": [prints.tobytes()], "counts": [counts.tobytes()], "firsts": [firsts.tobytes()]})
-
-
-def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by (shard, salt, arrays first): each shard's arrays, then its probes."""
-    index, prints, firsts = None, None, None
-    for batch in batches:
-        h1, h2, ids = (batch[c].fill_null(0).to_numpy() for c in ("h1", "h2", "id"))
-        arrays = np.flatnonzero(batch["bits"].is_valid().to_numpy(zero_copy_only=False))
-        for begin, end in zip([0, *arrays], [*arrays, batch.num_rows], strict=True):
-            if begin < end and begin in arrays:
-                row = batch.slice(begin, 1).to_pylist()[0]
-                index = PerfectHash(np.frombuffer(row["sizes"], np.int64), np.frombuffer(row["bits"], np.uint64))
-                prints, firsts = np.frombuffer(row["prints"], np.int64), np.frombuffer(row["firsts"], np.int64)
-                begin += 1
-            if begin == end or index is None:  # no line of two documents in this shard
-                continue
-            slot = index.slots(_key(h1[begin:end], h2[begin:end]))
-            hit = slot >= 0
-            hit[hit] = (prints[slot[hit]] == h2[begin:end][hit]) & (firsts[slot[hit]] != ids[begin:end][hit])
-            yield pa.RecordBatch.from_arrays([pa.array(ids[begin:end][hit]), pa.array(h1[begin:end][hit])], ["id", "h1"])
+    aside = np.stack([h1[~ok], h2[~ok], pdf["n"].to_numpy(np.int64)[~ok], pdf["first"].to_numpy(np.int64)[~ok]])
+    return pd.DataFrame({"shard": [pdf["shard"].iloc[0]], "n_hits": [int(pdf["n"].sum())], "sizes": [found.sizes.tobytes()], "bits": [found.bits.tobytes()], "prints": [prints.tobytes()], "counts": [counts.tobytes()], "firsts": [firsts.tobytes()], "aside": [aside.tobytes()]})
+
+
+def _probe(min_docs: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by (shard, salt, arrays first): each shard's arrays, then its probes."""
+        index, prints, counts, firsts, aside = None, None, None, None, None
+        for batch in batches:
+            h1, h2, ids, deal = (batch[c].fill_null(0).to_numpy() for c in ("h1", "h2", "id", "deal"))
+            arrays = np.flatnonzero(batch["bits"].is_valid().to_numpy(zero_copy_only=False))
+            for begin, end in zip([0, *arrays], [*arrays, batch.num_rows], strict=True):
+                if begin < end and begin in arrays:
+                    row = batch.slice(begin, 1).to_pylist()[0]
+                    index = PerfectHash(np.frombuffer(row["sizes"], np.int64), np.frombuffer(row["bits"], np.uint64))
+                    prints, counts, firsts = (np.frombuffer(row[c], np.int64) for c in ("prints", "counts", "firsts"))
+                    aside = np.frombuffer(row["aside"], np.int64).reshape(4, -1)
+                    begin += 1
+                if begin == end or index is None:  # no line of two documents in this shard
+                    continue
+                own = slice(begin, end)
+                slot = index.slots(_key(h1[own], h2[own]))
+                hit = slot >= 0
+                at = slot[hit]
+                hit[hit] = (prints[at] == h2[own][hit]) & (counts[at] >= min_docs) & (firsts[at] != ids[own][hit])
+                for other1, other2, n, first in aside.T:
+                    hit |= (h1[own] == other1) & (h2[own] == other2) & (n >= min_docs) & (ids[own] != first)
+                yield pa.RecordBatch.from_arrays([pa.array(x[own][hit]) for x in (ids, deal, h1)], ["id", "deal", "h1"])
+
+    return run
 
 
 def _without(min_chars: int):
@@ -155,11 +168,16 @@ def _without(min_chars: int):
     return without
 
 
+def _deal(id_col: str, text_col: str) -> F.Column:
+    """Tells rows without an id apart; 0 for all others."""
+    return F.when(F.col(id_col).isNull(), F.xxhash64(text_col)).otherwise(F.lit(0).cast("long")).alias("deal")
+
+
 def line_postings(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
-    """(id, h1, h2): a row for each document and distinct line key of at least ``min_chars`` code points."""
+    """(id, deal, h1, h2): a row for each document and distinct line key of at least ``min_chars`` code points."""
     lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)
     keys = F.array_distinct(F.filter(F.transform(lines, line_key), lambda k: F.length(k) >= min_chars))
-    return docs.select(id_key(id_col).alias("id"), F.explode(keys).alias("k")).select("id", F.xxhash64("k").alias("h1"), F.xxhash64(F.lit(SALT_2), "k").alias("h2"))
+    return docs.select(id_key(id_col).alias("id"), _deal(id_col, text_col), F.explode(keys).alias("k")).select("id", "deal", F.xxhash64("k").alias("h1"), F.xxhash64(F.lit(SALT_2), "k").alias("h2"))
 
 
 def build_shards(postings: DataFrame, keys_per_shard: int) -> tuple[DataFrame, int]:
@@ -170,23 +188,27 @@ def build_shards(postings: DataFrame, keys_per_shard: int) -> tuple[DataFrame, i
     return keep(built, "line-shards"), shards
 
 
-def probe_shards(postings: DataFrame, arrays: DataFrame, shards: int, probes_per_task: int) -> DataFrame:
-    """(id, h1) of the lines to drop."""
+def probe_shards(postings: DataFrame, arrays: DataFrame, shards: int, probes_per_task: int, min_docs: int = 2) -> DataFrame:
+    """(id, deal, h1) of the lines to drop."""
     others = postings.count() // shards
-    # One row for each shard of keys_per_shard keys: thousands of rows at most where the arrays take terabytes.
+    # Two numbers for each shard of keys_per_shard keys; sent to all tasks up to a size, else joined.
     salted = arrays.select("shard", (F.lit(1) + F.floor((F.col("n_hits") + others) / probes_per_task)).cast("long").alias("salts"))
-    asked = postings.withColumn("shard", F.pmod(F.col("h1"), F.lit(shards))).join(F.broadcast(salted), "shard").withColumn("salt", F.pmod(F.xxhash64("id", "h2"), F.col("salts"))).drop("salts")
-    held = arrays.join(F.broadcast(salted), "shard").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))).drop("salts", "n_hits")
+    salted = F.broadcast(salted) if shards <= MOST_BROADCAST else salted
+    asked = postings.withColumn("shard", F.pmod(F.col("h1"), F.lit(shards))).join(salted, "shard").withColumn("salt", F.pmod(F.xxhash64("id", "deal", "h2"), F.col("salts"))).drop("salts")
+    held = arrays.join(salted, "shard").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))).drop("salts", "n_hits")
     stream = held.unionByName(asked, allowMissingColumns=True).repartition("shard", "salt").sortWithinPartitions("shard", "salt", F.col("bits").isNull())
-    return stream.select("id", "h1", "h2", "sizes", "bits", "prints", "firsts").mapInArrow(_probe, "id long, h1 long")
+    return stream.select("id", "deal", "h1", "h2", "sizes", "bits", "prints", "counts", "firsts", "aside").mapInArrow(_probe(min_docs), "id long, deal long, h1 long")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10, keys_per_shard: int = 1 << 18, probes_per_task: int = 1 << 18) -> DataFrame:
-    """Returns ``row`` (the input row), ``n_lines``, ``n_dropped`` and ``kept`` (the text that stays)."""
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10, keys_per_shard: int = 1 << 18, probes_per_task: int = 1 << 18, min_docs: int = 2) -> DataFrame:
+    """Returns ``row`` (the input row), ``n_lines``, ``n_dropped`` and ``kept`` (the text that stays).
+
+    Lines that fewer than ``min_docs`` documents hold stay everywhere; 2 at least.
+    """
     postings = keep(line_postings(docs, id_col, text_col, min_chars), "line-postings")
     arrays, shards = build_shards(postings, keys_per_shard)
-    drops = probe_shards(postings, arrays, shards, probes_per_task).groupBy("id").agg(F.collect_set("h1").alias("drops"))
-    met = docs.select(F.struct("*").alias("row"), id_key(id_col).alias("id")).join(drops, "id", "left")
+    drops = probe_shards(postings, arrays, shards, probes_per_task, min_docs).groupBy("id", "deal").agg(F.collect_set("h1").alias("drops"))
+    met = docs.select(F.struct("*").alias("row"), id_key(id_col).alias("id"), _deal(id_col, text_col)).join(drops, ["id", "deal"], "left")
     text = F.coalesce(F.col("row")[text_col], F.lit(""))
     cleaned = met.withColumn("done", _without(min_chars)(F.when(F.col("drops").isNotNull(), text), F.col("drops")))
     return cleaned.select("row", (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"), F.coalesce("done.n_dropped", F.lit(0)).cast("long").alias("n_dropped"), F.coalesce("done.kept", text).alias("kept"))
