@@ -13,8 +13,11 @@ presence bits (4 KB each) come to the driver, and ``landmarks``. Every document
 is scored, on its whole text, in one pass without a shuffle.
 
 Cases: text that is null or has no letter is ``und`` with score 0; ties go to
-the language that sorts first; without any labelled row all are ``und``;
-a null id is never held out; extra columns travel inside ``row``.
+the language that sorts first; without any labelled row, or in an empty table,
+all are ``und``; a null id is never held out and no example; repeated rows are
+scored each for itself, and of rows with one id all or none are examples; extra
+columns travel inside ``row``, whatever their names. More than MOST_LANGS
+languages raise.
 """
 
 from __future__ import annotations
@@ -35,6 +38,7 @@ LONGEST = 3
 #: Bounds of what is fitted: labelled texts, and landmarks, over all languages.
 SAMPLE = 1200
 LANDMARKS = 160
+MOST_LANGS = 1000
 RIDGE = 1e-2
 SHARPNESS = 4.0
 BATCH = 128
@@ -129,8 +133,14 @@ def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample: in
     labelled = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id")))
     ids = labelled.select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
     # A first cut by hash leaves about twice the sample of each language, so that no task sorts all rows of one.
-    rates = ids.groupBy(F.col("lang").alias("of")).agg((F.lit(2.0 * sample) / F.count(F.lit(1))).alias("rate"))
-    some = ids.join(rates, F.col("lang") == F.col("of")).filter(F.pmod("h", F.lit(1 << 30)) < F.col("rate") * (1 << 30))
+    counted = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGS + 1).collect()
+    if len(counted) > MOST_LANGS:
+        raise ValueError(f"more than {MOST_LANGS} languages")
+    if not counted:
+        return None
+    # MOST_LANGS rows at most, so that rows are dropped before any shuffle.
+    rates = docs.sparkSession.createDataFrame([(r["lang"], 2.0 * sample / r["n"]) for r in counted], "of string, rate double")
+    some = ids.join(F.broadcast(rates), F.col("lang") == F.col("of")).filter(F.pmod("h", F.lit(1 << 30)) < F.col("rate") * (1 << 30))
     first = Window.partitionBy("lang").orderBy("h", "doc_id")
     picked = some.withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= sample).select("doc_id", "lang", "nth").orderBy("nth", "lang").limit(sample).select("doc_id").collect()
     if not picked:
