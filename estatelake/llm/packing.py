@@ -12,10 +12,13 @@ salted parts, as a third of all pieces may have one length.
 
 Text is cut into words at white space, where byte-level BPE always cuts too, and
 each distinct word is encoded once in a task's cache, which is emptied at a size.
+A text that holds a token that the file adds to the vocabulary, such as an end
+marker, goes to ``tokenizers`` as a whole.
 
 Cases: null or empty text is the closing id alone; repeated rows are packed each
-for itself; a null doc_id stays null; an empty table gives no rows; only doc_id
-and text are read, so other columns can't clash.
+for itself; a null doc_id stays null, and such rows are dealt over all tasks; an
+empty table gives no rows; only doc_id and text are read, so other columns can't
+clash.
 """
 
 from __future__ import annotations
@@ -38,7 +41,8 @@ from estatelake.llm.common import id_key, keep, ranked, table
 
 CAPACITY = 2048
 CLOSING_ID = 0
-SALTS = 64
+#: Pieces of one length that a task ranks, about; at least LEAST_SALTS parts.
+RANKED_ROWS, LEAST_SALTS = 1 << 18, 64
 _CACHE_WORDS = 600_000
 #: White space that the tokenizer knows and the cut below does not: such texts are encoded whole.
 _OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
@@ -53,11 +57,15 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def _word_encoder(path: str) -> Callable[[str], list[int]]:
+def _slow(path: str) -> Callable[[str], list[int]]:
+    from tokenizers import Tokenizer
+
+    slow = Tokenizer.from_file(path)
+    return lambda text: slow.encode(text, add_special_tokens=False).ids
+
+
+def _word_encoder(path: str, stored: dict) -> Callable[[str], list[int]]:
     """The tokenizer of a ``tokenizers`` file; where its ids are its merge ranks, the same ids from a quicker library."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    with open(path, encoding="utf-8") as file:
-        stored = json.load(file)
     vocab, merges, before = stored["model"]["vocab"], stored["model"].get("merges") or [], stored["pre_tokenizer"] or {}
     merged = [vocab["".join(m) if isinstance(m, list) else m.replace(" ", "")] for m in merges]
     usual = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space") and not stored["normalizer"]
@@ -68,11 +76,7 @@ def _word_encoder(path: str) -> Callable[[str], list[int]]:
         shown |= {chr(256 + i): b for i, b in enumerate(sorted(set(range(256)) - set(shown.values())))}
         ranks = {bytes(shown[c] for c in word): i for word, i in vocab.items() if i < 256 + len(merges)}
         return tiktoken.Encoding(path, pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-    from tokenizers import Tokenizer
-
-    slow = Tokenizer.from_file(path)
-    slow.encode_special_tokens = True
-    return lambda text: slow.encode(text, add_special_tokens=False).ids
+    return _slow(path)
 
 
 class _Words(dict):
@@ -92,11 +96,19 @@ class _Words(dict):
 @functools.cache
 def encoder(path: str) -> Callable[[str], bytes]:
     """text -> its ids as little-endian unsigned 32-bit integers; the words are kept for a worker's later tasks."""
-    words = _Words(_word_encoder(path))
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    with open(path, encoding="utf-8") as file:
+        stored = json.load(file)
+    words = _Words(_word_encoder(path, stored))
+    added = "|".join(re.escape(x["content"]) for x in stored.get("added_tokens") or [])
+    holds_added = re.compile(added).search if added else lambda text: None
+    whole = functools.cache(lambda: _slow(path))
 
     def encode(text: str) -> bytes:
         if len(words) > _CACHE_WORDS:
             words.clear()
+        if holds_added(text):
+            return struct.pack(f"<{len(ids := whole()(text))}I", *ids)
         if _OTHER_SPACE.search(text):
             return struct.pack(f"<{len(ids := words.to_ids(text))}I", *ids)
         return b"".join(map(words.__getitem__, _WORD.findall(text)))
@@ -220,10 +232,13 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
     """A row for each piece: doc_id, piece, start, length, ids_crc32, (ids,) sequence_id, offset."""
     spark = docs.sparkSession
     kind = PIECES + ", ids binary" * with_ids
-    pieces = keep(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_pieces(tokenizer, capacity, with_ids), kind), "pieces")
+    pieces = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_pieces(tokenizer, capacity, with_ids), kind)
+    # Rows without an id may be many: a written random number deals them.
+    pieces = keep(pieces.withColumn("deal", F.when(F.col("doc_id").isNull(), F.rand()).otherwise(0.0)), "pieces")
     lengths = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # capacity rows at most
     runs = spark.sparkContext.broadcast(plan(lengths, capacity))
-    placed = ranked(pieces.withColumn("key", id_key("doc_id")), ["length"], ["key", "piece", "ids_crc32"], F.xxhash64("key"), SALTS, "rank").drop("key")
+    salts = max(LEAST_SALTS, -(-max(lengths.values(), default=0) // RANKED_ROWS))
+    placed = ranked(pieces.withColumn("key", id_key("doc_id")), ["length"], ["key", "piece", "ids_crc32", "deal"], F.xxhash64("key", "deal"), salts, "rank").drop("key", "deal")
     return placed.mapInArrow(_place(runs, capacity), kind + ", sequence_id long, offset long")
 
 
