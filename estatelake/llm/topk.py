@@ -11,15 +11,17 @@ dimensions are traversed for all vectors of the shard; the others are probed,
 block after block, only for vectors that can still reach the threshold. Ties
 with the threshold stay, so smaller ids win among equals.
 
-Queries go through the shards in blocks; each pair of block and shard yields at
-most k rows for a query, and these are merged by a window whose input Spark
-cuts to k rows for each query and task.
+A task holds a bucket of about BUCKET_SHARDS shards and gets each block of
+queries once. A query goes through them one after another and takes its k-th
+best score along as the threshold; a bucket yields at most k rows for a query,
+and these are merged by a window whose input Spark cuts to k rows for each query
+and task.
 
 Cases: vectors that are null, empty, or hold null or non-finite components take
 no part, nor do null ids; vectors of other lengths than the query's don't match
 it; a vector never matches a query of its own id, repeated rows included; fewer
-candidates than k give fewer rows; an empty table gives none. Scores are exact
-while they stay below 2**53.
+candidates than k give fewer rows; an empty table gives none; other columns are
+ignored, whatever their names. Scores are exact while they stay below 2**53.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ from estatelake.llm.common import keep, table
 
 K = 5
 EVERY = 50
-SHARD_ROWS = 4096
+SHARD_ROWS, BUCKET_SHARDS = 4096, 8
 BLOCK_QUERIES = 256
 PROBE = 8
 
@@ -49,15 +51,15 @@ class Shard:
         self.postings = np.ascontiguousarray(vectors[order].T.astype(np.float64))
         self.low, self.high = self.postings.min(axis=1), self.postings.max(axis=1)
 
-    def search(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Positions and scores of the k best, ties to smaller ids; all vectors that could be among them are scored whole."""
+    def search(self, query_id: int, query: np.ndarray, k: int, least: float = -np.inf) -> tuple[np.ndarray, np.ndarray]:
+        """Positions and scores of the k best of at least ``least``, ties to smaller ids; all vectors that could be among them are scored whole."""
         top, bottom = np.maximum(query * self.low, query * self.high), np.minimum(query * self.low, query * self.high)
         others = np.flatnonzero(self.ids != query_id)
         if len(others) <= k:
             return self._best(others, query @ self.postings[:, others], k)
         # The threshold starts with the k best of a few vectors that are scored whole.
         seeds = others[:: max(1, len(others) // 64)]
-        floor = np.partition(query @ self.postings[:, seeds], -min(k, len(seeds)))[-min(k, len(seeds))] if len(seeds) >= k else -np.inf
+        floor = max(least, np.partition(query @ self.postings[:, seeds], -k)[-k]) if len(seeds) >= k else least
         order = np.argsort(top - bottom, kind="stable")
         reach_first = np.concatenate([[0], np.cumsum(top[order])])  # what order[:i] add at most
         # Non-essential: as many as can't lift a vector over the threshold, even with the most from all others.
@@ -126,34 +128,51 @@ def _packed(size: int):
 PACKED = "dim long, name string, ids binary, vectors binary"
 
 
+def best_of(shards: list[Shard], query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and scores of the k best over some shards, each searched with the k-th best so far."""
+    ids, scores, least = np.zeros(0, np.int64), np.zeros(0), -np.inf
+    for shard in shards:
+        at, score = shard.search(query_id, query, k, least)
+        ids, scores = np.concatenate([ids, shard.ids[at]]), np.concatenate([scores, score])
+        if len(ids) >= k:
+            pick = np.lexsort((ids, -scores))[:k]
+            ids, scores = ids[pick], scores[pick]
+            least = scores[-1]
+    return ids, scores
+
+
 def _search(k: int):
-    """Rows come sorted by shard, the shard first: then blocks of queries."""
+    """Rows come sorted by bucket, its shards first: then blocks of queries."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = None
+        bucket, shards = None, []
         for batch in batches:
             for row in batch.to_pylist():
+                if (row["dim"], row["bucket"]) != bucket:
+                    bucket, shards = (row["dim"], row["bucket"]), []
                 ids = np.frombuffer(row["ids"], np.int64)
                 vectors = np.frombuffer(row["vectors"], np.int64).reshape(len(ids), -1)
                 if row["kind"] == 0:
-                    shard = Shard(ids, vectors)
+                    shards.append(Shard(ids, vectors))
                     continue
                 found = []
                 for query_id, query in zip(ids, vectors.astype(np.float64), strict=True):
-                    at, score = shard.search(query_id, query, k)
-                    found.append((np.full(len(at), query_id), shard.ids[at], score.astype(np.int64)))
+                    best, score = best_of(shards, query_id, query, k)
+                    found.append((np.full(len(best), query_id), best, score.astype(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], ["query_id", "vec_id", "score"])
 
     return run
 
 
-def search(queries: DataFrame, vectors: DataFrame, k: int = K, shard_rows: int = SHARD_ROWS, block_queries: int = BLOCK_QUERIES) -> DataFrame:
+def search(queries: DataFrame, vectors: DataFrame, k: int = K, shard_rows: int = SHARD_ROWS, block_queries: int = BLOCK_QUERIES, bucket_shards: int = BUCKET_SHARDS) -> DataFrame:
     """``queries``, ``vectors``: (id, v) of integers. Returns (query_id, rank, vec_id, score)."""
-    shards = keep(vectors.mapInArrow(_packed(shard_rows), PACKED), "topk-shards").withColumn("shard", F.xxhash64("name", "dim"))
+    shards = keep(vectors.mapInArrow(_packed(shard_rows), PACKED), "topk-shards")
     blocks = keep(queries.distinct().mapInArrow(_packed(block_queries), PACKED), "topk-queries")
-    # Each block goes to each shard of its vectors' length: an equi-join on the length, of packed rows.
-    asked = blocks.join(shards.select("dim", "shard"), "dim").select("shard", F.lit(1).alias("kind"), "name", "ids", "vectors")
-    stream = shards.select("shard", F.lit(0).alias("kind"), "name", "ids", "vectors").unionByName(asked).repartition("shard").sortWithinPartitions("shard", "kind")
+    # A row for each length of vectors; n different lengths need n^2 / 2 components at least, so these are few.
+    buckets = F.broadcast(shards.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / bucket_shards).alias("buckets")))
+    held = shards.join(buckets, "dim").withColumn("bucket", F.pmod(F.xxhash64("name"), F.col("buckets"))).withColumn("kind", F.lit(0))
+    asked = blocks.join(buckets, "dim").withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.col("buckets") - 1))).withColumn("kind", F.lit(1))
+    stream = held.unionByName(asked).select("dim", "bucket", "kind", "ids", "vectors").repartition("dim", "bucket").sortWithinPartitions("dim", "bucket", "kind")
     found = stream.mapInArrow(_search(k), "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
