@@ -6,11 +6,11 @@ sorted by URL key, timestamp and id: one sorted run for each archive. A task
 that is run again writes archives of new names; the index knows only those of
 the run that Spark committed.
 
-Merging: splitters taken from the runs cut the key space into ranges of bounded
-size (by the whole key, so that one URL may span several). Each run is cut at
-the splitters into packed segments; the segments of a range meet in one task,
-where a loser tree merges them. Ranges follow each other, so the merged entries
-are in global order.
+Merging: the runs' entries are dealt to ranges of keys of about RANGE_ROWS entries
+(by the whole key, so that one URL may span several; Spark samples the bounds
+from all runs). A range's part of each run comes in the run's order, and a loser
+tree merges the parts. Ranges follow each other, so the merged entries are in
+global order.
 
 Reading: the entries of an archive meet in one task, which reads the archive
 from front to back, parses each record and checks payloads against digests.
@@ -23,14 +23,13 @@ page, so equal payloads don't meet.
 Cases: null html is an empty payload; a null URL is an empty target; a null id
 is the largest and comes back null; rows that repeat the smallest id are all
 responses; an empty table gives no rows; control characters in URLs are
-percent-encoded in headers; other columns are ignored.
+percent-encoded in headers; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-import bisect
 import hashlib
-import pickle
+import itertools
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -39,6 +38,7 @@ from urllib.parse import quote, urlsplit
 
 import pyarrow as pa
 import pyarrow.fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,8 +47,8 @@ from estatelake.llm.common import NULL_ID, id_key, keep, scratch, table
 MIN_REVISIT = 100
 ARCHIVE_BYTES = 64 << 20
 RANGE_ROWS = 200_000
-#: Index keys that come to the driver to choose splitters from.
-SPLITTER_SAMPLE = 20_000
+#: Keys that Spark samples from each partition to find the ranges' bounds, and ranges whose counts are sent to all tasks.
+RANGE_SAMPLE, MOST_BROADCAST = 100, 1 << 20
 #: The first capture's time where the table has no time: a page follows its id by seconds, within ten years.
 EPOCH, SPAN = datetime(2024, 1, 1, tzinfo=UTC), 315_360_000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -201,64 +201,34 @@ def _key(e: tuple) -> tuple:
     return e[0], e[1], NULL_ID if e[2] is None else e[2]
 
 
-def _segments(splitters):
-    names = [x.split()[0] for x in ENTRY.split(", ")]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            entries = list(zip(*(batch[x].to_pylist() for x in names), strict=True))
-            seqs = batch["seq"].to_pylist()
-            begin, out = 0, []
-            while begin < len(entries):
-                at = bisect.bisect_right(splitters.value, _key(entries[begin]))
-                end = begin + 1
-                while end < len(entries) and entries[end][3] == entries[begin][3] and bisect.bisect_right(splitters.value, _key(entries[end])) == at:
-                    end += 1
-                out.append((at, entries[begin][3], seqs[begin], pickle.dumps(entries[begin:end])))
-                begin = end
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.string(), pa.int64(), pa.binary()), strict=True)] if out else [pa.array([], t) for t in (pa.int64(), pa.string(), pa.int64(), pa.binary())], ["range", "run", "seq", "packed"])
-
-    return run
-
-
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Segments come sorted by (range, run, seq)."""
+    """A range's entries, sorted by (run, seq), to their merged order."""
     names = [x.split()[0] for x in ENTRY.split(", ")]
-
-    def merged(at: int, runs: dict[str, list[bytes]]) -> Iterator[pa.RecordBatch]:
-        entries = list(LoserTree([(e for packed in own for e in pickle.loads(packed)) for own in runs.values()], _key))
-        for i in range(0, len(entries), 10_000):
-            part = entries[i : i + 10_000]
-            kinds = (pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array([at] * len(part), pa.int64()), pa.array(range(i, i + len(part)), pa.int64()), *(pa.array(x, t) for x, t in zip(zip(*part, strict=True), kinds, strict=True))], ["range", "nth", *names])
-
-    current, runs = None, {}
+    kinds = (pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64())
+    at, runs = TaskContext.get().partitionId(), {}
     for batch in batches:
-        for row in batch.to_pylist():
-            if row["range"] != current:
-                if runs:
-                    yield from merged(current, runs)
-                current, runs = row["range"], {}
-            runs.setdefault(row["run"], []).append(row["packed"])
-    if runs:
-        yield from merged(current, runs)
+        for entry in zip(*(batch[x].to_pylist() for x in names), strict=True):
+            runs.setdefault(entry[3], []).append(entry)
+    nth = 0
+    for part in itertools.batched(LoserTree([iter(x) for x in runs.values()], _key), 10_000):
+        yield pa.RecordBatch.from_arrays([pa.array([at] * len(part), pa.int64()), pa.array(range(nth, nth + len(part)), pa.int64()), *(pa.array(x, t) for x, t in zip(zip(*part, strict=True), kinds, strict=True))], ["range", "nth", *names])
+        nth += len(part)
 
 
-def merge_runs(runs: DataFrame, range_rows: int = RANGE_ROWS, sample: int = SPLITTER_SAMPLE) -> DataFrame:
+def merge_runs(runs: DataFrame, range_rows: int = RANGE_ROWS, sample: int = RANGE_SAMPLE) -> DataFrame:
     """The entries of all runs with ``position``, their place in the order of (url_key, ts, page_id), from 0."""
-    spark = runs.sparkSession
-    n = runs.count()
-    step = max(1, n // sample)
-    # Every step-th entry of each run; a run shorter than that gives its first entry if its name's hash says so.
-    some = runs.filter(F.pmod(F.col("seq") + F.xxhash64("archive"), F.lit(step)) == 0).select(*KEYS).collect()
-    keys = sorted(_key(tuple(r)) for r in some)
-    ranges = max(1, -(-n // range_rows))
-    splitters = [keys[i * len(keys) // ranges] for i in range(1, ranges)] if keys else []
-    segments = runs.mapInArrow(_segments(spark.sparkContext.broadcast(splitters)), "range long, run string, seq long, packed binary")
-    merged = keep(segments.repartition("range").sortWithinPartitions("range", "run", "seq").mapInArrow(_merge, "range long, nth long, " + ENTRY), "warc-index")
+    spark, setting = runs.sparkSession, "spark.sql.execution.rangeExchange.sampleSizePerPartition"
+    ranges, before = max(1, -(-runs.count() // range_rows)), spark.conf.get(setting)
+    spark.conf.set(setting, sample)
+    try:
+        dealt = runs.withColumn("key", id_key("page_id")).repartitionByRange(ranges, "url_key", "ts", "key").sortWithinPartitions("archive", "seq")
+        merged = keep(dealt.mapInArrow(_merge, "range long, nth long, " + ENTRY), "warc-index")
+    finally:
+        spark.conf.set(setting, before)
     counts = merged.groupBy(F.col("range").alias("of")).agg(F.count(F.lit(1)).alias("n"))  # a row for each range
     starts = counts.select("of", F.coalesce(F.sum("n").over(Window.orderBy("of").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    return merged.join(F.broadcast(starts), F.col("range") == F.col("of")).select((F.col("before") + F.col("nth")).alias("position"), *[x.split()[0] for x in ENTRY.split(", ")])
+    starts = F.broadcast(starts) if ranges <= MOST_BROADCAST else starts
+    return merged.join(starts, F.col("range") == F.col("of")).select((F.col("before") + F.col("nth")).alias("position"), *[x.split()[0] for x in ENTRY.split(", ")])
 
 
 # --- reading ----------------------------------------------------------------
