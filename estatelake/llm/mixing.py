@@ -26,7 +26,8 @@ from estatelake.llm.common import keep, ranked, table
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
-SALTS = 64
+#: Documents of one source and size that a task ranks, about; at least LEAST_SALTS parts.
+RANKED_ROWS, LEAST_SALTS = 1 << 18, 64
 
 
 def words(text: F.Column) -> F.Column:
@@ -65,7 +66,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     starts = Window.partitionBy("source").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
     groups = groups.withColumn("first", F.coalesce(F.sum("n").over(starts), F.lit(0)))
     rated = groups.join(goals, groups["source"].eqNullSafe(goals["source"])).select(groups["source"].alias("g_source"), F.col("size").alias("g_size"), "first", "source_size", "target")
-    placed = ranked(sized, ["source", "size"], ["key"], F.col("key"), SALTS, "rank")
+    salts = max(LEAST_SALTS, -(-(groups.agg(F.max("n")).first()[0] or 0) // RANKED_ROWS))
+    placed = ranked(sized, ["source", "size"], ["key"], F.col("key"), salts, "rank")
     met = placed.join(rated, F.col("source").eqNullSafe(F.col("g_source")) & (F.col("size") == F.col("g_size")))
     rate, at = F.col("target") / F.col("source_size"), F.col("first") + F.col("rank")
     shift = offset(F.col("source"), seed)
