@@ -16,20 +16,22 @@ METRES_PER_DEGREE = 111_194.9
 SCORE = [("transport_500m", 0.30, 8), ("grocery_500m", 0.20, 5), ("schools_1km", 0.10, 5), ("parks_1km", 0.10, 3), ("restaurants_1km", 0.15, 15), ("healthcare_1km", 0.15, 8)]
 
 
-def near_places(points: DataFrame, places: DataFrame, radius_m: float, max_lat: float = 70.0, salts: int = 1) -> DataFrame:
+def near_places(points: DataFrame, places: DataFrame, radius_m: float, max_lat: float = 70.0, salts: int = 4) -> DataFrame:
     """points (point_id, lat, lon) x places (place_id, category, lat, lon) within the radius, with ``distance_m``.
 
     Each place lies in one cell; each point asks its cell and the eight around
     it. A cell is as high as the radius and as wide at ``max_lat``, so nothing
-    is missed up to there. A crowded cell can be dealt over ``salts`` parts.
+    is missed up to there; a point or place beyond it raises, and places across
+    the date line aren't met. A crowded cell is dealt over ``salts`` parts.
     """
     high = radius_m / METRES_PER_DEGREE
     wide = high / math.cos(math.radians(max_lat))
     cell = lambda c, size: F.floor(c / F.lit(size)).cast("long")
-    held = places.select("place_id", "category", F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"), cell(F.col("lat"), high).alias("cy"), cell(F.col("lon"), wide).alias("cx"), F.pmod(F.xxhash64("place_id"), F.lit(salts)).alias("salt"))
+    inside = lambda lat: F.when(F.abs(lat) > max_lat, F.raise_error(F.concat(F.lit(f"beyond max_lat = {max_lat}: "), lat.cast("string"))).cast("double")).otherwise(lat)
+    held = places.select("place_id", "category", F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"), cell(inside(F.col("lat")), high).alias("cy"), cell(F.col("lon"), wide).alias("cx"), F.pmod(F.xxhash64("place_id"), F.lit(salts)).alias("salt"))
     around = F.array(*[F.lit(i) for i in (-1, 0, 1)])
     asked = points.withColumn("dy", F.explode(around)).withColumn("dx", F.explode(around)).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    asked = asked.select(*points.columns, "salt", (cell(F.col("lat"), high) + F.col("dy")).alias("cy"), (cell(F.col("lon"), wide) + F.col("dx")).alias("cx"))
+    asked = asked.select(*points.columns, "salt", (cell(inside(F.col("lat")), high) + F.col("dy")).alias("cy"), (cell(F.col("lon"), wide) + F.col("dx")).alias("cx"))
     met = asked.join(held, ["cy", "cx", "salt"]).withColumn("distance_m", haversine_m(F.col("lat"), F.col("lon"), F.col("p_lat"), F.col("p_lon")))
     return met.filter(F.col("distance_m") <= radius_m).select(*points.columns, "place_id", "category", "distance_m")
 
@@ -62,10 +64,18 @@ def poi_category(tags: F.Column) -> F.Column:
     )
 
 
-def with_region(listings: DataFrame, towns: DataFrame, town_col: str) -> DataFrame:
-    """towns: (town, district, region, lat, lon), a small dimension. Met regardless of case and accents; ``town_`` columns are null if unknown."""
-    dim = towns.select(fold(F.col("town")).alias("_town"), F.col("district").alias("town_district"), F.col("region").alias("town_region"), F.col("lat").alias("town_lat"), F.col("lon").alias("town_lon")).dropDuplicates(["_town"])
-    return listings.withColumn("_town", fold(F.col(town_col))).join(dim, "_town", "left").drop("_town")
+def with_region(listings: DataFrame, towns: DataFrame, town_col: str, aliases: DataFrame | None = None) -> DataFrame:
+    """towns: (town, district, region, lat, lon), a small dimension. Met regardless of case and accents; ``town_`` columns are null if unknown.
+
+    aliases: (alias, town), other names of towns; a town's own name goes before.
+    """
+    dim = towns.select(fold(F.col("town")).alias("_town"), F.lit(0).alias("_n"), F.col("district").alias("town_district"), F.col("region").alias("town_region"), F.col("lat").alias("town_lat"), F.col("lon").alias("town_lon"))
+    if aliases is not None:
+        named = aliases.select(fold(F.col("alias")).alias("_alias"), fold(F.col("town")).alias("_town"))
+        dim = dim.unionByName(named.join(dim.drop("_n"), "_town").drop("_town").withColumnRenamed("_alias", "_town").withColumn("_n", F.lit(1)))
+    rest = [c for c in dim.columns if c not in ("_town", "_n")]
+    one = dim.groupBy("_town").agg(F.min_by(F.struct(*rest), F.struct("_n", *rest)).alias("_r")).select("_town", "_r.*")
+    return listings.withColumn("_town", fold(F.col(town_col))).join(one, "_town", "left").drop("_town")
 
 
 #: A name is a run of capitalised words. Runs are possessive: what follows a name never starts with a capital, so giving words back can't help.
@@ -139,12 +149,40 @@ def geocode_streets(mentions: DataFrame, gazetteer: DataFrame, max_km: float = 2
     return mentions.join(best, "id", "left").withColumn("geo_precision", F.when(F.col("geo_lat").isNotNull(), "street")).withColumn("street", F.coalesce("street", F.get("candidates", F.lit(0))))
 
 
-def index_region(listings: DataFrame, regions: DataFrame, national: str = "SR") -> DataFrame:
-    """regions: (name, region), districts and towns, a small dimension. The region of the district, else of the city, else the nation."""
-    dim = lambda c: regions.select(fold(F.col("name")).alias(f"_{c}"), F.col("region").alias(f"_r_{c}")).dropDuplicates([f"_{c}"])
-    out = listings.withColumn("_district", fold(F.col("district"))).withColumn("_city", fold(F.col("city")))
-    met = out.join(dim("district"), "_district", "left").join(dim("city"), "_city", "left")
-    return met.withColumn("index_region", F.coalesce("_r_district", "_r_city", F.lit(national))).drop("_district", "_city", "_r_district", "_r_city")
+def geocode_batch(listings: DataFrame, gazetteer: DataFrame, now, max_km: float = 25.0) -> tuple[DataFrame, DataFrame]:
+    """listings: (id, name, content, city, locality, lat, lon), those to geocode. Returns (results, counters).
+
+    results: (id, street, geo_lat, geo_lon, geo_precision, geocoded_at); a miss is
+    a row too, with the first spelling as its street. counters: one row.
+    """
+    asked = listings.withColumn("_s", street_of(F.col("name"), F.col("content"))).withColumn("town", F.coalesce("city", "locality"))
+    named = asked.filter(F.col("_s").isNotNull() & F.col("town").isNotNull())
+    met = geocode_streets(named.select("id", "_s.candidates", "town", F.col("lat").alias("town_lat"), F.col("lon").alias("town_lon")), gazetteer, max_km)
+    out = listings.select("id").join(met.select("id", "street", "geo_lat", "geo_lon", "geo_precision"), "id", "left").withColumn("geocoded_at", F.lit(now).cast("timestamp"))
+    return out, out.agg(F.count(F.lit(1)).alias("processed"), F.count("street").alias("with_street"), F.count("geo_precision").alias("geocoded"))
+
+
+def location_batch(listings: DataFrame, scores: DataFrame, places: DataFrame, wanted: list[tuple[str, str, float]]) -> tuple[DataFrame, DataFrame]:
+    """Scores of active listings with coordinates and none yet, merged into ``scores`` (id, counts, location_score); and one row of counters."""
+    from estatelake.operators.merge import merge_location_scores
+    from estatelake.operators.search import pending_location_score
+
+    pending = pending_location_score(listings, scores).select(F.col("id").alias("point_id"), "lat", "lon")
+    made = place_counts(pending, places, wanted).withColumn("location_score", location_score()).withColumnRenamed("point_id", "id").select(*scores.columns)
+    return merge_location_scores(scores, made), made.agg(F.count(F.lit(1)).alias("scored"))
+
+
+def index_region(listings: DataFrame, regions: DataFrame, national: str = "SR", towns: DataFrame | None = None) -> DataFrame:
+    """regions: (name, region), districts, a small dimension; towns: (town, district). The region of the district, or of the town that the district names; else of the city, likewise; else the nation."""
+    known = regions.select(fold(F.col("name")).alias("_name"), F.col("region").alias("_region"), F.lit(0).alias("_n"))
+    if towns is not None:
+        in_district = towns.select(fold(F.col("town")).alias("_town"), fold(F.col("district")).alias("_name")).join(known.drop("_n"), "_name")
+        known = known.unionByName(in_district.select(F.col("_town").alias("_name"), "_region", F.lit(1).alias("_n")))
+    one = known.groupBy("_name").agg(F.min_by("_region", F.struct("_n", "_region")).alias("_region"))
+    out = listings
+    for c in ("district", "city"):
+        out = out.withColumn("_name", fold(F.col(c))).join(one.withColumnRenamed("_region", f"_r_{c}"), "_name", "left").drop("_name")
+    return out.withColumn("index_region", F.coalesce("_r_district", "_r_city", F.lit(national))).drop("_r_district", "_r_city")
 
 
 def administrative_district(listings: DataFrame, areas: DataFrame) -> DataFrame:
@@ -156,13 +194,23 @@ def administrative_district(listings: DataFrame, areas: DataFrame) -> DataFrame:
     return met.withColumn("admin_district", F.when(known, F.col("district")).otherwise(F.col("_to"))).drop("_area", "_to")
 
 
-#: Fixed endings: Slovak and Czech names in other cases than the nominative.
-ENDINGS = [("skej", ("ská", "ska")), ("ckej", ("cká", "cka")), ("ej", ("á", "a")), ("ého", ("é",)), ("ou", ("á",)), ("ovi", ("ov", "ova"))]
+#: Fixed endings of Slovak street names in the locative: what is taken off, and the nominative's endings.
+ENDINGS = [("skej", 2, ("á", "a")), ("ckej", 2, ("á", "a")), ("ovej", 2, ("a",)), ("nej", 2, ("á", "a"))]
 
 
 def street_candidates(name: F.Column) -> F.Column:
-    """At most four spellings in the nominative, then the name as found, each once; null for null."""
-    text = F.trim(F.regexp_extract(name, r"^([^.]*)", 1))
-    clean = F.when(text != "", text).otherwise(name)
-    made = [F.when(clean.endswith(end), F.concat(F.regexp_replace(clean, f"{end}$", ""), F.lit(to))) for end, tos in ENDINGS for to in tos]
-    return F.when(name.isNotNull(), F.array_distinct(F.concat(F.slice(F.array_compact(F.array(*made)), 1, 4), F.array(clean))))
+    """At most four spellings, each word in the nominative, then the name as found if it isn't among them; null for null."""
+
+    def spelt(word):
+        out = F.array(word)
+        for end, cut, tos in reversed(ENDINGS):
+            stem = F.substring(word, F.lit(1), F.length(word) - cut)
+            out = F.when(F.lower(word).endswith(end), F.array(*[F.concat(stem, F.lit(to)) for to in tos])).otherwise(out)
+        return out
+
+    def longer(made, word):
+        return F.slice(F.flatten(F.transform(made, lambda x: F.transform(spelt(word), lambda w: F.concat_ws(" ", x, w)))), 1, 4)
+
+    words = F.split(F.trim(name), r"\s+")
+    made = F.aggregate(F.slice(words, 2, F.size(words)), spelt(words[0]), longer)
+    return F.when(name.isNotNull(), F.when(F.array_contains(made, name), made).otherwise(F.concat(made, F.array(name))))

@@ -5,7 +5,7 @@ Columns: source, listing_id, scraped_at, event_id (arrival order), day, price.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from estatelake.operators.merge import last_per_key
@@ -19,10 +19,10 @@ def day_snapshots(obs: DataFrame) -> DataFrame:
 
 
 def current_listings(obs: DataFrame) -> DataFrame:
-    """The newest observation of each listing, with first_seen_at and last_seen_at."""
-    seen = Window.partitionBy(*KEY)
-    spans = obs.withColumn("first_seen_at", F.min("scraped_at").over(seen)).withColumn("last_seen_at", F.max("scraped_at").over(seen))
-    return last_per_key(spans, KEY, [F.desc("scraped_at"), F.desc("event_id")])
+    """The newest observation of each listing, with first_seen_at and last_seen_at; rows of one task are combined before the shuffle."""
+    newest = F.max_by(F.struct(*[c for c in obs.columns if c not in KEY]), F.struct("scraped_at", "event_id"))
+    out = obs.groupBy(*KEY).agg(newest.alias("_row"), F.min("scraped_at").alias("first_seen_at"), F.max("scraped_at").alias("last_seen_at"))
+    return out.select(*[F.col(c) if c in KEY else F.col("_row")[c].alias(c) for c in obs.columns], "first_seen_at", "last_seen_at")
 
 
 def price_changes(snapshots: DataFrame) -> DataFrame:
@@ -39,6 +39,19 @@ def price_changes(snapshots: DataFrame) -> DataFrame:
     return changed.select(*KEY, "day", "old_price", F.col("price").alias("new_price"), money(diff).alias("absolute_change"), pct.alias("percent_change"))
 
 
-def mark_inactive(listings: DataFrame, now, days: int = 3) -> DataFrame:
-    """active is false for listings not seen for ``days``."""
-    return listings.withColumn("active", F.col("last_seen_at") >= F.lit(now).cast("timestamp_ntz") - F.make_dt_interval(F.lit(days)))
+def mark_inactive(listings: DataFrame, now, days: int = 3, seen: Observation | None = None) -> DataFrame:
+    """Active listings not seen for ``days`` become inactive; inactive ones stay so.
+
+    Without a column ``active`` all count as active. ``seen`` gets ``n_marked``.
+    """
+    was = F.coalesce("active", F.lit(False)) if "active" in listings.columns else F.lit(True)
+    fresh = F.col("last_seen_at") >= F.lit(now).cast("timestamp_ntz") - F.make_dt_interval(F.lit(days))
+    out = listings.withColumn("_was", was).withColumn("active", was & fresh)
+    if seen:
+        out = out.observe(seen, F.count_if(F.col("_was") & ~F.col("active")).alias("n_marked"))
+    return out.drop("_was")
+
+
+def latest_snapshots(snapshots: DataFrame) -> DataFrame:
+    """The newest snapshot of each listing: (source, listing_id, day, event_id)."""
+    return snapshots.groupBy(*KEY).agg(F.max("day").alias("day"), F.max_by("event_id", F.struct("day", "event_id")).alias("event_id"))

@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from estatelake.sources.shared import keep
+
+#: Fixed names: the natural key of a benchmark, whose place names may be null, and what an import refreshes.
+BENCHMARK_KEY = ["source", "period", "country", "city", "district", "locality", "property_type", "segment", "metric"]
+BENCHMARK_FACTS = ["source_name", "source_url", "year", "quarter", "value", "change_percent", "transaction_count", "transaction_volume", "notes"]
+#: Fixed values of a subscription's first row.
+SUBSCRIPTION = {"plan": "basic", "status": "none", "cancel_at_period_end": False}
+
 
 def last_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     """The row of each key that comes first in ``order``."""
@@ -62,6 +70,67 @@ def backfill(target: DataFrame, source: DataFrame, keys: list[str], columns: lis
     return met.withColumns({c: F.coalesce(c, F.col(f"_new.{c}")) for c in columns}).drop("_new")
 
 
+def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys: list[str], part: str, policies: dict[str, str] | None = None) -> None:
+    """Merges updates into a table partitioned by ``part`` (one of the keys): only partitions that the updates name are read and written.
+
+    Rows of other days stay as they are; the same updates again change nothing.
+    """
+    if spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()).exists(spark._jvm.org.apache.hadoop.fs.Path(path)):
+        stored = spark.read.schema(updates.schema).parquet(path)
+        stored = stored.join(updates.select(part).distinct(), part, "left_semi").select(*updates.columns)
+        merged = merge_by_key(stored, updates, keys, policies).drop("merge_action")
+    else:
+        merged = updates
+    # Written aside first: what is read is overwritten.
+    keep(merged, "merged").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
+
+
+def merge_benchmarks(stored: DataFrame, imported: DataFrame) -> DataFrame:
+    """A benchmark with the same key (nulls in it are equal) gets the imported facts; all its other columns stay."""
+    others = [c for c in stored.columns if c not in BENCHMARK_KEY + BENCHMARK_FACTS]
+    return merge_by_key(stored, imported, BENCHMARK_KEY, dict.fromkeys(others, "keep_old"), null_safe=True)
+
+
+def merge_features(stored: DataFrame, made: DataFrame) -> DataFrame:
+    """A snapshot's features in a feature set are replaced."""
+    return merge_by_key(stored, made, ["snapshot_id", "feature_set_id"])
+
+
+def merge_location_scores(stored: DataFrame, scored: DataFrame) -> DataFrame:
+    return merge_by_key(stored, scored, ["id"])
+
+
+def merge_feature_sets(stored: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(name, version, target) keeps its id if it is stored, and takes the new description and code version; ids of new ones are a hash of the key."""
+    keys = ["name", "version", "target"]
+    given = wanted.withColumn("id", F.xxhash64(*keys)).select(*stored.columns)
+    return merge_by_key(stored, given, keys, {"id": "keep_old"})
+
+
+def merge_subscriptions(stored: DataFrame, updates: DataFrame) -> DataFrame:
+    """Partial updates: null leaves what is stored; a user's first row gets defaults where the update has nothing."""
+    out = merge_by_key(stored, updates, ["user_id"], {c: "coalesce" for c in stored.columns if c != "user_id"})
+    new = F.col("merge_action") == "inserted"
+    return out.withColumns({c: F.when(new, F.coalesce(c, F.lit(v))).otherwise(F.col(c)) for c, v in SUBSCRIPTION.items() if c in out.columns})
+
+
+def billing_updates(events: DataFrame, stored: DataFrame, order: str, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """events: (user_id, customer_id, ``order``, columns). Returns one partial update for each user, and events whose customer no subscription has.
+
+    An event names its user, or else its customer, who is looked up in the stored subscriptions.
+    """
+    known = stored.filter(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(F.min("user_id").alias("_known"))
+    met = events.join(known, "customer_id", "left").withColumn("user_id", F.coalesce("user_id", "_known")).drop("_known")
+    return fold_partial_updates(met.filter(F.col("user_id").isNotNull()), ["user_id"], order, columns), met.filter(F.col("user_id").isNull())
+
+
+def run_summary(merged: DataFrame, changes: DataFrame, quarantine: DataFrame) -> DataFrame:
+    """One row for an ingest run: new and updated listings, price changes, failed items, status."""
+    states = merged.agg(F.count_if(F.col("merge_action") == "inserted").alias("n_new"), F.count_if(F.col("merge_action") == "updated").alias("n_updated"))
+    out = states.crossJoin(changes.agg(F.count(F.lit(1)).alias("n_price_changes"))).crossJoin(quarantine.agg(F.count(F.lit(1)).alias("n_failed")))  # one row each
+    return out.withColumn("status", F.when(F.col("n_failed") > 0, "completed_with_errors").otherwise("succeeded"))
+
+
 def ingest_summary(merged: DataFrame, n_changes: int, n_failed: int) -> DataFrame:
     """One row: new, updated, price changes, failed, status. merged: a result of merge_by_key."""
     counts = merged.agg(F.count_if(F.col("merge_action") == "inserted").alias("n_new"), F.count_if(F.col("merge_action") == "updated").alias("n_updated"))

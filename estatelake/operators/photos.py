@@ -36,3 +36,38 @@ def photo_facts(mock: F.Column, quality: F.Column) -> F.Column:
     """A metric on a scale of 0 to 100 (from 0-1, 0-10 or 0-100); null for mock rows."""
     scaled = F.when(quality <= 1, quality * 100).when(quality <= 10, quality * 10).otherwise(quality)
     return F.when(~F.coalesce(mock, F.lit(False)), F.greatest(F.lit(0), F.least(F.lit(100), F.round(scaled, 0).cast("int"))))
+
+
+def to_100(score: F.Column) -> F.Column:
+    """A score on a scale of 0 to 100, whole; up to 1 it is a share, up to 10 a mark."""
+    scaled = F.when(score <= 1, score * 100).when(score <= 10, score * 10).otherwise(score)
+    return F.bround(F.greatest(F.lit(0.0), F.least(F.lit(100.0), scaled.cast("double"))), 0)
+
+
+def photo_section(scores: DataFrame) -> DataFrame:
+    """(id, available, quality, brightness, sharpness, observations): observation codes by rule; rows of a mock model, and rows without a metric, are unavailable."""
+    real = F.coalesce(F.col("model_provider") != "mock", F.lit(True))
+    q, bright, clear, exposed, fine = (to_100(F.coalesce(*map(F.col, c))) for c in (("image_quality", "photo_quality"), ("brightness",), ("sharpness",), ("exposure_quality",), ("resolution_quality",)))
+    available = real & (q.isNotNull() | F.col("brightness").isNotNull())
+    light = F.when(bright.isNotNull() & exposed.isNotNull(), F.when((bright >= 50) & (exposed >= 70), "bright_well_exposed").when(bright < 50, "dim").otherwise("uneven_exposure"))
+    blurred = F.when(F.col("blurry_image_ratio") >= 0.5, "mostly_blurry").when(F.col("blurry_image_ratio") > 0, "some_blurry")
+    codes = F.array_compact(F.array(light, blurred, F.when(fine >= 60, "resolution_ok").when(fine.isNotNull(), "resolution_low"), F.when(F.col("gallery_size") < 3, "limited_coverage")))
+    shown = lambda c: F.when(available, c)
+    return scores.select("id", available.alias("available"), shown(q).alias("quality"), shown(bright).alias("brightness"), shown(clear).alias("sharpness"), shown(codes).alias("observations"))
+
+
+def photo_comparison(best: DataFrame, scores: DataFrame) -> DataFrame:
+    """best: (id, o_id). A listing's photo quality, brightness and sharpness beside the means of its comparables, all 0 to 100; mock rows don't count, and both sides need a quality."""
+    real = scores.filter(F.coalesce(F.col("model_provider") != "mock", F.lit(True)))
+    marks = real.select("id", to_100(F.coalesce("image_quality", "photo_quality")).alias("quality"), to_100(F.col("brightness")).alias("brightness"), to_100(F.col("sharpness")).alias("sharpness"))
+    names = ["quality", "brightness", "sharpness"]
+    other = marks.select(F.col("id").alias("o_id"), *[F.col(c).alias(f"o_{c}") for c in names])
+    means = best.select("id", "o_id").join(other, "o_id").groupBy("id").agg(*[F.bround(F.avg(f"o_{c}"), 0).alias(f"mean_{c}") for c in names], F.count("o_quality").alias("n_scored"))
+    return marks.join(means, "id").filter(F.col("quality").isNotNull() & F.col("mean_quality").isNotNull())
+
+
+def latest_snapshot_scores(listings: DataFrame, snapshots: DataFrame, scores: DataFrame) -> DataFrame:
+    """Active listings with photos, the id of their newest snapshot, and their stored score, if any. snapshots: (id, snapshot_id, day)."""
+    newest = snapshots.groupBy("id").agg(F.max_by("snapshot_id", F.struct("day", "snapshot_id")).alias("snapshot_id"))
+    held = listings.filter(F.col("active") & (F.coalesce(F.size("images"), F.lit(0)) > 0))
+    return held.join(newest, "id", "left").join(scores, "id", "left")

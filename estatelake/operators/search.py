@@ -45,6 +45,41 @@ def price_drops(changes: DataFrame, listings: DataFrame, now, since_days: int, d
     return falls.join(facts, ["source", "listing_id"])
 
 
+def drops_page(changes: DataFrame, listings: DataFrame, now, since_days: int | None = None, deal_type: str | None = None, category: str | None = None, district: str | None = None, active_only: bool = True, limit: int = 50, offset: int = 0) -> DataFrame:
+    """A page of the falls in price of the last days, newest first, with the listing's facts and the ``total`` of all pages.
+
+    deal_type: sale or rent, by the words in the listing's URL.
+    """
+    falls = changes.filter("absolute_change < 0")
+    if since_days is not None:
+        falls = falls.filter(F.col("day") >= F.date_sub(F.lit(now).cast("date"), since_days))
+    facts = listings.filter("active") if active_only else listings
+    if deal_type is not None:
+        facts = facts.filter(F.lower("url").rlike({"sale": "prodej", "rent": "pronajem|pronájem"}[deal_type]))
+    for name, value in (("category", category), ("district", district)):
+        if value is not None:
+            facts = facts.filter(F.col(name) == value)
+    met = falls.join(facts.select("source", "listing_id", "url", "category", "district", "layout", F.col("price").alias("current_price"), "active"), ["source", "listing_id"])
+    total = met.agg(F.count(F.lit(1)).alias("total"))  # one row
+    return page(met, [F.desc("day"), F.desc("source"), F.desc("listing_id")], limit, offset).crossJoin(F.broadcast(total))
+
+
+def raw_log_page(log: DataFrame, source: str | None = None, limit: int = 50, offset: int = 0) -> DataFrame:
+    """The newest rows of the raw log, of one source or of all."""
+    own = log if source is None else log.filter(F.col("source") == source)
+    return page(own, [F.desc_nulls_last("scraped_at"), F.desc("id")], limit, offset)
+
+
+def source_counts(log: DataFrame) -> DataFrame:
+    """Rows of each source, and of all (source null)."""
+    return log.rollup("source").agg(F.count(F.lit(1)).alias("n"))
+
+
+def by_keys(df: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose key is in a table of keys; nulls meet none."""
+    return df.join(wanted, wanted.columns, "left_semi")
+
+
 def entitled_plan(role: F.Column, override: F.Column, status: F.Column, plan: F.Column) -> F.Column:
     """Active, trialing and past_due count as paid."""
     return F.when((role == "admin") | F.coalesce(override, F.lit(False)), "pro").when(status.isin("active", "trialing", "past_due"), F.coalesce(plan, F.lit("pro"))).otherwise("basic")
@@ -91,12 +126,14 @@ def pending_location_score(listings: DataFrame, scores: DataFrame) -> DataFrame:
     return listings.filter(F.col("active") & F.col("lat").isNotNull() & F.col("lon").isNotNull()).join(scores.select("id"), "id", "left_anti")
 
 
-def single_photo(listings: DataFrame) -> DataFrame:
-    return listings.filter(F.coalesce(F.size("images"), F.lit(0)) <= 1)
+def single_photo(listings: DataFrame, source: str | None = None) -> DataFrame:
+    """Listings, of a source if one is given, with one photo or none."""
+    own = listings if source is None else listings.filter(F.col("source") == source)
+    return own.filter(F.coalesce(F.when(F.col("images").isNotNull(), F.size("images")), F.lit(0)) <= 1)
 
 
 def benchmark_rows(bench: DataFrame, period: str | None = None, granularity: str | None = None, segment: str | None = None, metric: str | None = None, city: str | None = None) -> DataFrame:
-    """Rows of a period (default: the latest) that meet each given argument."""
+    """Rows of a period (default: the latest) that meet each given argument, by granularity, district (nulls first) and segment, where there are such columns."""
     if period is None:
         newest = bench.agg(F.max_by("period", F.struct("year", "quarter", "period")).alias("period"))  # one row
         bench = bench.join(F.broadcast(newest), "period")
@@ -105,7 +142,18 @@ def benchmark_rows(bench: DataFrame, period: str | None = None, granularity: str
     for name, value in (("granularity", granularity), ("segment", segment), ("metric", metric), ("city", city)):
         if value is not None:
             bench = bench.filter(F.col(name) == value)
-    return bench
+    order = [c for c in ("granularity", "district", "segment") if c in bench.columns]
+    return bench.orderBy(*[F.asc_nulls_first(c) for c in order]) if order else bench
+
+
+#: Fixed names of a benchmark's columns as its readers see them.
+BENCHMARK_NAMES = {"source": "source", "source_name": "sourceName", "source_url": "sourceUrl", "period": "period", "year": "year", "quarter": "quarter", "country": "country", "city": "city", "district": "district", "locality": "locality", "property_type": "propertyType", "segment": "segment", "metric": "metric", "value": "value", "change_percent": "changePercent", "transaction_count": "transactionCount", "transaction_volume": "transactionVolume", "granularity": "granularity", "notes": "notes"}
+
+
+def benchmark_projection(bench: DataFrame) -> DataFrame:
+    """Benchmarks as their readers see them: text id, numbers as doubles, names in camel case."""
+    numbers = ("value", "change_percent", "transaction_volume")
+    return bench.select(F.col("id").cast("string").alias("id"), *[(F.col(c).cast("double") if c in numbers else F.col(c)).alias(to) for c, to in BENCHMARK_NAMES.items() if c in bench.columns])
 
 
 def saved_listings(saved: DataFrame, listings: DataFrame, user) -> DataFrame:
@@ -119,13 +167,25 @@ def with_total(df: DataFrame) -> int:
     return df.count()
 
 
-def in_given_order(df: DataFrame, ids: list[int], most: int = 20) -> DataFrame:
-    """The rows of a list of ids in its order; unknown ids and repeats drop out. The list is a request's, so it is short."""
+def in_given_order(df: DataFrame, ids: list[int], most: int = 20, subject: int | None = None) -> DataFrame:
+    """The rows of a list of ids in its order; the subject, unknown ids and repeats drop out. The list is a request's, so it is short."""
     spark = df.sparkSession
-    wanted = spark.createDataFrame([(i, n) for n, i in enumerate(dict.fromkeys(ids))], "id long, nth int")
+    wanted = spark.createDataFrame([(i, n) for n, i in enumerate(dict.fromkeys(i for i in ids if i != subject))], "id long, nth int")
     return df.join(F.broadcast(wanted), "id").orderBy("nth").limit(most)
 
 
 def public_user(users: DataFrame) -> DataFrame:
     """Facts of users that may be shown: whether there is a password or a linked account, never which."""
     return users.select("id", "email", "name", F.col("password_hash").isNotNull().alias("has_password"), F.col("google_sub").isNotNull().alias("has_google"), "plan", "status")
+
+
+def picked_lists(picks: DataFrame, listings: DataFrame, most: int = 20) -> DataFrame:
+    """picks: (subject, ids), a list for each subject. (subject, nth, id, ...) of its first ``most`` others, in the list's order; unknown ids drop out."""
+    asked = picks.select("subject", F.slice(F.array_distinct(F.array_except(F.array_compact("ids"), F.array("subject"))), 1, most).alias("ids")).select("subject", F.posexplode("ids").alias("nth", "id"))
+    return asked.join(listings, "id")
+
+
+def user_facts(users: DataFrame, subscriptions: DataFrame) -> DataFrame:
+    """What may be shown of users, with the plan that they are entitled to."""
+    met = users.join(subscriptions.select(F.col("user_id").alias("id"), "status", F.col("plan").alias("_plan")), "id", "left")
+    return met.select("id", "email", F.coalesce("role", F.lit("user")).alias("role"), F.col("google_sub").isNotNull().alias("has_google"), F.col("password_hash").isNotNull().alias("has_password"), entitled_plan(F.col("role"), F.col("pro_override"), F.col("status"), F.col("_plan")).alias("plan"), "status")

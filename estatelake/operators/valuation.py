@@ -19,20 +19,34 @@ def similarity(layout_a, layout_b, area_a, area_b, sqm_a, sqm_b) -> F.Column:
     return F.bround(got / most * 100, 0).cast("int")
 
 
+#: In a segment's key: a listing without this fact is compared with all.
+ANY = "\0any"
+SALTS = 8
+
+
 def comparables(listings: DataFrame, cap: int = 200) -> DataFrame:
     """Pairs (id, other) of a segment with their similarity; ``cap`` others of each segment, by id, as the rule has it.
 
-    The cap bounds the join: a listing meets at most cap others, however large
-    its segment. listings: id, SEGMENT, layout, area, price.
+    Others are active (if there is a column ``active``) and have a price and a
+    price per m2. A listing without a category or deal type meets those of any.
+    listings: id, SEGMENT, layout, area, price.
+
+    A segment's first cap + 1 others are one row, whatever its size; they are cut
+    before the shuffle, and a listing takes cap of them. A segment's row is sent
+    to SALTS places, so that a large segment's listings are in several tasks.
     """
-    facts = listings.filter(F.col("price").isNotNull()).select("id", *SEGMENT, "layout", "area", "price", per_sqm(F.col("price"), F.col("area")).alias("sqm"))
-    # The first cap + 1 ids of a segment leave cap others for each of its listings; Spark cuts to them before the shuffle.
-    nth = F.row_number().over(Window.partitionBy(*SEGMENT).orderBy("id"))
-    few = facts.withColumn("_n", nth).filter(F.col("_n") <= cap + 1)
-    others = few.select(*SEGMENT, *[F.col(c).alias(f"o_{c}") for c in ("id", "layout", "area", "price", "sqm")], "_n")
-    met = facts.join(others, SEGMENT).filter((F.col("id") != F.col("o_id")) & ((F.col("_n") <= cap) | (F.col("id") <= F.col("o_id")))).drop("_n")
-    own = Window.partitionBy("id").orderBy("o_id")
-    met = met.withColumn("_n", F.row_number().over(own)).filter(F.col("_n") <= cap).drop("_n")
+    names = ["id", "layout", "area", "price", "sqm"]
+    facts = listings.filter(F.col("price").isNotNull()).withColumn("sqm", per_sqm(F.col("price"), F.col("area")))
+    held = (facts.filter("active") if "active" in listings.columns else facts).filter(F.col("sqm").isNotNull())
+    either = lambda c: F.array_compact(F.array(F.col(c), F.lit(ANY)))
+    held = held.withColumn("_c", F.explode(either("category"))).withColumn("_d", F.explode(either("deal_type")))
+    nth = F.row_number().over(Window.partitionBy("district", "_c", "_d").orderBy("id"))
+    few = held.withColumn("_n", nth).filter(F.col("_n") <= cap + 1)
+    pool = few.groupBy("district", "_c", "_d").agg(F.array_sort(F.collect_list(F.struct(*names))).alias("_pool")).withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    asked = facts.select(*names, *SEGMENT).withColumns({"_c": F.coalesce("category", F.lit(ANY)), "_d": F.coalesce("deal_type", F.lit(ANY)), "_salt": F.pmod(F.xxhash64("id"), F.lit(SALTS))})
+    others = F.slice(F.filter("_pool", lambda o: o["id"] != F.col("id")), 1, cap)
+    met = asked.join(pool, ["district", "_c", "_d", "_salt"]).select(*SEGMENT, *names, F.explode(others).alias("_o"))
+    met = met.select(*SEGMENT, *names, *[F.col("_o")[c].alias(f"o_{c}") for c in names])
     return met.withColumn("similarity", similarity(F.col("layout"), F.col("o_layout"), F.col("area"), F.col("o_area"), F.col("sqm"), F.col("o_sqm")))
 
 
@@ -41,6 +55,35 @@ def best_comparables(pairs: DataFrame, floor: int = 60, k: int = 2) -> DataFrame
     return pairs.filter(F.col("similarity") >= floor).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+def picked_comparables(picks: DataFrame, listings: DataFrame, most: int = 20) -> DataFrame:
+    """picks: (id, ids). The listings that someone chose for a listing, in their order, with their similarity; no floor and no number k."""
+    from estatelake.operators.search import picked_lists
+
+    names = ["id", "layout", "area", "price", "sqm"]
+    facts = listings.withColumn("sqm", per_sqm(F.col("price"), F.col("area"))).select(*names)
+    chosen = picked_lists(picks.withColumnRenamed("id", "subject"), facts, most).select("subject", (F.col("nth") + 1).alias("rank"), *[F.col(c).alias(f"o_{c}") for c in names])
+    met = chosen.join(facts, chosen["subject"] == facts["id"]).drop("subject")
+    return met.withColumn("similarity", similarity(F.col("layout"), F.col("o_layout"), F.col("area"), F.col("o_area"), F.col("sqm"), F.col("o_sqm")))
+
+
+def comparable_rows(listings: DataFrame, pairs: DataFrame, best: DataFrame) -> DataFrame:
+    """The rows of a listing's table of comparables: itself, the median of its pool, and its best.
+
+    Whole numbers in the median row; its price per m2 is its price over its area,
+    or the pool's median where no area is known. ``difference``: against the listing.
+    """
+    own = listings.filter(F.col("price").isNotNull()).select("id", "layout", "area", "price", per_sqm(F.col("price"), F.col("area")).alias("sqm"))
+    number = lambda c: F.col(c).cast("double").alias(c)
+    shape = lambda df, kind: df.select("id", F.lit(kind).alias("kind"), "rank", "o_id", "layout", number("area"), number("price"), number("sqm"), number("difference"), F.col("similarity").cast("int").alias("similarity"))
+    none = F.lit(None)
+    subject = own.withColumns({"rank": F.lit(0), "o_id": none.cast("long"), "difference": none.cast("double"), "similarity": F.lit(100)})
+    pool = pairs.groupBy("id").agg(*[F.bround(F.percentile(f"o_{c}", 0.5), 0).alias(c) for c in ("price", "area", "sqm")])
+    pool = pool.withColumn("sqm", F.coalesce(F.bround(F.col("price") / F.nullif("area", F.lit(0.0)), 0), "sqm")).join(own.select("id", "layout", F.col("price").alias("_own")), "id")
+    median = pool.withColumns({"rank": F.lit(0), "o_id": none.cast("long"), "difference": rounded(F.col("price") - F.col("_own")), "similarity": none.cast("int")})
+    top = best.select("id", "rank", "o_id", F.col("o_layout").alias("layout"), F.col("o_area").alias("area"), F.col("o_price").alias("price"), F.col("o_sqm").alias("sqm"), rounded(F.col("o_price") - F.col("price")).alias("difference"), "similarity")
+    return shape(subject, "subject").unionByName(shape(median, "median")).unionByName(shape(top, "best"))
+
+
 def value_listings(pairs: DataFrame) -> DataFrame:
     """Estimate (median price per m2 x area, else median price), band of 5 %, difference in percent (one digit) and label at -5 and +5."""
     pool = pairs.groupBy("id", "price", "area").agg(F.percentile("o_price", 0.5).alias("median_price"), F.percentile("o_sqm", 0.5).alias("median_sqm"), F.percentile("o_area", 0.5).alias("median_area"), F.count(F.lit(1)).alias("sample_size"))
@@ -55,20 +98,53 @@ def recommendation(label: F.Column, days_on_market: F.Column, photo_risks: F.Col
     return F.array_compact(F.concat(F.array(F.concat(F.lit("verdict_"), label)), F.coalesce(photo_risks, F.array().cast("array<string>")), F.array(F.when(days_on_market >= 60, "risk_long_on_market").when(days_on_market <= 14, "strength_fresh"), F.lit("step_visit"), F.lit("step_documents"))))
 
 
-def buy_vs_rent(listings: DataFrame, price: str = "price", rent: str = "rent", growth: str = "growth_pct", years: int = 30, down: float = 0.2, rate: float = 0.04, invest: float = 0.05) -> DataFrame:
-    """Yearly wealth of a buyer (value less debt) and a renter (invested down payment and savings), by a fold over months; and the first year the buyer is ahead."""
-    loan = F.col(price) * (1 - down)
-    month = rate / 12
-    pay = loan * month / (1 - (1 + month) ** (-12 * years))
+def rent_estimates(sales: DataFrame, listings: DataFrame) -> DataFrame:
+    """Sales with ``rent_sqm``, the median rent per m2 of active listings of their district and category, and ``rent`` for their area; null without such listings."""
+    from estatelake.operators.market import price_distribution
+
+    rents = price_distribution(listings.filter("deal_type = 'rent'"), ["district"]).filter(F.col("category").isNotNull()).select("district", "category", F.col("p50").alias("rent_sqm"))
+    return sales.join(rents, ["district", "category"], "left").withColumn("rent", F.bround(F.col("rent_sqm") * F.col("area"), 0))
+
+
+def recommendation_codes(label: F.Column, days_on_market: F.Column, photos: F.Column, poor_photos: F.Column) -> F.Column:
+    """(verdict, strengths, risks, steps) as codes. photos: whether there is a photo analysis; poor_photos: half of them blurred or dark."""
+    codes = lambda *c: F.array_compact(F.array(*c))
+    has = F.coalesce(photos, F.lit(False))
+    return F.struct(
+        F.concat(F.lit("verdict_"), F.coalesce(label, F.lit("none"))).alias("verdict"),
+        codes(F.when(label == "undervalued", "below").when(label == "fair", "inline"), F.when(days_on_market <= 14, "recent")).alias("strengths"),
+        codes(F.when(label == "overpriced", "above"), F.when(has, "photo_only").otherwise("no_photos"), F.when(has & F.coalesce(poor_photos, F.lit(False)), "poor_photos"), F.when(days_on_market >= 60, "days")).alias("risks"),
+        F.array(*map(F.lit, ("viewing", "building", "benchmark"))).alias("steps"),
+    )
+
+
+def buy_vs_rent(listings: DataFrame, price: str = "price", rent: str = "rent", growth: str = "growth_pct", years: int = 30, down: float = 0.2, rate: float = 0.04, invest: float = 0.05, inflation: float = 0.025) -> DataFrame:
+    """Yearly wealth of a buyer and a renter who spend the same each month, by a fold over months, their final wealth, and the first year the buyer is ahead.
+
+    The buyer has the value less the debt, and what is invested while rent is more than the payment; the renter has the invested down payment, and what is invested while rent is less. Rent grows by a twelfth of the inflation each month, the value by the growth.
+    """
+    cost, months = F.greatest(F.col(price).cast("double"), F.lit(0.0)), 12 * years
+    loan, month = cost * (1 - down), rate / 12
+    pay = loan * month / (1 - (1 + month) ** -months)
+    dearer, yields = (1 + inflation) ** (1 / 12), (1 + invest) ** (1 / 12)
+    rises = F.pow(1 + F.col(growth) / 100, F.lit(1 / 12))
 
     def step(s, m):
-        return F.struct((s["value"] * F.pow(1 + F.col(growth) / 100, F.lit(1 / 12))).alias("value"), (s["debt"] * (1 + month) - pay).alias("debt"), (s["fund"] * (1 + invest) ** (1 / 12) + F.greatest(pay - s["rent"], F.lit(0.0))).alias("fund"), F.when(m % 12 == 0, s["rent"] * 1.02).otherwise(s["rent"]).alias("rent"),
-                        F.when(m % 12 == 0, F.concat(s["path"], F.array(F.struct((m / 12).cast("int").alias("year"), F.round(s["value"] * F.pow(1 + F.col(growth) / 100, F.lit(1 / 12)) - (s["debt"] * (1 + month) - pay), 0).alias("buyer"), F.round(s["fund"] * (1 + invest) ** (1 / 12) + F.greatest(pay - s["rent"], F.lit(0.0)), 0).alias("renter"))))).otherwise(s["path"]).alias("path"))
+        gap = pay - s["rent"]
+        return F.struct((s["value"] * rises).alias("value"), F.greatest(F.lit(0.0), s["debt"] * (1 + month) - pay).alias("debt"), (s["rent"] * dearer).alias("rent"), (s["buyer"] * yields + F.greatest(-gap, F.lit(0.0))).alias("buyer"), (s["renter"] * yields + F.greatest(gap, F.lit(0.0))).alias("renter"))
+
+    first = F.struct(F.lit(0).alias("year"), F.round(cost - loan, 0).alias("buyer"), F.round(cost - loan, 0).alias("renter"))
+    start = F.struct(cost.alias("value"), loan.alias("debt"), F.greatest(F.col(rent).cast("double"), F.lit(0.0)).alias("rent"), F.lit(0.0).alias("buyer"), (cost - loan).alias("renter"), F.array(first).alias("path"))
+
+    def fold(s, m):
+        after = step(s, m)
+        point = F.struct((m / 12).cast("int").alias("year"), F.round(after["value"] - after["debt"] + after["buyer"], 0).alias("buyer"), F.round(after["renter"], 0).alias("renter"))
+        return F.struct(*[after[c].alias(c) for c in ("value", "debt", "rent", "buyer", "renter")], F.when(m % 12 == 0, F.concat(s["path"], F.array(point))).otherwise(s["path"]).alias("path"))
 
-    start = F.struct(F.col(price).cast("double").alias("value"), loan.cast("double").alias("debt"), (F.col(price) * down).cast("double").alias("fund"), F.col(rent).cast("double").alias("rent"), F.array(F.struct(F.lit(0).alias("year"), F.round(F.col(price) * down, 0).cast("double").alias("buyer"), F.round(F.col(price) * down, 0).cast("double").alias("renter"))).alias("path"))
-    path = F.aggregate(F.sequence(F.lit(1), F.lit(12 * years)), start, step)["path"]
+    path = F.aggregate(F.sequence(F.lit(1), F.lit(months)), start, fold)["path"]
     ahead = F.filter(F.col("path"), lambda x: (x["year"] > 0) & (x["buyer"] >= x["renter"]))
-    return listings.withColumn("payment", F.round(pay, 0)).withColumn("path", path).withColumn("break_even_year", F.get(ahead, F.lit(0))["year"])
+    out = listings.withColumn("payment", F.round(pay, 0)).withColumn("path", path)
+    return out.withColumns({"break_even_year": F.get(ahead, F.lit(0))["year"], "buyer_final": F.element_at("path", -1)["buyer"], "renter_final": F.element_at("path", -1)["renter"]})
 
 
 def widened(pairs: DataFrame, wide: DataFrame, floor: int = 60, min_strong: int = 3) -> DataFrame:

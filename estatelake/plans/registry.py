@@ -281,12 +281,21 @@ def _(spark, sf):
     return turns.select("conv_id", photos.gallery_hash(F.col("t.text")).alias("gallery"))
 
 
-@query("a15_buy_vs_rent")
+_PAY = "cost * 0.8 * (0.04 / 12) / (1 - pow(1 + 0.04 / 12, -360))"
+
+
+@query("a15_buy_vs_rent", f"""WITH RECURSIVE {CURRENT}, l AS (SELECT event_id AS id, district, region, deal_type, area, price, {SQM} AS sqm FROM cur), rm AS (SELECT district, percentile_cont(0.5) WITHIN GROUP (ORDER BY sqm) AS rent_sqm FROM l WHERE deal_type = 'rent' GROUP BY district),
+sale AS (SELECT id, region, CAST(price AS DOUBLE) AS cost, {r2('rent_sqm * area / 200')} AS rent FROM l JOIN rm USING (district) WHERE deal_type = 'buy' AND price > 0 AND rent_sqm IS NOT NULL AND area IS NOT NULL),
+f AS (SELECT id, region, 0 AS m, cost, {_PAY} AS pay, cost AS value, cost * 0.8 AS debt, rent, CAST(0 AS DOUBLE) AS buyer, cost - cost * 0.8 AS renter FROM sale
+  UNION ALL SELECT id, region, m + 1, cost, pay, value * pow(1.04, 1.0 / 12), greatest(0.0, debt * (1 + 0.04 / 12) - pay), rent * pow(1.025, 1.0 / 12), buyer * pow(1.05, 1.0 / 12) + greatest(rent - pay, 0.0), renter * pow(1.05, 1.0 / 12) + greatest(pay - rent, 0.0) FROM f WHERE m < 360),
+y AS (SELECT id, min(m // 12) FILTER (m > 0 AND m % 12 = 0 AND round(value - debt + buyer, 0) >= round(renter, 0)) AS year FROM f GROUP BY id)
+SELECT region, CAST(year AS DOUBLE) AS break_even_year, count(*) AS n FROM sale JOIN y USING (id) GROUP BY ALL""")
 def _(spark, sf):
     l = _listings(spark, sf)
     rent = l.filter("deal_type = 'rent'").groupBy("district").agg(F.percentile(per_sqm(F.col("price"), F.col("area")), 0.5).alias("rent_sqm"))
     sale = l.filter("deal_type = 'buy' AND price > 0").join(rent, "district").withColumn("rent", rounded(F.col("rent_sqm") * F.col("area") / 200)).withColumn("growth_pct", F.lit(4.0))
-    return valuation.buy_vs_rent(sale).groupBy("region", "break_even_year").agg(F.count(F.lit(1)).alias("n"))
+    sale = sale.filter("rent IS NOT NULL")
+    return valuation.buy_vs_rent(sale).groupBy("region", F.col("break_even_year").cast("double").alias("break_even_year")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("m1_features", f"WITH {STATS}, s AS (SELECT * FROM (SELECT * EXCLUDE (nth) FROM (SELECT *, row_number() OVER (PARTITION BY source, listing_id, day ORDER BY scraped_at DESC, event_id DESC) AS nth FROM obs) WHERE nth = 1)) SELECT s.source, s.deal_type, s.category, s.district, listing_id, day, area, price AS target, n, median_price, median_sqm FROM s LEFT JOIN stats USING (source, deal_type, category, district) WHERE s.deal_type = 'buy' AND price IS NOT NULL")
@@ -365,7 +374,14 @@ def _(spark, sf):
     return met.select("id", F.array_join(valuation.market_codes(F.col("price"), F.col("estimate"), F.col("sqm"), F.col("median_sqm"), F.lit(False)), ",").alias("codes"))
 
 
-@query("s11_valuation_documents")
+_SALE = f"""{_PAIRS}, p AS (SELECT id, price, area, percentile_cont(0.5) WITHIN GROUP (ORDER BY o_price) AS mp, percentile_cont(0.5) WITHIN GROUP (ORDER BY o_sqm) AS ms, count(*) AS n FROM pairs GROUP BY ALL), e AS (SELECT *, {r2('coalesce(ms * nullif(area, 0), mp)')} AS v FROM p),
+f AS (SELECT *, CAST(round(CAST((price / nullif(v, 0) - 1) * 100 AS DECIMAL(18,6)), 1) AS DOUBLE) AS d, {r2('v * 0.95')} AS low, {r2('v * 1.05')} AS high FROM e),
+g AS (SELECT f.*, cur.deal_type, cur.district, cur.region, date_diff('day', CAST(first_seen_at AS DATE), DATE '2024-02-01') AS days FROM f JOIN cur ON event_id = f.id)"""
+
+
+@query("s11_valuation_documents", f"""WITH {_SALE} SELECT id, '{{"days_on_market":' || days || ',"deal_type":"' || deal_type || '","district":"' || district || '","region":"' || region || '","valuation":{{' || CASE WHEN v IS NULL THEN '' ELSE '"value":' || CAST(round(v, 0) AS BIGINT) || ',"value_per_sqm":' || CAST(round(v / nullif(area, 0), 0) AS BIGINT) || ',' END
+  || '"range":{{' || CASE WHEN v IS NULL THEN '' ELSE '"low":' || low || ',"mid":' || v || ',"high":' || high END || '}},"sample_size":' || n || '}},"recommendation":[' || CASE WHEN d <= -5 THEN '"verdict_undervalued",' WHEN d >= 5 THEN '"verdict_overpriced",' WHEN d IS NOT NULL THEN '"verdict_fair",' ELSE '' END
+  || CASE WHEN days >= 60 THEN '"risk_long_on_market",' WHEN days <= 14 THEN '"strength_fresh",' ELSE '' END || '"step_visit","step_documents"]}}' AS document FROM g""")
 def _(spark, sf):
     from estatelake.sources.io import valuation_documents
 

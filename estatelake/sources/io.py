@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from estatelake.sources.shared import keep
+
 #: Columns of a benchmark file.
 BENCHMARK = {"source": "string", "source_name": "string", "source_url": "string", "period": "string", "year": "int", "quarter": "int", "country": "string", "city": "string", "district": "string", "locality": "string", "property_type": "string", "segment": "string", "metric": "string", "value": "double", "change_percent": "double", "transaction_count": "int", "transaction_volume": "double", "granularity": "string", "notes": "string"}
 
@@ -38,15 +42,51 @@ def melt_index(wide: DataFrame, quarter_col: str, national: str) -> DataFrame:
     return long.select(F.when(F.col("place") == national, "city").otherwise("district").alias("granularity"), "place", F.format_string("%d_Q%d", y, q).alias("period"), y.alias("year"), q.alias("quarter"), F.col("value").cast("double").alias("value"))
 
 
+def import_benchmarks(spark: SparkSession, path: str, stored: DataFrame, strict: bool = False) -> tuple[DataFrame, dict[str, int]]:
+    """Merges a benchmark CSV into the stored table. Returns it, and how many rows were read and imported (a key's last row counts)."""
+    from estatelake.operators.merge import BENCHMARK_KEY, merge_benchmarks
+
+    seen = Observation("benchmarks")
+    rows = read_benchmarks(spark, path, strict).withColumn("_n", F.monotonically_increasing_id()).observe(seen, F.count(F.lit(1)).alias("rows"))
+    last = keep(rows.groupBy(*BENCHMARK_KEY).agg(F.max_by(F.struct(*[c for c in BENCHMARK if c not in BENCHMARK_KEY]), "_n").alias("_r")).select(*BENCHMARK_KEY, "_r.*").select(*BENCHMARK), "benchmarks")
+    return merge_benchmarks(stored, last).drop("merge_action"), {"rows": seen.get["rows"], "imported": last.count()}
+
+
+def raw_rows(items: DataFrame, run_id: str) -> DataFrame:
+    """Rows of the raw log for normalised items: run, source, id ('unknown' if there is none), URL, time, item and content hash."""
+    known = F.coalesce(F.nullif("source_listing_id", F.lit("")), F.lit("unknown"))
+    return items.select(F.lit(run_id).alias("run_id"), "source", known.alias("source_listing_id"), "url", "scraped_at", F.col("raw").alias("item"), "content_hash")
+
+
 def append_raw(items: DataFrame, path: str) -> None:
     """The append-only log, by source and day; rows need source and scraped_at."""
     items.withColumn("scrape_date", F.to_date("scraped_at")).write.mode("append").partitionBy("source", "scrape_date").parquet(path)
 
 
+def export_training(frame: DataFrame, path: str, target: str, notes: str | None = None) -> DataFrame:
+    """Writes a training set as CSV, and returns its row of lineage: path, target, rows, columns."""
+    n = export_csv(frame, path)
+    return frame.sparkSession.createDataFrame([(path, target, n, len(frame.columns), notes)], "path string, target string, row_count long, column_count int, notes string")
+
+
+def index_file_name(deal_type: str, category: str, district: str | None = None) -> str:
+    """A plain ASCII name for an exported index."""
+    parts = ["market-index", deal_type, category]
+    if district:
+        parts.append(re.sub(r"[^A-Za-z0-9]+", "-", district).strip("-").lower() or "district")
+    return "-".join(parts) + ".csv"
+
+
+def export_index(series: DataFrame, folder: str, deal_type: str, category: str, district: str | None = None) -> str:
+    """Writes an index (day, median_price, median_sqm, n), oldest first, as CSV with the header date, median_price, median_price_per_sqm, property_count. Returns the path."""
+    path = f"{folder}/{index_file_name(deal_type, category, district)}"
+    named = series.select(F.date_format("day", "yyyy-MM-dd").alias("date"), "median_price", F.col("median_sqm").alias("median_price_per_sqm"), F.col("n").alias("property_count"))
+    named.orderBy("date").write.mode("overwrite").csv(path, header=True)
+    return path
+
+
 def export_csv(df: DataFrame, path: str) -> int:
     """Writes with a header; returns the number of rows."""
-    from pyspark.sql import Observation
-
     seen = Observation("export")
     df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").csv(path, header=True)
     return seen.get["n"]

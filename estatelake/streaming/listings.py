@@ -91,3 +91,33 @@ def price_changes(stream: DataFrame, late: str | None = None) -> DataFrame:
     timed = stream.withWatermark("scraped_at", late) if late else stream
     timeout = GroupStateTimeout.EventTimeTimeout if late else GroupStateTimeout.NoTimeout
     return timed.groupBy("source", "listing_id").applyInPandasWithState(_changes(bool(late)), CHANGES, _STATE, "append", timeout)
+
+
+def in_time(stream: DataFrame, late_days: int) -> tuple[DataFrame, DataFrame]:
+    """(rows in time, late rows): late are those that landed (``landed_at``) more than ``late_days`` after their day. Each goes to a table of its own."""
+    late = F.date_diff(F.to_date("landed_at"), F.to_date("scraped_at")) > late_days
+    return stream.filter(~late), stream.filter(late)
+
+
+def _stale(days: int):
+    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        """The state: when the listing was last seen, in microseconds."""
+        if state.hasTimedOut:
+            (seen,) = state.get
+            state.remove()
+            yield pd.DataFrame({"source": [key[0]], "listing_id": [int(key[1])], "last_seen_at": [pd.Timestamp(seen, unit="us")]})
+            return
+        seen = state.get[0] if state.exists else 0
+        for rows in batches:
+            seen = max(seen, int(rows["scraped_at"].astype("datetime64[us]" if rows["scraped_at"].dt.tz is None else "datetime64[us, UTC]").astype("int64").max()))
+        state.update((seen,))
+        state.setTimeoutTimestamp(max(seen // 1000 + days * 86_400_000, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame({"source": [], "listing_id": [], "last_seen_at": []}).astype({"listing_id": "int64", "last_seen_at": "datetime64[us]"})
+
+    return run
+
+
+def stale_listings(stream: DataFrame, days: int = 3, late: str = "0 days") -> DataFrame:
+    """(source, listing_id, last_seen_at) of a listing once the watermark is ``days`` past its last row; a later row starts it anew."""
+    timed = stream.withWatermark("scraped_at", late).select("source", "listing_id", "scraped_at")
+    return timed.groupBy("source", "listing_id").applyInPandasWithState(_stale(days), "source string, listing_id long, last_seen_at timestamp", "seen long", "append", GroupStateTimeout.EventTimeTimeout)
