@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from estatelake.sources.shared import keep, scratch, shared_dir
+
+__all__ = ["ASCII_SPACE", "NULL_ID", "id_key", "keep", "ranked", "scratch", "shared_dir", "table"]
+
 #: A null id sorts after every other id and is one document of its own.
 NULL_ID = 2**63 - 1
 #: ASCII white space [\x20\x09-\x0D], the only separators that these operators know.
@@ -20,33 +21,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (``spark.checkpoint.dir``).
-
-    Only where the session names none, as in tests, a local one is set.
-    """
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = "file://" + tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", at)
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(at)
-    return at
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path under the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def keep(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it again: cuts the lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = scratch(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def id_key(col: str) -> F.Column:
     """The id as a key without nulls."""
     return F.coalesce(F.col(col).cast("long"), F.lit(NULL_ID))
