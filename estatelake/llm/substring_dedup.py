@@ -5,8 +5,12 @@ target, so that equal passages are cut alike wherever they stand; an insertion
 moves the cuts next to it alone. Each chunk has a 64-bit digest. What is looked
 up is the digest of SPAN chunks in a row, about 60 bytes, which don't meet by
 chance as single short chunks do. A maximal run of chunks that lie in looked-up
-spans that another document holds too, of at least MIN_WORDS words, is a
-repeated passage.
+spans that another document holds too is a repeated passage, unless it is surely
+shorter than MIN_WORDS words: what the documents share goes beyond the run by
+less than the distance to the next cut by hash, and REACH more on the left, where
+the hash still sees what stands before. So a passage of MIN_WORDS words is found
+if it holds SPAN chunks, however long its words are, and what is found falls short
+of MIN_WORDS by the words next to its ends at most.
 
 1. One pass over the texts packs a batch of documents into a row: cuts, words
    and digests of their chunks.
@@ -42,7 +46,13 @@ CUT = 13
 #: Longer stretches without a cut are cut where their hash is smallest.
 MOST_BYTES = 64
 SPAN = 3
-MIN_WORDS = 28
+MIN_WORDS = 51
+#: Bytes that a cut's hash depends on.
+REACH = 16
+#: Marks, among the lengths of chunks (MOST_BYTES at most), an end that the hash has set, and one inside a word.
+NATURAL, INSIDE = 1 << 15, 1 << 14
+#: Beside a chunk's number of words, that of words which begin in the last REACH bytes before its end.
+LATE = 1 << 8
 #: Texts of a batch, in bytes; digests of a shard.
 BATCH_BYTES = 8 << 20
 SHARD_DIGESTS = 2_000_000
@@ -59,16 +69,16 @@ def gear(raw: np.ndarray) -> np.ndarray:
     return h
 
 
-def chunk_ends(raw: np.ndarray) -> np.ndarray:
-    """Ends of the chunks of a text; no chunk is longer than MOST_BYTES.
+def chunk_ends(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ends of the chunks of a text, and whether the hash has set them (or the text's end); no chunk is longer than MOST_BYTES.
 
     A longer stretch without a cut, such as one word over and over, is cut where
     its hash is smallest, at all such places: that too depends on content alone.
     """
     if not len(raw):
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, bool)
     h = gear(raw)
-    cuts = np.unique(np.append(np.flatnonzero(((h >> np.uint32(4)) & np.uint32(255)) < CUT) + 1, len(raw)))
+    cuts = natural = np.unique(np.append(np.flatnonzero(((h >> np.uint32(4)) & np.uint32(255)) < CUT) + 1, len(raw)))
     h = h & np.uint32(0xFFFF)  # of the last 16 bytes
     while (long := np.flatnonzero(np.diff(cuts, prepend=0) > MOST_BYTES)).size:
         new = [cuts]
@@ -77,20 +87,23 @@ def chunk_ends(raw: np.ndarray) -> np.ndarray:
             inner = h[begin : end - 1]
             new.append(np.flatnonzero(inner == inner.min()) + begin + 1)
         cuts = np.unique(np.concatenate(new))
-    return cuts
+    return cuts, np.isin(cuts, natural, assume_unique=True)
 
 
 def chunked(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Ends in bytes, ends in code points, words that begin in each chunk, and digests of SPAN chunks from each."""
+    """Ends in bytes; lengths in code points with their marks; words that begin in each chunk, with LATE; digests of SPAN chunks from each."""
     raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-    ends = chunk_ends(raw)
+    ends, natural = chunk_ends(raw)
     starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
     points = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])[ends]
-    words = np.diff(np.searchsorted(word_bounds(raw)[0], ends), prepend=0)
+    begins, stops = word_bounds(raw)
+    before = np.searchsorted(begins, ends)  # words that begin before each end
+    late = before - np.searchsorted(begins, ends - REACH)
+    inside = before > np.searchsorted(stops, ends, "right")
+    marked = np.diff(points, prepend=0) + natural * NATURAL + inside * INSIDE
     n = len(ends) - SPAN + 1
-    if n < 1:
-        return ends, points, words, np.zeros(0, np.uint64)
-    return ends, points, words, piece_hashes(prefix_sums(raw), starts[:n], ends[SPAN - 1 :])
+    digests = piece_hashes(prefix_sums(raw), starts[:n], ends[SPAN - 1 :]) if n > 0 else np.zeros(0, np.uint64)
+    return ends, marked, np.diff(before, prepend=0) + late * LATE, digests
 
 
 CHUNKS = "batch long, n long, ids binary, chunks binary, counts binary, points binary, words binary, digests binary"
@@ -111,7 +124,7 @@ def _chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             _, p, w, d = chunked(text)
             ids.append(i)
             chunks.append(len(p))
-            points.append(np.diff(p, prepend=0))  # a chunk has MOST_BYTES bytes at most
+            points.append(p)
             words.append(w)
             digests.append(d)
             size += len(text)
@@ -147,23 +160,40 @@ def _passages(min_words: int):
                 for i, n in zip(np.frombuffer(row["ids"], np.int64).tolist(), np.frombuffer(row["chunks"], np.int64).tolist(), strict=True):
                     m = max(0, n - SPAN + 1)
                     if m and (own := hit[d : d + m]).any():
-                        out += found(i, own, first[d : d + m], np.concatenate([[0], np.cumsum(points[c : c + n], dtype=np.int64)]), words[c : c + n].astype(np.int64))
+                        out += found(i, own, first[d : d + m], points[c : c + n], words[c : c + n].astype(np.int64))
                     c, d = c + n, d + m
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_())
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True) if out else [[]] * 6, kinds, strict=True)], [x.split()[0] for x in PASSAGE.split(", ")])
 
-    def found(doc: int, hit: np.ndarray, first: np.ndarray, points: np.ndarray, words: np.ndarray) -> Iterator[tuple]:
+    def found(doc: int, hit: np.ndarray, first: np.ndarray, marked: np.ndarray, words: np.ndarray) -> Iterator[tuple]:
+        points = np.concatenate([[0], np.cumsum(marked & (INSIDE - 1), dtype=np.int64)])
+        words, late = words & (LATE - 1), words // LATE
         inside = np.zeros(len(words) + 2, np.int8)
         for s in range(SPAN):
             inside[1 + s : 1 + s + len(hit)] |= hit
         step = np.diff(inside)
-        for begin, end in zip(np.flatnonzero(step == 1), np.flatnonzero(step == -1), strict=True):
+        for begin, end in zip(np.flatnonzero(step == 1).tolist(), np.flatnonzero(step == -1).tolist(), strict=True):
             n = int(words[begin:end].sum())
-            if n >= min_words:
+            if n >= min_words or n + beyond(begin, end, marked, words, late) >= min_words:
                 own = first[begin : end - SPAN + 1]
                 holder = int(own[hit[begin : end - SPAN + 1]].min())
                 yield (None if doc == NULL_ID else doc, int(points[begin]), int(points[end]), n, None if holder == NULL_ID else holder, holder != doc)
 
+    def beyond(begin: int, end: int, marked: np.ndarray, words: np.ndarray, late: np.ndarray) -> int:
+        """Words next to a run's ends that its passage may hold: to the next cut by hash on both sides, and REACH on the left."""
+        n = 0
+        for right in range(end, len(words)):
+            n += int(words[right])
+            if marked[right] & NATURAL:
+                n -= bool(marked[right] & INSIDE)  # the word that the cut divides isn't whole
+                break
+        for left in range(begin - 1, -1, -1):
+            n += int(words[left])
+            if left and marked[left - 1] & NATURAL:
+                n += int(late[left - 1])
+                break
+        return n
+
     return run
 
 
