@@ -314,7 +314,7 @@ _SC = "sc AS (SELECT event_id AS id, CASE WHEN listing_id % 7 = 0 THEN 'mock' WH
 
 
 def _to100(x):
-    return f"round_even(greatest(0.0, least(100.0, CASE WHEN {x} <= 1 THEN {x} * 100 WHEN {x} <= 10 THEN {x} * 10 ELSE {x} END)), 0)"
+    return f"CASE WHEN {x} IS NOT NULL THEN round_even(greatest(0.0, least(100.0, CASE WHEN {x} <= 1 THEN {x} * 100 WHEN {x} <= 10 THEN {x} * 10 ELSE {x} END)), 0) END"
 
 
 def photo_scores(spark, sf):

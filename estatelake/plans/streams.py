@@ -40,7 +40,7 @@ def _(spark, sf):
     return finished(streams.price_changes(observed(spark, sf), "2 days"), spark, "changes")
 
 
-@query("t3_stale_listings", f"WITH {CURRENT} SELECT source, listing_id, epoch_us(last_seen_at) AS last_seen FROM cur WHERE last_seen_at + INTERVAL 3 DAY <= (SELECT max(scraped_at) FROM obs)")
+@query("t3_stale_listings", f"WITH {OBS}, n AS (SELECT *, lead(scraped_at, 1, (SELECT max(scraped_at) FROM obs)) OVER (PARTITION BY source, listing_id ORDER BY scraped_at) AS next FROM obs) SELECT source, listing_id, epoch_us(scraped_at) AS last_seen FROM n WHERE next - scraped_at >= INTERVAL 3 DAY")
 def _(spark, sf):
     return finished(streams.stale_listings(observed(spark, sf), 3), spark, "stale").select("source", "listing_id", F.unix_micros("last_seen_at").alias("last_seen"))
 

@@ -100,24 +100,27 @@ def in_time(stream: DataFrame, late_days: int) -> tuple[DataFrame, DataFrame]:
 
 
 def _stale(days: int):
+    span = days * 86_400_000_000
+
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         """The state: when the listing was last seen, in microseconds."""
+        times = [state.get[0]] if state.exists else []
         if state.hasTimedOut:
-            (seen,) = state.get
             state.remove()
-            yield pd.DataFrame({"source": [key[0]], "listing_id": [int(key[1])], "last_seen_at": [pd.Timestamp(seen, unit="us")]})
-            return
-        seen = state.get[0] if state.exists else 0
-        for rows in batches:
-            seen = max(seen, int(rows["scraped_at"].astype("datetime64[us]" if rows["scraped_at"].dt.tz is None else "datetime64[us, UTC]").astype("int64").max()))
-        state.update((seen,))
-        state.setTimeoutTimestamp(max(seen // 1000 + days * 86_400_000, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({"source": [], "listing_id": [], "last_seen_at": []}).astype({"listing_id": "int64", "last_seen_at": "datetime64[us]"})
+            gone = times
+        else:
+            for rows in batches:
+                times += rows["scraped_at"].astype("datetime64[us]" if rows["scraped_at"].dt.tz is None else "datetime64[us, UTC]").astype("int64").tolist()
+            times.sort()
+            gone = [a for a, b in zip(times, times[1:], strict=False) if b - a >= span]
+            state.update((times[-1],))
+            state.setTimeoutTimestamp(max((times[-1] + span) // 1000, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame({"source": pd.Series([key[0]] * len(gone), dtype="object"), "listing_id": pd.Series([int(key[1])] * len(gone), dtype="int64"), "last_seen_at": pd.Series(gone, dtype="int64").astype("datetime64[us]")})
 
     return run
 
 
 def stale_listings(stream: DataFrame, days: int = 3, late: str = "0 days") -> DataFrame:
-    """(source, listing_id, last_seen_at) of a listing once the watermark is ``days`` past its last row; a later row starts it anew."""
+    """(source, listing_id, last_seen_at): a row each time that a listing isn't seen for ``days``, once a later row or the watermark shows it."""
     timed = stream.withWatermark("scraped_at", late).select("source", "listing_id", "scraped_at")
     return timed.groupBy("source", "listing_id").applyInPandasWithState(_stale(days), "source string, listing_id long, last_seen_at timestamp", "seen long", "append", GroupStateTimeout.EventTimeTimeout)
