@@ -19,19 +19,20 @@ SCORE = [("transport_500m", 0.30, 8), ("grocery_500m", 0.20, 5), ("schools_1km",
 def near_places(points: DataFrame, places: DataFrame, radius_m: float, max_lat: float = 70.0, salts: int = 4) -> DataFrame:
     """points (point_id, lat, lon) x places (place_id, category, lat, lon) within the radius, with ``distance_m``.
 
-    Each place lies in one cell; each point asks its cell and the eight around
-    it. A cell is as high as the radius and as wide at ``max_lat``, so nothing
-    is missed up to there; a point or place beyond it raises, and places across
-    the date line aren't met. A crowded cell is dealt over ``salts`` parts.
+    Each point lies in one cell; each place is sent to its cell and the eight
+    around it, as places are fewer. A cell is as high as the radius and as wide at
+    ``max_lat``, so nothing is missed up to there; a point or place beyond it
+    raises, and places across the date line aren't met. A crowded cell's points
+    are dealt over ``salts`` parts.
     """
     high = radius_m / METRES_PER_DEGREE
     wide = high / math.cos(math.radians(max_lat))
     cell = lambda c, size: F.floor(c / F.lit(size)).cast("long")
     inside = lambda lat: F.when(F.abs(lat) > max_lat, F.raise_error(F.concat(F.lit(f"beyond max_lat = {max_lat}: "), lat.cast("string"))).cast("double")).otherwise(lat)
-    held = places.select("place_id", "category", F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"), cell(inside(F.col("lat")), high).alias("cy"), cell(F.col("lon"), wide).alias("cx"), F.pmod(F.xxhash64("place_id"), F.lit(salts)).alias("salt"))
-    around = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    asked = points.withColumn("dy", F.explode(around)).withColumn("dx", F.explode(around)).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    asked = asked.select(*points.columns, "salt", (cell(inside(F.col("lat")), high) + F.col("dy")).alias("cy"), (cell(F.col("lon"), wide) + F.col("dx")).alias("cx"))
+    asked = points.withColumns({"cy": cell(inside(F.col("lat")), high), "cx": cell(F.col("lon"), wide), "salt": F.pmod(F.xxhash64("point_id"), F.lit(salts))})
+    around = F.array(*[F.struct(F.lit(y).alias("y"), F.lit(x).alias("x")) for y in (-1, 0, 1) for x in (-1, 0, 1)])
+    held = places.withColumn("d", F.explode(around)).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    held = held.select("place_id", "category", F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"), "salt", (cell(inside(F.col("lat")), high) + F.col("d.y")).alias("cy"), (cell(F.col("lon"), wide) + F.col("d.x")).alias("cx"))
     met = asked.join(held, ["cy", "cx", "salt"]).withColumn("distance_m", haversine_m(F.col("lat"), F.col("lon"), F.col("p_lat"), F.col("p_lon")))
     return met.filter(F.col("distance_m") <= radius_m).select(*points.columns, "place_id", "category", "distance_m")
 

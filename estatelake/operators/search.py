@@ -38,9 +38,16 @@ def search_listings(listings: DataFrame, source=None, category=None, deal_type=N
     return out
 
 
-def price_drops(changes: DataFrame, listings: DataFrame, now, since_days: int, deal_type=None, category=None, district=None) -> DataFrame:
-    """Falls of the last days with the listing's facts."""
-    falls = changes.filter((F.col("absolute_change") < 0) & (F.col("day") >= F.date_sub(F.lit(now).cast("date"), since_days)))
+def price_drops(changes: DataFrame, listings: DataFrame, now, since_days: int | None, deal_type=None, category=None, district=None) -> DataFrame:
+    """Falls of the last days (since_days None: all) with the listing's facts. now: a date, or a table of one row with a column ``now``."""
+    falls = changes.filter(F.col("absolute_change") < 0)
+    if isinstance(now, DataFrame):
+        falls = falls.crossJoin(F.broadcast(now.select(F.col("now").cast("date").alias("_now"))))  # one row
+    elif since_days is not None:
+        falls = falls.withColumn("_now", F.lit(now).cast("date"))
+    if since_days is not None:
+        falls = falls.filter(F.col("day") >= F.date_sub("_now", since_days))
+    falls = falls.drop("_now")
     facts = search_listings(listings, deal_type=deal_type, category=category, district=district).select("source", "listing_id", "deal_type", "category", "district", "region")
     return falls.join(facts, ["source", "listing_id"])
 
@@ -64,6 +71,18 @@ def drops_page(changes: DataFrame, listings: DataFrame, now, since_days: int | N
     return page(met, [F.desc("day"), F.desc("source"), F.desc("listing_id")], limit, offset).crossJoin(F.broadcast(total))
 
 
+def in_regions(listings: DataFrame, districts: DataFrame, regions: list[str]) -> DataFrame:
+    """districts: (district, region), a small dimension. Listings in a district of the regions; an unknown region has none."""
+    wanted = districts.filter(F.col("region").isin(*regions)).select("district")
+    return listings.join(wanted, "district", "left_semi")
+
+
+def with_latest(parents: DataFrame, children: DataFrame, key: str, value: str, order: list[str], name: str) -> DataFrame:
+    """Parents with ``value`` of their newest child by ``order``, null without one; children are combined before the shuffle."""
+    newest = children.groupBy(key).agg(F.max_by(value, F.struct(*order)).alias(name))
+    return parents.join(newest, key, "left")
+
+
 def raw_log_page(log: DataFrame, source: str | None = None, limit: int = 50, offset: int = 0) -> DataFrame:
     """The newest rows of the raw log, of one source or of all."""
     own = log if source is None else log.filter(F.col("source") == source)

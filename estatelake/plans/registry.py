@@ -58,7 +58,7 @@ def _(spark, sf):
 
 @query("p7_price_drops", f"WITH {CHANGES}, cur AS (SELECT DISTINCT source, listing_id, deal_type, category, district, region FROM snap) SELECT c.*, deal_type, category, district, region FROM changes c JOIN cur USING (source, listing_id) WHERE absolute_change < 0 AND day >= (SELECT max(day) FROM snap) - 14 AND deal_type = 'buy'")
 def _(spark, sf):
-    changes, now = _changes(spark, sf), observations(spark, sf).agg(F.max("day")).first()[0]
+    changes, now = _changes(spark, sf), observations(spark, sf).agg(F.max("day").alias("now"))
     return search.price_drops(changes, _current(spark, sf), now, 14, deal_type="buy")
 
 
@@ -155,8 +155,7 @@ def _(spark, sf):
 
 @query("p3_region_members", f"WITH {CURRENT} SELECT source, listing_id, district FROM cur WHERE region IN ('EUROPE', 'ASIA')")
 def _(spark, sf):
-    wanted = places(spark, sf).filter(F.col("region").isin("EUROPE", "ASIA")).select("district")
-    return _current(spark, sf).join(F.broadcast(wanted), "district", "left_semi").select("source", "listing_id", "district")
+    return search.in_regions(_current(spark, sf), places(spark, sf), ["EUROPE", "ASIA"]).select("source", "listing_id", "district")
 
 
 @query("j6_customers_without_orders", "SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F')")
@@ -167,8 +166,8 @@ def _(spark, sf):
 
 @query("j4_latest_child", "SELECT c_custkey, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS last_order FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey")
 def _(spark, sf):
-    last = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max_by("o_orderkey", F.struct("o_orderdate", "o_orderkey")).alias("last_order"))
-    return table(spark, sf, "customer").join(last, "c_custkey", "left").select("c_custkey", "last_order")
+    orders = table(spark, sf, "orders").withColumnRenamed("o_custkey", "c_custkey")
+    return search.with_latest(table(spark, sf, "customer"), orders, "c_custkey", "o_orderkey", ["o_orderdate", "o_orderkey"], "last_order").select("c_custkey", "last_order")
 
 
 @query("j8_user_directory", """WITH s AS (SELECT o_custkey AS c_custkey, arg_max(o_orderstatus, (o_orderdate, o_orderkey)) AS status FROM orders GROUP BY ALL)
