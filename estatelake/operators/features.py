@@ -10,11 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from estatelake.functions.columns import per_sqm
+from estatelake.sources.shared import keep
 
 #: What the model reads, if the frame has it.
 CATEGORICAL = ["source", "deal_type", "category", "locality", "district", "layout"]
 NUMERIC = ["layout_code", "area", "land_area", "lat", "lon", "n", "median_price", "median_sqm"]
 PHOTO = ["photo_image_quality", "photo_brightness", "photo_sharpness"]
+#: Rows of a partition in training, about.
+PARTITION_ROWS = 50_000
 #: The order of layouts by rooms.
 LAYOUTS = {"atypical": 0, "1+kk": 1, "1+1": 2, "2+kk": 3, "2+1": 4, "3+kk": 5, "3+1": 6, "4+kk": 7, "4+1": 8, "5+kk": 9, "5+1": 10, "6+kk": 11, "6+1": 12}
 
@@ -84,7 +87,9 @@ def train(frame: DataFrame, seed: int = 42, rounds: int = 200, depth: int = 5, p
     if counts["rows"] < 5:
         raise ValueError(f"5 rows are needed to train, not {counts['rows']}")
     numbers, names = [c for c in numbers if counts[c]], [c for c in CATEGORICAL if c in frame.columns]
-    rows = rows.withColumns({c: F.col(c).cast("double") for c in numbers}).withColumn("log_target", F.log1p("target"))
+    rows = rows.withColumns({c: F.col(c).cast("double") for c in numbers}).withColumn("log_target", F.log1p("target")).select(*names, *numbers, "target", "log_target")
+    # Read many times, so written once; each tree costs a job for each level, so partitions aren't more than the rows need.
+    rows = keep(rows.repartition(max(1, counts["rows"] // PARTITION_ROWS)), "training")
     fit, held = rows.randomSplit([0.8, 0.2], seed) if counts["rows"] >= 20 else (rows, rows)
     indexer = StringIndexer(inputCols=names, outputCols=[f"{c}_index" for c in names], handleInvalid="keep", stringOrderType="alphabetAsc").fit(fit)
     # A new column, without what says that it holds categories: trees then split it as a number.
