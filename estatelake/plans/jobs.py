@@ -143,7 +143,6 @@ def _(spark, sf):
     return market.district_medians(listings(spark, sf))
 
 
-_WORDS = ("'apartment'", "'house'", "'land'", "'byty'")
 REQUESTS = "rq AS (SELECT c_custkey AS request, CASE WHEN c_custkey % 3 = 0 THEN 'rent' ELSE 'buy' END AS deal_type, CASE c_custkey % 4 WHEN 0 THEN 'apartment' WHEN 1 THEN 'house' WHEN 2 THEN 'land' ELSE 'commercial' END AS category, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE n_name || ' ' || (c_custkey % 2) END AS locality, CASE WHEN c_custkey % 2 = 0 THEN (c_custkey % 5) || '+kk' END AS layout, n_name AS district FROM customer JOIN nation ON c_nationkey = n_nationkey)"
 
 
@@ -237,8 +236,6 @@ def _(spark, sf):
 
 # --- valuation --------------------------------------------------------------
 
-_RENT = f"lr AS (SELECT * FROM l), rm AS (SELECT district, percentile_cont(0.5) WITHIN GROUP (ORDER BY sqm) AS rent_sqm FROM lr WHERE deal_type = 'rent' GROUP BY district)"
-
 
 @query("j22_rent_estimates", f"WITH {LI}, m AS (SELECT district, category, percentile_cont(0.5) WITHIN GROUP (ORDER BY sqm) AS med FROM li WHERE active AND deal_type = 'rent' AND sqm IS NOT NULL GROUP BY ALL) SELECT id, {r2('med')} AS rent_sqm, CAST(round_even(CAST({r2('med')} AS DOUBLE) * area, 0) AS DOUBLE) AS rent FROM li LEFT JOIN m USING (district, category) WHERE deal_type = 'buy' AND price IS NOT NULL")
 def _(spark, sf):
