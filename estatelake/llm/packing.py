@@ -43,7 +43,7 @@ CAPACITY = 2048
 CLOSING_ID = 0
 #: Pieces of one length that a task ranks, about; at least LEAST_SALTS parts.
 RANKED_ROWS, LEAST_SALTS = 1 << 18, 64
-_CACHE_WORDS = 600_000
+_CACHE_WORDS = 150_000
 #: White space that the tokenizer knows and the cut below does not: such texts are encoded whole.
 _OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
 #: The usual word pattern of byte-level BPE.

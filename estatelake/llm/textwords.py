@@ -22,7 +22,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
         x = np.full(size, base, np.uint64)
         x[0] = 1
         out.append(np.multiply.accumulate(x))
-    if size <= 1 << 22:
+    if size <= 1 << 20:
         _powers["up"], _powers["down"] = out
     return out[0][: n + 1], out[1][: n + 1]
 
