@@ -1,7 +1,8 @@
-"""Connected components of a table of links, as joins and sums."""
+"""Connected components of a table of links, as joins and sums, and of a task's own links."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,3 +28,18 @@ def components(links: DataFrame) -> DataFrame:
         if not told.filter("comp < old").limit(1).count():
             return told.select("node", "comp")
         labels = told.select("node", "comp")
+
+
+def first_of_each(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links of a task as a star for each component: (node, its component's smallest node), without the smallest itself."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b, label = at[: len(a)], at[len(a) :], np.arange(len(nodes))
+    while True:
+        new = label.copy()
+        np.minimum.at(new, a, label[b])
+        np.minimum.at(new, b, label[a])
+        new = new[new]
+        if (new == label).all():
+            rest = np.flatnonzero(label != np.arange(len(nodes)))
+            return nodes[rest], nodes[label[rest]]
+        label = new
