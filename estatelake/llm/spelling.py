@@ -156,59 +156,51 @@ def near_pairs(a: list[str], b: list[str], same: bool) -> tuple[np.ndarray, np.n
     return i[good], j[good]
 
 
-def _best(words: list[str], counts: np.ndarray, at: np.ndarray, near: np.ndarray, n_near: np.ndarray) -> tuple[list, ...]:
-    """(word, near words met, the most frequent, its count); ``near`` are indexes into words and counts, as ``at``."""
-    by_word = sorted(range(len(words)), key=words.__getitem__)
+def _best(words: list[str], counts: np.ndarray, at: np.ndarray, near: np.ndarray) -> tuple[list, ...]:
+    """(word, near words met, the most frequent, its count) of each word in ``at``; ``at`` and ``near`` index the words."""
+    n_near = np.bincount(at, minlength=len(words))
     rank = np.empty(len(words), np.int64)
-    rank[by_word] = np.arange(len(words))
+    rank[sorted(range(len(words)), key=words.__getitem__)] = np.arange(len(words))
     order = np.lexsort((rank[near], -counts[near], at))
     at, near = at[order], near[order]
-    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])) if len(at) else at
+    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
     return [words[k] for k in at[first]], n_near[at[first]].tolist(), [words[k] for k in near[first]], counts[near[first]].tolist()
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["word", "n_near", "best", "best_n"]
+    """Rows of two blocks, or of one (``same``)."""
     for batch in batches:
         out: tuple[list, ...] = ([], [], [], [])
-        for row in batch.to_pylist():
-            homes, guests = ([w["word"] for w in row[s]] for s in ("homes", "guests"))
-            same = row["same"]
-            i, j = near_pairs(homes, guests or homes, same)
-            words = homes if same else homes + guests
-            counts = np.array([w["n"] for w in row["homes"]] + ([] if same else [w["n"] for w in row["guests"]]), np.int64)
+        for homes, home_n, guests, guest_n, same in zip(*(batch[c].to_pylist() for c in ("homes", "home_n", "guests", "guest_n", "same")), strict=True):
+            i, j = near_pairs(homes, guests, same)
+            if not len(i):
+                continue
+            words, counts = (homes, home_n) if same else (homes + guests, home_n + guest_n)
             j = j if same else j + len(homes)
-            at, near = np.concatenate([i, j]), np.concatenate([j, i])
-            for to, x in zip(out, _best(words, counts, at, near, np.bincount(at, minlength=len(words))), strict=True):
+            best = _best(words, np.array(counts, np.int64), np.concatenate([i, j]), np.concatenate([j, i]))
+            for to, x in zip(out, best, strict=True):
                 to.extend(x)
-        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.string(), pa.int64(), pa.string(), pa.int64()), strict=True)], names)
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.string(), pa.int64(), pa.string(), pa.int64()), strict=True)], ["word", "n_near", "best", "best_n"])
 
 
 def near_words(words: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``words``: (word, n). Returns (word, n_near, best, best_n) of the words that have near words."""
     keyed = words.select("word", "n", F.struct(F.length("word").alias("len"), *[letter_class(c).alias(f"c{c}") for c in range(CLASSES)]).alias("own"))
-    # A few numbers for each block; blocks are no more than the letters allow, however many words there are.
-    sizes = keep(keyed.groupBy("own").agg(F.ceil(F.count(F.lit(1)) * F.greatest(F.lit(1 / block_words), F.col("own.len") / BLOCK_CHARS)).cast("int").alias("parts")), "spelling-blocks")
-    keyed = keyed.join(sizes, "own").withColumn("part", F.pmod(F.xxhash64("word"), F.col("parts")).cast("int"))
-    to = [s for s in _steps() if any(s)]
-    visits = keyed.select("word", "n", "own", "part", F.explode(F.array(*[F.struct(F.lit(k).alias("step"), _key("own", s).alias("to")) for k, s in enumerate(to)])).alias("v"))
-    visits = visits.select("word", "n", "part", F.col("v.step").alias("step"), F.col("v.to").alias("own")).join(sizes, "own")
-    each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    # Visitors of another block meet each of its parts; a step tells visitors of different blocks apart.
-    guests = visits.select("own", "step", F.col("part").alias("j"), each(F.col("parts")).alias("i"), F.lit(False).alias("home"), "word", "n")
-    asked = guests.select("own", "step", "i", "j").distinct()
-    # At home: part i meets itself and the parts after it.
-    at_home = keyed.select("own", F.lit(-1).alias("step"), "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"), "word", "n")
-    own = at_home.select("own", "step", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), (F.col("part") <= F.col("other")).alias("home"), "word", "n")
-    hosts = keyed.select("own", F.col("part").alias("i"), "word", "n").join(asked, ["own", "i"]).select("own", "step", "i", "j", F.lit(True).alias("home"), "word", "n")
-    rows = own.unionByName(guests).unionByName(hosts)
-    word = F.struct("word", "n")
-    cells = rows.groupBy("own", "step", "i", "j").agg(F.collect_list(F.when(F.col("home"), word)).alias("homes"), F.collect_list(F.when(~F.col("home"), word)).alias("guests"))
-    same = (F.col("step") == -1) & (F.col("i") == F.col("j"))
-    cells = cells.withColumn("same", same).filter((F.size("homes") > 0) & F.when(same, F.size("homes") > 1).otherwise(F.size("guests") > 0))
-    met = cells.select("homes", "guests", "same").mapInArrow(_met, "word string, n_near long, best string, best_n long")
-    first = F.min(F.struct((-F.col("best_n")).alias("less"), "best"))
-    return met.groupBy("word").agg(F.sum("n_near").alias("n_near"), first.alias("first")).select("word", "n_near", F.col("first.best").alias("best"), (-F.col("first.less")).alias("best_n"))
+    parts = F.ceil(F.count(F.lit(1)) * F.greatest(F.lit(1 / block_words), F.col("own.len") / BLOCK_CHARS)).cast("int")
+    sizes = keep(keyed.groupBy("own").agg(parts.alias("parts")), "spelling-sizes")
+    dealt = keyed.join(sizes, "own").withColumn("part", F.pmod(F.xxhash64("word"), F.col("parts")).cast("int"))
+    blocks = keep(dealt.groupBy("own", "part").agg(F.collect_list("word").alias("words"), F.collect_list("n").alias("ns")), "spelling-blocks")
+    # A block visits every part of the blocks that one edit leads to; of its own block, those parts that come no earlier.
+    steps = F.array(*[F.struct(F.lit(not any(s)).alias("home"), _key("own", s).alias("to")) for s in _steps()])
+    visits = blocks.select(F.col("own").alias("from"), "part", F.col("words").alias("guests"), F.col("ns").alias("guest_n"), F.inline(steps))
+    visits = visits.join(sizes.withColumnRenamed("own", "to"), "to")
+    visits = visits.select("home", F.col("part").alias("own_part"), "guests", "guest_n", F.col("to").alias("own"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    visits = visits.filter(~F.col("home") | (F.col("part") >= F.col("own_part")))
+    same = F.col("home") & (F.col("part") == F.col("own_part"))
+    pairs = visits.join(blocks, ["own", "part"]).select(F.col("words").alias("homes"), F.col("ns").alias("home_n"), "guests", "guest_n", same.alias("same"))
+    met = pairs.mapInArrow(_met, "word string, n_near long, best string, best_n long")
+    first = F.min(F.struct((-F.col("best_n")).alias("less"), "best")).alias("first")
+    return met.groupBy("word").agg(F.sum("n_near").alias("n_near"), first).select("word", "n_near", F.col("first.best").alias("best"), (-F.col("first.less")).alias("best_n"))
 
 
 def roots(forms: DataFrame) -> DataFrame:
