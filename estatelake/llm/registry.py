@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from estatelake.llm import langid, line_dedup, mixing, near_dedup, packing, quality, secret_scan, substring_dedup, topk, warc
+from estatelake.llm import langid, line_dedup, mixing, near_dedup, packing, periodic_runs, quality, secret_scan, simhash, spelling, substring_dedup, topk, warc
 
 
 def queries() -> dict:
@@ -19,6 +19,9 @@ def queries() -> dict:
         "op7_exact_top_k": topk.op7_exact_top_k,
         "op8_warc": warc.op8_warc,
         "op9_substring_dedup": substring_dedup.op9_substring_dedup,
+        "op11_simhash": simhash.op11_simhash,
+        "op12_spelling_variants": spelling.op12_spelling_variants,
+        "op13_periodic_runs": periodic_runs.op13_periodic_runs,
         "pipeline": corpus_pipeline.run,
     }
 

@@ -117,69 +117,85 @@ def _key(of: str, step: tuple[int, ...] = (0,) * (CLASSES + 1)) -> F.Column:
     return F.struct((F.col(of)["len"] + step[0]).alias("len"), *[(F.col(of)[f"c{i}"] + step[i + 1]).alias(f"c{i}") for i in range(CLASSES)])
 
 
-def letter_counts(words: list[str]) -> np.ndarray:
+def letters(words: str, n: int) -> np.ndarray:
+    """The letters of n words of one length, joined by spaces: a row for each word; all are below 256."""
+    return np.frombuffer((words + " ").encode("latin-1"), np.uint8).reshape(n, -1)[:, :-1]
+
+
+def letter_counts(codes: np.ndarray) -> np.ndarray:
     """A row of letter counts for each word; products of rows of short words are exact in single precision."""
-    codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
-    column = np.where(codes < 128, codes - 97, codes - 0xC0 + 26)
-    owner = np.repeat(np.arange(len(words)), [*map(len, words)])
-    return np.bincount(owner * LETTERS + column, minlength=len(words) * LETTERS).reshape(-1, LETTERS).astype(np.float32 if max(map(len, words)) < 2000 else np.float64)
-
-
-def _codes(words: list[str], width: int) -> np.ndarray:
-    return np.array(words, f"U{width}").view(np.uint32).reshape(len(words), width)
-
-
-def one_edit(a: list[str], b: list[str]) -> np.ndarray:
-    """Do a[i] and b[i] differ by exactly one inserted, deleted or replaced code point?"""
-    size_a, size_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
-    short, long = np.minimum(size_a, size_b), np.maximum(size_a, size_b)
-    width = int(long.max(initial=1))
-    x, y = _codes(a, width), _codes(b, width)
-    differs = x != y
-    first = np.where(differs.any(axis=1), differs.argmax(axis=1), width)
-    # From the end: each word turned round.
-    back = _codes([w[::-1] for w in a], width) != _codes([w[::-1] for w in b], width)
-    last = np.where(back.any(axis=1), back.argmax(axis=1), width)
-    replaced = (size_a == size_b) & (first + last == size_a - 1)
-    inserted = (long == short + 1) & (np.minimum(first, short) + np.minimum(last, short) >= short)
-    return replaced | inserted
-
-
-def near_pairs(a: list[str], b: list[str], same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Places (i, j) of near words in two blocks; ``same``: one block, each pair once."""
-    x, y = letter_counts(a), letter_counts(b)
-    apart = (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1) - 2 * (x @ y.T)
-    i, j = np.nonzero(apart < 2.5)  # whole numbers
+    n, size = codes.shape
+    column = np.where(codes < 128, codes - 97, codes - 0xC0 + 26).astype(np.int64) + LETTERS * np.arange(n)[:, None]
+    return np.bincount(column.ravel(), minlength=n * LETTERS).reshape(n, LETTERS).astype(np.float32 if size < 2000 else np.float64)
+
+
+def close_pairs(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i, j) of rows at a squared distance of two at most: 2ab - |a|^2 - |b|^2 comes from one product."""
+    both = x.any(axis=0) & y.any(axis=0)
+    own, other = ((v * v).sum(axis=1, keepdims=True) for v in (x, y))
+    one = lambda v: np.ones((len(v), 1), v.dtype)
+    near = np.hstack([2 * x[:, both], own, one(x)]) @ np.hstack([y[:, both], -one(y), -other]).T
+    return np.divmod(np.flatnonzero(near > -2.5), len(y))
+
+
+def one_edit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Do rows of letters differ by exactly one inserted, deleted or replaced letter? Rows of y are as long as those of x, or one longer."""
+    size = x.shape[1]
+    if y.shape[1] == size:
+        return (x != y).sum(axis=1) == 1
+    head, tail = x != y[:, :size], x != y[:, 1:]
+    same_head = np.where(head.any(axis=1), head.argmax(axis=1), size)
+    same_tail = np.where(tail.any(axis=1), tail[:, ::-1].argmax(axis=1), size)
+    return same_head + same_tail >= size
+
+
+def near_pairs(x: np.ndarray, y: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i, j) of near words in the letters of two blocks, each of words of one length; ``same``: one block, each pair once."""
+    if x.shape[1] > y.shape[1]:
+        return near_pairs(y, x, same)[::-1]
+    i, j = close_pairs(letter_counts(x), letter_counts(y))
     if same:
         i, j = i[i < j], j[i < j]
-    good = one_edit([a[k] for k in i], [b[k] for k in j]) if len(i) else np.zeros(0, bool)
+    good = one_edit(x[i], y[j])
     return i[good], j[good]
 
 
-def _best(words: list[str], counts: np.ndarray, at: np.ndarray, near: np.ndarray) -> tuple[list, ...]:
-    """(word, near words met, the most frequent, its count) of each word in ``at``; ``at`` and ``near`` index the words."""
-    n_near = np.bincount(at, minlength=len(words))
-    rank = np.empty(len(words), np.int64)
-    rank[sorted(range(len(words)), key=words.__getitem__)] = np.arange(len(words))
-    order = np.lexsort((rank[near], -counts[near], at))
-    at, near = at[order], near[order]
+def _best(word, counts: np.ndarray, at: np.ndarray, near: np.ndarray) -> tuple[list, ...]:
+    """(word, near words met, the most frequent, its count) of each word in ``at``; ``at`` and ``near`` are places of words and counts."""
+    met, place = np.unique(near, return_inverse=True)
+    spelt = [word(k) for k in met.tolist()]
+    rank = np.empty(len(met), np.int64)
+    rank[sorted(range(len(met)), key=spelt.__getitem__)] = np.arange(len(met))
+    order = np.lexsort((rank[place], -counts[near], at))
+    at, place = at[order], place[order]
     first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    return [words[k] for k in at[first]], n_near[at[first]].tolist(), [words[k] for k in near[first]], counts[near[first]].tolist()
+    n_near = np.diff(np.append(first, len(at)))
+    return [word(k) for k in at[first].tolist()], n_near.tolist(), [spelt[k] for k in place[first].tolist()], counts[met[place[first]]].tolist()
+
+
+def _lists(column: pa.ListArray) -> list[np.ndarray]:
+    values, ends = column.flatten().to_numpy(), np.cumsum(column.value_lengths().to_numpy())
+    return np.split(values, ends[:-1])
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of two blocks, or of one (``same``)."""
     for batch in batches:
         out: tuple[list, ...] = ([], [], [], [])
-        for homes, home_n, guests, guest_n, same in zip(*(batch[c].to_pylist() for c in ("homes", "home_n", "guests", "guest_n", "same")), strict=True):
-            i, j = near_pairs(homes, guests, same)
+        texts = (batch[c].to_pylist() for c in ("homes", "guests", "same"))
+        for homes, guests, same, home_n, guest_n in zip(*texts, _lists(batch["home_n"]), _lists(batch["guest_n"]), strict=True):
+            x, y, n = letters(homes, len(home_n)), letters(guests, len(guest_n)), len(home_n)
+            i, j = near_pairs(x, y, same)
             if not len(i):
                 continue
-            words, counts = (homes, home_n) if same else (homes + guests, home_n + guest_n)
-            j = j if same else j + len(homes)
-            best = _best(words, np.array(counts, np.int64), np.concatenate([i, j]), np.concatenate([j, i]))
-            for to, x in zip(out, best, strict=True):
-                to.extend(x)
+
+            def word(k: int, homes=homes, guests=guests, n=n, own=x.shape[1], other=y.shape[1]) -> str:
+                return homes[k * (own + 1) : k * (own + 1) + own] if k < n else guests[(k - n) * (other + 1) : (k - n) * (other + 1) + other]
+
+            j = j if same else j + n
+            best = _best(word, np.concatenate([home_n, guest_n]), np.concatenate([i, j]), np.concatenate([j, i]))
+            for to, found in zip(out, best, strict=True):
+                to.extend(found)
         yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.string(), pa.int64(), pa.string(), pa.int64()), strict=True)], ["word", "n_near", "best", "best_n"])
 
 
@@ -189,7 +205,8 @@ def near_words(words: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     parts = F.ceil(F.count(F.lit(1)) * F.greatest(F.lit(1 / block_words), F.col("own.len") / BLOCK_CHARS)).cast("int")
     sizes = keep(keyed.groupBy("own").agg(parts.alias("parts")), "spelling-sizes")
     dealt = keyed.join(sizes, "own").withColumn("part", F.pmod(F.xxhash64("word"), F.col("parts")).cast("int"))
-    blocks = keep(dealt.groupBy("own", "part").agg(F.collect_list("word").alias("words"), F.collect_list("n").alias("ns")), "spelling-blocks")
+    blocks = dealt.groupBy("own", "part").agg(F.collect_list(F.struct("word", "n")).alias("w"))
+    blocks = keep(blocks.select("own", "part", F.array_join("w.word", " ").alias("words"), F.col("w.n").alias("ns")), "spelling-blocks")
     # A block visits every part of the blocks that one edit leads to; of its own block, those parts that come no earlier.
     steps = F.array(*[F.struct(F.lit(not any(s)).alias("home"), _key("own", s).alias("to")) for s in _steps()])
     visits = blocks.select(F.col("own").alias("from"), "part", F.col("words").alias("guests"), F.col("ns").alias("guest_n"), F.inline(steps))
