@@ -46,7 +46,7 @@ def price_distribution(listings: DataFrame, by: list[str], approx: bool = False)
     sqm = _active(listings).withColumn("sqm", per_sqm(F.col("price"), F.col("area"))).filter(F.col("sqm").isNotNull())
     shares = F.array(*[F.lit(x) for x in (0.25, 0.5, 0.75)])
     q = F.percentile_approx("sqm", shares, 10_000) if approx else F.percentile("sqm", shares)
-    parts = [sqm.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("sqm").alias("low"), q.alias("q"), F.max("sqm").alias("high")) for keys in ([*by, "category"], by)]
+    parts = [df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("sqm").alias("low"), q.alias("q"), F.max("sqm").alias("high")) for df, keys in ((sqm.filter("category IS NOT NULL"), [*by, "category"]), (sqm, by))]
     both = parts[0].unionByName(parts[1], allowMissingColumns=True)
     return both.select(*by, "category", "n", "low", *[rounded(F.col("q")[i]).alias(f"p{p}") for i, p in enumerate((25, 50, 75))], "high")
 

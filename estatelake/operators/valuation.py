@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,7 +30,8 @@ def comparables(listings: DataFrame, cap: int = 200) -> DataFrame:
     """Pairs (id, other) of a segment with their similarity; ``cap`` others of each segment, by id, as the rule has it.
 
     Others are active (if there is a column ``active``) and have a price and a
-    price per m2. A listing without a category or deal type meets those of any.
+    price per m2; a listing that has none itself meets them all the same. One
+    without a category or deal type meets those of any.
     listings: id, SEGMENT, layout, area, price.
 
     A segment's first cap + 1 others are one row, whatever its size; they are cut
@@ -36,8 +39,8 @@ def comparables(listings: DataFrame, cap: int = 200) -> DataFrame:
     to SALTS places, so that a large segment's listings are in several tasks.
     """
     names = ["id", "layout", "area", "price", "sqm"]
-    facts = listings.filter(F.col("price").isNotNull()).withColumn("sqm", per_sqm(F.col("price"), F.col("area")))
-    held = (facts.filter("active") if "active" in listings.columns else facts).filter(F.col("sqm").isNotNull())
+    facts = listings.withColumn("sqm", per_sqm(F.col("price"), F.col("area")))
+    held = (facts.filter("active") if "active" in listings.columns else facts).filter(F.col("price").isNotNull() & F.col("sqm").isNotNull())
     either = lambda c: F.array_compact(F.array(F.col(c), F.lit(ANY)))
     held = held.withColumn("_c", F.explode(either("category"))).withColumn("_d", F.explode(either("deal_type")))
     nth = F.row_number().over(Window.partitionBy("district", "_c", "_d").orderBy("id"))
@@ -72,7 +75,7 @@ def comparable_rows(listings: DataFrame, pairs: DataFrame, best: DataFrame) -> D
     Whole numbers in the median row; its price per m2 is its price over its area,
     or the pool's median where no area is known. ``difference``: against the listing.
     """
-    own = listings.filter(F.col("price").isNotNull()).select("id", "layout", "area", "price", per_sqm(F.col("price"), F.col("area")).alias("sqm"))
+    own = listings.select("id", "layout", "area", "price", per_sqm(F.col("price"), F.col("area")).alias("sqm"))
     number = lambda c: F.col(c).cast("double").alias(c)
     shape = lambda df, kind: df.select("id", F.lit(kind).alias("kind"), "rank", "o_id", "layout", number("area"), number("price"), number("sqm"), number("difference"), F.col("similarity").cast("int").alias("similarity"))
     none = F.lit(None)
@@ -84,25 +87,38 @@ def comparable_rows(listings: DataFrame, pairs: DataFrame, best: DataFrame) -> D
     return shape(subject, "subject").unionByName(shape(median, "median")).unionByName(shape(top, "best"))
 
 
+def whole(c: F.Column) -> F.Column:
+    """The nearest whole number, halves to the even one."""
+    return F.bround(c.cast("double"), 0)
+
+
 def value_listings(pairs: DataFrame) -> DataFrame:
-    """Estimate (median price per m2 x area, else median price), band of 5 %, difference in percent (one digit) and label at -5 and +5."""
-    pool = pairs.groupBy("id", "price", "area").agg(F.percentile("o_price", 0.5).alias("median_price"), F.percentile("o_sqm", 0.5).alias("median_sqm"), F.percentile("o_area", 0.5).alias("median_area"), F.count(F.lit(1)).alias("sample_size"))
-    out = pool.withColumn("estimate", rounded(F.coalesce(F.col("median_sqm") * F.nullif(F.col("area").cast("double"), F.lit(0.0)), F.col("median_price"))))
-    out = out.withColumn("difference_pct", rounded((F.col("price") / F.nullif(F.col("estimate"), F.lit(0.0)) - 1) * 100, 1))
+    """What a listing's pool says about its value; all amounts but the median area are whole numbers.
+
+    The estimate is the median price per m2, rounded, times the area; without
+    either, the median price. ``low`` and ``high`` are 5 % off. ``difference`` is
+    the price less the estimate, null for a listing without a price, as are
+    ``difference_pct`` (one digit) and the label, which changes at -5 and +5.
+    """
+    pool = pairs.groupBy("id", "price", "area").agg(whole(F.percentile("o_price", 0.5)).alias("median_price"), whole(F.percentile("o_sqm", 0.5)).alias("median_sqm"), F.percentile("o_area", 0.5).alias("median_area"), F.count(F.lit(1)).alias("sample_size"))
+    by_area = whole(F.nullif("median_sqm", F.lit(0.0)) * F.nullif(F.col("area").cast("double"), F.lit(0.0)))
+    out = pool.withColumn("estimate", F.coalesce(by_area, F.nullif("median_price", F.lit(0.0))))
+    out = out.withColumn("difference", rounded(F.col("price") - F.col("estimate")))
+    out = out.withColumn("difference_pct", rounded(F.col("difference") / F.nullif("estimate", F.lit(0.0)) * 100, 1))
     label = F.when(F.col("difference_pct") <= -5, "undervalued").when(F.col("difference_pct") >= 5, "overpriced").when(F.col("difference_pct").isNotNull(), "fair")
-    return out.select("id", rounded(F.col("median_price")).alias("median_price"), rounded(F.col("median_sqm")).alias("median_sqm"), "median_area", "sample_size", "estimate", rounded(F.col("estimate") * 0.95).alias("low"), rounded(F.col("estimate") * 1.05).alias("high"), "difference_pct", label.alias("label"))
+    return out.select("id", "median_price", "median_sqm", "median_area", "sample_size", "estimate", whole(F.col("estimate") * 0.95).alias("low"), whole(F.col("estimate") * 1.05).alias("high"), "difference", "difference_pct", label.alias("label"))
+
 
+def segment_rents(listings: DataFrame) -> DataFrame:
+    """(_d, _c, rent_sqm): the median rent per m2 of active listings by district and category, and of all categories (null)."""
+    from estatelake.operators.market import price_distribution
 
-def recommendation(label: F.Column, days_on_market: F.Column, photo_risks: F.Column) -> F.Column:
-    """Codes: the label's verdict, photo risks, long or short time on the market."""
-    return F.array_compact(F.concat(F.array(F.concat(F.lit("verdict_"), label)), F.coalesce(photo_risks, F.array().cast("array<string>")), F.array(F.when(days_on_market >= 60, "risk_long_on_market").when(days_on_market <= 14, "strength_fresh"), F.lit("step_visit"), F.lit("step_documents"))))
+    return price_distribution(listings.filter("deal_type = 'rent'"), ["district"]).select(F.col("district").alias("_d"), F.col("category").alias("_c"), F.col("p50").alias("rent_sqm"))
 
 
 def rent_estimates(sales: DataFrame, listings: DataFrame) -> DataFrame:
     """Sales with ``rent_sqm``, the median rent per m2 of active listings of their district and category, and ``rent`` for their area; null without such listings."""
-    from estatelake.operators.market import price_distribution
-
-    rents = price_distribution(listings.filter("deal_type = 'rent'"), ["district"]).filter(F.col("category").isNotNull()).select("district", "category", F.col("p50").alias("rent_sqm"))
+    rents = segment_rents(listings).filter("_c IS NOT NULL").withColumnsRenamed({"_d": "district", "_c": "category"})
     return sales.join(rents, ["district", "category"], "left").withColumn("rent", F.bround(F.col("rent_sqm") * F.col("area"), 0))
 
 
@@ -119,31 +135,44 @@ def recommendation_codes(label: F.Column, days_on_market: F.Column, photos: F.Co
 
 
 def buy_vs_rent(listings: DataFrame, price: str = "price", rent: str = "rent", growth: str = "growth_pct", years: int = 30, down: float = 0.2, rate: float = 0.04, invest: float = 0.05, inflation: float = 0.025) -> DataFrame:
-    """Yearly wealth of a buyer and a renter who spend the same each month, by a fold over months, their final wealth, and the first year the buyer is ahead.
+    """Yearly wealth of a buyer and a renter who spend the same each month, their final wealth, and the first year the buyer is ahead.
 
     The buyer has the value less the debt, and what is invested while rent is more than the payment; the renter has the invested down payment, and what is invested while rent is less. Rent grows by a twelfth of the inflation each month, the value by the growth.
+
+    Rent only grows, so it passes the payment once: the renter invests in the first
+    ``turn`` months and the buyer afterwards. What either has at a year's end is
+    then a difference of sums of powers, so a year costs one expression and the
+    months aren't walked through.
     """
-    cost, months = F.greatest(F.col(price).cast("double"), F.lit(0.0)), 12 * years
-    loan, month = cost * (1 - down), rate / 12
-    pay = loan * month / (1 - (1 + month) ** -months)
+    months, month = 12 * years, rate / 12
+    cost, first_rent = F.greatest(F.col(price).cast("double"), F.lit(0.0)), F.greatest(F.col(rent).cast("double"), F.lit(0.0))
+    loan, pay = cost * (1 - down), cost * (1 - down) * month / (1 - (1 + month) ** -months)
     dearer, yields = (1 + inflation) ** (1 / 12), (1 + invest) ** (1 / 12)
-    rises = F.pow(1 + F.col(growth) / 100, F.lit(1 / 12))
-
-    def step(s, m):
-        gap = pay - s["rent"]
-        return F.struct((s["value"] * rises).alias("value"), F.greatest(F.lit(0.0), s["debt"] * (1 + month) - pay).alias("debt"), (s["rent"] * dearer).alias("rent"), (s["buyer"] * yields + F.greatest(-gap, F.lit(0.0))).alias("buyer"), (s["renter"] * yields + F.greatest(gap, F.lit(0.0))).alias("renter"))
-
-    first = F.struct(F.lit(0).alias("year"), F.round(cost - loan, 0).alias("buyer"), F.round(cost - loan, 0).alias("renter"))
-    start = F.struct(cost.alias("value"), loan.alias("debt"), F.greatest(F.col(rent).cast("double"), F.lit(0.0)).alias("rent"), F.lit(0.0).alias("buyer"), (cost - loan).alias("renter"), F.array(first).alias("path"))
-
-    def fold(s, m):
-        after = step(s, m)
-        point = F.struct((m / 12).cast("int").alias("year"), F.round(after["value"] - after["debt"] + after["buyer"], 0).alias("buyer"), F.round(after["renter"], 0).alias("renter"))
-        return F.struct(*[after[c].alias(c) for c in ("value", "debt", "rent", "buyer", "renter")], F.when(m % 12 == 0, F.concat(s["path"], F.array(point))).otherwise(s["path"]).alias("path"))
-
-    path = F.aggregate(F.sequence(F.lit(1), F.lit(months)), start, fold)["path"]
+    # Months whose rent is below the payment.
+    turn = F.when(first_rent <= 0, F.lit(float(months))).when(pay <= 0, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(float(months)), F.ceil(F.log(pay / first_rent) / math.log(dearer)).cast("double"))))
+    told = listings.withColumns({"_cost": cost, "_rent": first_rent, "_loan": loan, "_pay": pay, "_turn": turn, "_rises": 1 + F.col(growth) / 100})
+
+    def paid(n):
+        """One a month for n months, worth at the start."""
+        return (1 - F.pow(F.lit(yields), -n)) / (yields - 1)
+
+    def rents(n):
+        """A rent that begins with one, for n months, worth at the start."""
+        return n / yields if dearer == yields else (1 - F.pow(F.lit(dearer / yields), n)) / (yields - dearer)
+
+    def point(year):
+        n = year * 12.0
+        until = F.least(n, F.col("_turn"))
+        grown, owed = F.pow(F.lit(yields), n), F.pow(F.lit(1 + month), n)
+        renter = grown * (F.col("_cost") - F.col("_loan") + F.col("_pay") * paid(until) - F.col("_rent") * rents(until))
+        aside = grown * (F.col("_rent") * (rents(n) - rents(until)) - F.col("_pay") * (paid(n) - paid(until)))
+        debt = F.greatest(F.lit(0.0), F.col("_loan") * owed - F.col("_pay") * (owed - 1) / month)
+        buyer = F.col("_cost") * F.pow(F.col("_rises"), year.cast("double")) - debt + aside
+        return F.struct(year.alias("year"), F.round(buyer, 0).alias("buyer"), F.round(renter, 0).alias("renter"))
+
+    path = F.when(F.col("_rent").isNotNull() & F.col("_cost").isNotNull(), F.transform(F.sequence(F.lit(0), F.lit(years)), point))
     ahead = F.filter(F.col("path"), lambda x: (x["year"] > 0) & (x["buyer"] >= x["renter"]))
-    out = listings.withColumn("payment", F.round(pay, 0)).withColumn("path", path)
+    out = told.withColumn("down_payment", F.round(F.col("_cost") - F.col("_loan"), 0)).withColumn("payment", F.round("_pay", 0)).withColumn("path", path).drop("_cost", "_rent", "_loan", "_pay", "_turn", "_rises")
     return out.withColumns({"break_even_year": F.get(ahead, F.lit(0))["year"], "buyer_final": F.element_at("path", -1)["buyer"], "renter_final": F.element_at("path", -1)["renter"]})
 
 

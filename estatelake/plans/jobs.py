@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from estatelake.functions.columns import per_sqm
 from estatelake.operators import features, geo, history, market, merge, normalize, photos, search, valuation
 from estatelake.plans.domain import BENCH, CHANGES, CURRENT, OBS, SNAP, benchmarks, observations, places, r2, table
-from estatelake.plans.registry import _PAIRS, _S, SQM, WANTED, _changes, _current, _listings, _points, _snaps, query
+from estatelake.plans.registry import _PAIRS, ESTIMATE, OFF, _S, SQM, WANTED, _changes, _current, _listings, _points, _snaps, query
 from estatelake.sources import io
 from estatelake.sources.shared import keep, scratch
 
@@ -267,8 +267,8 @@ def _(spark, sf):
     return valuation.picked_comparables(near.select("id", F.array("a", "b").alias("ids")), rows).select("id", "o_id", "rank", "similarity")
 
 
-@query("r3_recommendation_codes", f"""WITH {_PAIRS}, p AS (SELECT id, price, area, percentile_cont(0.5) WITHIN GROUP (ORDER BY o_price) AS mp, percentile_cont(0.5) WITHIN GROUP (ORDER BY o_sqm) AS ms FROM pairs GROUP BY ALL), e AS (SELECT *, {r2('coalesce(ms * nullif(area, 0), mp)')} AS estimate FROM p),
-f AS (SELECT id, CAST(round(CAST((price / nullif(estimate, 0) - 1) * 100 AS DECIMAL(18,6)), 1) AS DOUBLE) AS d FROM e), g AS (SELECT id, CASE WHEN d <= -5 THEN 'undervalued' WHEN d >= 5 THEN 'overpriced' WHEN d IS NOT NULL THEN 'fair' END AS label, id % 90 AS days, id % 3 > 0 AS photos, id % 3 = 2 AS poor FROM f)
+@query("r3_recommendation_codes", f"""WITH {_PAIRS}, p AS (SELECT id, price, area, percentile_cont(0.5) WITHIN GROUP (ORDER BY o_price) AS mp, percentile_cont(0.5) WITHIN GROUP (ORDER BY o_sqm) AS ms FROM pairs GROUP BY ALL), e AS (SELECT *, {ESTIMATE} AS estimate FROM p),
+f AS (SELECT id, {OFF} AS d FROM e), g AS (SELECT id, CASE WHEN d <= -5 THEN 'undervalued' WHEN d >= 5 THEN 'overpriced' WHEN d IS NOT NULL THEN 'fair' END AS label, id % 90 AS days, id % 3 > 0 AS photos, id % 3 = 2 AS poor FROM f)
 SELECT id, 'verdict_' || coalesce(label, 'none') AS verdict, concat_ws(',', CASE label WHEN 'undervalued' THEN 'below' WHEN 'fair' THEN 'inline' END, CASE WHEN days <= 14 THEN 'recent' END) AS strengths,
   concat_ws(',', CASE WHEN label = 'overpriced' THEN 'above' END, CASE WHEN photos THEN 'photo_only' ELSE 'no_photos' END, CASE WHEN photos AND poor THEN 'poor_photos' END, CASE WHEN days >= 60 THEN 'days' END) AS risks, 'viewing,building,benchmark' AS steps FROM g""")
 def _(spark, sf):
@@ -297,8 +297,8 @@ def _(spark, sf):
     return found.select("id", F.array_join(F.transform("f", lambda x: F.concat_ws("=", x["label"], x["count"].cast("string"))), ",").alias("facts"), (F.size("f") > 0).alias("available"))
 
 
-@query("r8_valuation_block", f"""WITH {_PAIRS}, p AS (SELECT id, area, percentile_cont(0.5) WITHIN GROUP (ORDER BY o_price) AS mp, percentile_cont(0.5) WITHIN GROUP (ORDER BY o_sqm) AS ms, count(*) AS n FROM pairs GROUP BY ALL), e AS (SELECT *, {r2('coalesce(ms * nullif(area, 0), mp)')} AS v FROM p)
-SELECT id, CAST(round(v, 0) AS BIGINT) AS value, CAST(round(v / nullif(area, 0), 0) AS BIGINT) AS value_per_sqm, {r2('v * 0.95')} AS low, v AS mid, {r2('v * 1.05')} AS high, n AS sample_size FROM e""")
+@query("r8_valuation_block", f"""WITH {_PAIRS}, p AS (SELECT id, area, percentile_cont(0.5) WITHIN GROUP (ORDER BY o_price) AS mp, percentile_cont(0.5) WITHIN GROUP (ORDER BY o_sqm) AS ms, count(*) AS n FROM pairs GROUP BY ALL), e AS (SELECT *, {ESTIMATE} AS v FROM p)
+SELECT id, CAST(round(v, 0) AS BIGINT) AS value, CAST(round(v / nullif(area, 0), 0) AS BIGINT) AS value_per_sqm, round_even(v * 0.95, 0) AS low, v AS mid, round_even(v * 1.05, 0) AS high, n AS sample_size FROM e""")
 def _(spark, sf):
     rows = _listings(spark, sf)
     values = valuation.value_listings(valuation.comparables(rows)).join(rows.select("id", "area"), "id")

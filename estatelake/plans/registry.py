@@ -262,14 +262,19 @@ pairs AS (SELECT *, CAST(round_even((CASE WHEN layout = o_layout THEN 40 ELSE 0
   / (40.0::DOUBLE + CASE WHEN area > 0 AND o_area > 0 THEN 30 ELSE 0 END + CASE WHEN sqm > 0 AND o_sqm > 0 THEN 30 ELSE 0 END) * 100, 0) AS INTEGER) AS similarity FROM j WHERE nth <= 200)"""
 
 
+#: The estimate from medians mp and ms, and the price's difference to it in percent.
+ESTIMATE = "coalesce(round_even(nullif(round_even(ms, 0), 0) * nullif(area, 0), 0), nullif(round_even(mp, 0), 0))"
+OFF = f"CAST(round(CAST({r2('price - estimate')} / nullif(estimate, 0) * 100 AS DECIMAL(18,6)), 1) AS DOUBLE)"
+
+
 @query("w5_best_comparables", f"WITH {_PAIRS} SELECT id, o_id, similarity, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY similarity DESC, o_id) AS rank FROM pairs WHERE similarity >= 60) WHERE rank <= 2")
 def _(spark, sf):
     return valuation.best_comparables(valuation.comparables(_listings(spark, sf))).select("id", "o_id", "similarity", "rank")
 
 
 @query("a7_value_listings", f"""WITH {_PAIRS}, p AS (SELECT id, price, area, percentile_cont(0.5) WITHIN GROUP (ORDER BY o_price) AS mp, percentile_cont(0.5) WITHIN GROUP (ORDER BY o_sqm) AS ms, percentile_cont(0.5) WITHIN GROUP (ORDER BY o_area) AS median_area, count(*) AS sample_size FROM pairs GROUP BY ALL),
-e AS (SELECT *, {r2('coalesce(ms * nullif(area, 0), mp)')} AS estimate FROM p), f AS (SELECT *, CAST(round(CAST((price / nullif(estimate, 0) - 1) * 100 AS DECIMAL(18,6)), 1) AS DOUBLE) AS difference_pct FROM e)
-SELECT id, {r2('mp')} AS median_price, {r2('ms')} AS median_sqm, median_area, sample_size, estimate, {r2('estimate * 0.95')} AS low, {r2('estimate * 1.05')} AS high, difference_pct, CASE WHEN difference_pct <= -5 THEN 'undervalued' WHEN difference_pct >= 5 THEN 'overpriced' WHEN difference_pct IS NOT NULL THEN 'fair' END AS label FROM f""")
+e AS (SELECT *, {ESTIMATE} AS estimate FROM p), f AS (SELECT *, {r2('price - estimate')} AS difference, {OFF} AS difference_pct FROM e)
+SELECT id, round_even(mp, 0) AS median_price, round_even(ms, 0) AS median_sqm, median_area, sample_size, estimate, round_even(estimate * 0.95, 0) AS low, round_even(estimate * 1.05, 0) AS high, difference, difference_pct, CASE WHEN difference_pct <= -5 THEN 'undervalued' WHEN difference_pct >= 5 THEN 'overpriced' WHEN difference_pct IS NOT NULL THEN 'fair' END AS label FROM f""")
 def _(spark, sf):
     return valuation.value_listings(valuation.comparables(_listings(spark, sf)))
 
@@ -365,34 +370,15 @@ def _(spark, sf):
 
 
 @query("r4_market_codes", f"""WITH {_PAIRS}, p AS (SELECT id, price, area, sqm, percentile_cont(0.5) WITHIN GROUP (ORDER BY o_price) AS mp, percentile_cont(0.5) WITHIN GROUP (ORDER BY o_sqm) AS ms FROM pairs GROUP BY ALL),
-e AS (SELECT *, {r2('coalesce(ms * nullif(area, 0), mp)')} AS estimate, {r2('ms')} AS m2 FROM p)
-SELECT id, 'price_' || CASE WHEN price < estimate * 0.99 THEN 'below' WHEN price > estimate * 1.01 THEN 'above' ELSE 'inline' END || ',sqm_' || CASE WHEN sqm < m2 * 0.99 THEN 'below' WHEN sqm > m2 * 1.01 THEN 'above' ELSE 'inline' END AS codes FROM e WHERE sqm IS NOT NULL AND m2 IS NOT NULL""")
+e AS (SELECT *, {ESTIMATE} AS estimate, round_even(ms, 0) AS m2 FROM p)
+SELECT id, 'price_' || CASE WHEN price < estimate * 0.99 THEN 'below' WHEN price > estimate * 1.01 THEN 'above' ELSE 'inline' END || ',sqm_' || CASE WHEN sqm < m2 * 0.99 THEN 'below' WHEN sqm > m2 * 1.01 THEN 'above' ELSE 'inline' END AS codes FROM e WHERE sqm IS NOT NULL AND m2 IS NOT NULL AND estimate IS NOT NULL""")
 def _(spark, sf):
     listings = _listings(spark, sf)
     facts = listings.select("id", "price", per_sqm(F.col("price"), F.col("area")).alias("sqm"))
-    met = valuation.value_listings(valuation.comparables(listings)).join(facts, "id").filter("sqm IS NOT NULL AND median_sqm IS NOT NULL")
+    met = valuation.value_listings(valuation.comparables(listings)).join(facts, "id").filter("sqm IS NOT NULL AND median_sqm IS NOT NULL AND estimate IS NOT NULL")
     return met.select("id", F.array_join(valuation.market_codes(F.col("price"), F.col("estimate"), F.col("sqm"), F.col("median_sqm"), F.lit(False)), ",").alias("codes"))
 
 
-_SALE = f"""{_PAIRS}, p AS (SELECT id, price, area, percentile_cont(0.5) WITHIN GROUP (ORDER BY o_price) AS mp, percentile_cont(0.5) WITHIN GROUP (ORDER BY o_sqm) AS ms, count(*) AS n FROM pairs GROUP BY ALL), e AS (SELECT *, {r2('coalesce(ms * nullif(area, 0), mp)')} AS v FROM p),
-f AS (SELECT *, CAST(round(CAST((price / nullif(v, 0) - 1) * 100 AS DECIMAL(18,6)), 1) AS DOUBLE) AS d, {r2('v * 0.95')} AS low, {r2('v * 1.05')} AS high FROM e),
-g AS (SELECT f.*, cur.deal_type, cur.district, cur.region, date_diff('day', CAST(first_seen_at AS DATE), DATE '2024-02-01') AS days FROM f JOIN cur ON event_id = f.id)"""
-
-
-@query("s11_valuation_documents", f"""WITH {_SALE} SELECT id, '{{"days_on_market":' || days || ',"deal_type":"' || deal_type || '","district":"' || district || '","region":"' || region || '","valuation":{{' || CASE WHEN v IS NULL THEN '' ELSE '"value":' || CAST(round(v, 0) AS BIGINT) || ',"value_per_sqm":' || CAST(round(v / nullif(area, 0), 0) AS BIGINT) || ',' END
-  || '"range":{{' || CASE WHEN v IS NULL THEN '' ELSE '"low":' || low || ',"mid":' || v || ',"high":' || high END || '}},"sample_size":' || n || '}},"recommendation":[' || CASE WHEN d <= -5 THEN '"verdict_undervalued",' WHEN d >= 5 THEN '"verdict_overpriced",' WHEN d IS NOT NULL THEN '"verdict_fair",' ELSE '' END
-  || CASE WHEN days >= 60 THEN '"risk_long_on_market",' WHEN days <= 14 THEN '"strength_fresh",' ELSE '' END || '"step_visit","step_documents"]}}' AS document FROM g""")
-def _(spark, sf):
-    from estatelake.sources.io import valuation_documents
-
-    cur, listings = _current(spark, sf), _listings(spark, sf)
-    values = valuation.value_listings(valuation.comparables(listings))
-    block = valuation.valuation_block(values.join(listings.select("id", "area"), "id"), F.col("area"))
-    facts = cur.select(F.col("event_id").alias("id"), F.date_diff(F.lit("2024-02-01").cast("date"), F.to_date("first_seen_at")).alias("days_on_market"), "deal_type", "district", "region")
-    codes = values.select("id", "label").join(facts, "id").select("id", valuation.recommendation(F.col("label"), F.col("days_on_market"), F.lit(None).cast("array<string>")).alias("recommendation"))
-    return valuation_documents(facts.join(block, "id").join(codes, "id"))
-
-
 @query("u1_widened_pool", f"""WITH {_PAIRS}, s AS (SELECT id, count(*) FILTER (similarity >= 60) AS strong FROM pairs GROUP BY id), w AS (
   SELECT a.id, b.id AS o_id, row_number() OVER (PARTITION BY a.id ORDER BY b.id) AS n FROM l a JOIN (SELECT event_id, region FROM cur) ra ON ra.event_id = a.id JOIN l b ON a.category = b.category AND a.deal_type = b.deal_type AND a.id <> b.id JOIN (SELECT event_id, region FROM cur) rb ON rb.event_id = b.id AND rb.region = ra.region)
 SELECT id, o_id, FALSE AS widened FROM pairs UNION ALL SELECT w.id, w.o_id, TRUE FROM w LEFT JOIN s ON s.id = w.id WHERE n <= 200 AND coalesce(strong, 0) < 3 AND NOT EXISTS (SELECT 1 FROM pairs p WHERE p.id = w.id AND p.o_id = w.o_id)""")

@@ -90,8 +90,3 @@ def export_csv(df: DataFrame, path: str) -> int:
     seen = Observation("export")
     df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").csv(path, header=True)
     return seen.get["n"]
-
-
-def valuation_documents(facts: DataFrame) -> DataFrame:
-    """(id, document): all columns of a listing's facts as one JSON text."""
-    return facts.select("id", F.to_json(F.struct(*[c for c in facts.columns if c != "id"])).alias("document"))
