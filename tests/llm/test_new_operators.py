@@ -166,7 +166,7 @@ def spelt():
                 at = rng.randrange(len(w))
                 w[at : at + rng.randrange(2)] = rng.choice(["", "a", "é", "Z"])
             out.append("".join(w))
-        out += ["chainaaab"] + ["chainaabb"] * (i < 30) + ["chainabbb"] * (i < 3)
+        out += ["chainaaab"] + ["chainaabb"] * (i < 37) + ["chainabbb"] * (i < 3)
         rows.append((10 + i, rng.choice([" ", ", ", "1"]).join(out)))
     return rows + rows[-3:]
 
