@@ -1,7 +1,7 @@
 """From raw documents to packed training sequences, in five stages.
 
-1. language_id drops documents whose text has no letter, and longer ones that
-   are in no language: all that were learned are about as likely.
+1. language_id drops documents that are in no language: those whose text has no
+   letter, whatever their length.
 2. line_dedup drops lines that a document with a smaller id has.
 3. near_dedup keeps one document of each class of near-duplicates.
 4. mix_sources repeats or drops documents, so that sources meet their targets.
@@ -27,19 +27,14 @@ from estatelake.llm import langid, line_dedup, mixing, near_dedup, packing
 from estatelake.llm.common import keep, table
 from estatelake.ship import ship
 
-#: A text of at least so many code points goes if its score is below the limit. Short texts tell little, so their scores don't count.
-LEAST_CHARS, LEAST_SCORE = 200, 0.4
-
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a letter and a language; columns stay as they are.
+    """Documents that are in a language; columns stay as they are. One rule holds for texts of all lengths: what is ``und`` goes.
 
     Null, empty and letterless texts go. Without any labelled document none has a
     language, and all go. Ties go to the language that sorts first.
     """
-    out = langid.identify(docs)
-    unsure = (F.length("row.text") >= LEAST_CHARS) & (F.col("score") < LEAST_SCORE)
-    return out.filter((F.col("lang_pred") != "und") & ~unsure).select("row.*")
+    return langid.identify(docs).filter("lang_pred <> 'und'").select("row.*")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
