@@ -58,21 +58,28 @@ def offset(source: F.Column, seed: int) -> F.Column:
     return F.conv(F.substring(F.md5(F.encode(F.concat(F.lit(f"{seed}:"), F.coalesce(source, F.lit(""))), "UTF-8")), 1, 8), 16, 10).cast("double") / 2**32
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, seed: int = 17) -> DataFrame:
-    """Returns ``doc_id``, ``source``, ``size``, ``source_size``, ``target``, ``copies`` and ``taken``; also ``key``, which take_copies uses."""
-    sized = keep(docs.select(_row_key(id_col, text_col).alias("key"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), words(F.col(text_col)).alias("size")), "mix-sizes")
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, seed: int = 17, hot_rows: int = RANKED_ROWS) -> DataFrame:
+    """Returns ``doc_id``, ``source``, ``size``, ``source_size``, ``target``, ``copies`` and ``taken``; also ``row_no``, if the documents have a column ``_row_no``."""
+    numbered = [F.col("_row_no").alias("row_no")] * ("_row_no" in docs.columns)
+    sized = keep(docs.select(_row_key(id_col, text_col).alias("key"), *numbered, F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), words(F.col(text_col)).alias("size")), "mix-sizes")
     groups = keep(sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "mix-groups")
     goals = targets(groups.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights, most)
     starts = Window.partitionBy("source").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
     groups = groups.withColumn("first", F.coalesce(F.sum("n").over(starts), F.lit(0)))
     rated = groups.join(goals, groups["source"].eqNullSafe(goals["source"])).select(groups["source"].alias("g_source"), F.col("size").alias("g_size"), "first", "source_size", "target")
     salts = max(LEAST_SALTS, -(-(groups.agg(F.max("n")).first()[0] or 0) // RANKED_ROWS))
-    placed = ranked(sized, ["source", "size"], ["key"], F.col("key"), salts, "rank")
+    if numbered:
+        # One key may be that of a third of all rows, which then go to as many parts as they need; all other keys stay where their value puts them.
+        hot = keep(sized.groupBy("source", "size", "key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_rows), "mix-hot").select(F.col("source").alias("h_source"), F.col("size").alias("h_size"), F.col("key").alias("h_key"), F.ceil(F.col("n") / hot_rows).alias("parts"))
+        sized = sized.join(hot, F.col("source").eqNullSafe(F.col("h_source")) & (F.col("size") == F.col("h_size")) & (F.col("key") == F.col("h_key")), "left").withColumn("part", F.when(F.col("parts").isNotNull(), F.pmod(F.xxhash64("row_no"), F.col("parts"))).otherwise(F.lit(0))).drop("h_source", "h_size", "h_key", "parts")
+        placed = ranked(sized, ["source", "size"], ["key", "row_no"], F.pmod("key", F.lit(salts)) + F.col("part"), salts, "rank")
+    else:
+        placed = ranked(sized, ["source", "size"], ["key"], F.col("key"), salts, "rank")
     met = placed.join(rated, F.col("source").eqNullSafe(F.col("g_source")) & (F.col("size") == F.col("g_size")))
     rate, at = F.col("target") / F.col("source_size"), F.col("first") + F.col("rank")
     shift = offset(F.col("source"), seed)
     copies = F.when(F.col("source_size") == 0, F.lit(0)).otherwise(F.least(F.floor(rate * at + shift) - F.floor(rate * (at - 1) + shift), F.lit(most))).cast("long")
-    return met.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size")).select("doc_id", "source", "size", "source_size", "target", "copies", "taken", "key")
+    return met.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size")).select("doc_id", "source", "size", "source_size", "target", "copies", "taken", *["row_no"] * len(numbered))
 
 
 def _row_key(id_col: str, text_col: str) -> F.Column:
@@ -83,16 +90,16 @@ def _row_key(id_col: str, text_col: str) -> F.Column:
 def take_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mix itself: each row as often as it is taken, all columns as they are.
 
-    Rows go through one shuffle, by key. Rows of one key are told apart by their
-    place in the order of (source, size), on both sides alike.
+    Rows are written with a number each, by which they meet their copies, so rows
+    that share an id or have none are dealt like all others. Which of them is taken
+    once more follows the ids first; among rows of one id, and one text where there
+    is no id, the numbers decide, and a rerun over other partitions may take another.
     """
-    mixed = mix(docs, id_col, text_col, source_col, **options)
-    order = F.array_sort(F.collect_list(F.struct(F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("s"), "size", "copies")))
-    taken = mixed.groupBy("key").agg(F.transform(order, lambda x: x["copies"]).alias("copies"))
-    rows = docs.select(F.struct("*").alias("row"), _row_key(id_col, text_col).alias("key")).join(taken, "key")
-    nth = F.row_number().over(Window.partitionBy("key").orderBy(F.col("row")[source_col].isNull(), F.coalesce(F.col("row")[source_col], F.lit("")), words(F.col("row")[text_col])))
-    own = F.when(F.size("copies") == 1, F.col("copies")[0]).otherwise(F.get("copies", nth - 1)).cast("int")
-    return rows.withColumn("own", own).filter("own > 0").select("row", F.explode(F.sequence(F.lit(1), "own"))).select("row.*")
+    rows = keep(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("n")), "mix-rows")
+    asked = rows.select(F.col("row")[id_col].alias(id_col), F.col("row")[text_col].alias(text_col), F.col("row")[source_col].alias(source_col), F.col("n").alias("_row_no"))
+    mixed = mix(asked, id_col, text_col, source_col, **options)
+    taken = mixed.filter("copies > 0").select(F.col("row_no").alias("n"), F.col("copies").cast("int").alias("copies"))
+    return rows.join(taken, "n").select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
 
 
 def op10_mix_sources(spark, sf_dir: str) -> DataFrame:

@@ -125,3 +125,26 @@ def test_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, "")
         assert docs.count() == 0
+
+
+def test_mix_of_many_rows_without_an_id(spark):
+    """50,000 rows without an id or text, 20,000 of one id: each row is taken by itself, and no key's rows stay together."""
+    schema = "doc_id long, text string, source string"
+    docs = spark.createDataFrame([(i, f"w{i} " * (1 + i % 3), "ab"[i % 2]) for i in range(2000)], schema)
+    docs = docs.unionByName(spark.range(50_000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "CAST(NULL AS STRING) AS text", "'a' AS source")).unionByName(spark.range(20_000).selectExpr("7L AS doc_id", "concat('x', id % 5) AS text", "'b' AS source"))
+    got = mixing.take_copies(docs, hot_rows=1000)
+    counts = {(r["source"], r["k"]): r["n"] for r in got.groupBy("source", mixing.words(got["text"]).alias("k")).count().withColumnRenamed("count", "n").collect()}
+    took = mixing.mix(docs).groupBy("source", "size").agg({"copies": "sum"}).collect()
+    assert counts == {(r["source"], r["size"]): r["sum(copies)"] for r in took if r["sum(copies)"]}
+    kept = {(r["source"], r["size"]): r["target"] / r["source_size"] for r in mixing.mix(docs).select("source", "size", "target", "source_size").distinct().collect()}
+    assert all(abs(counts[k] - rate * {("a", 0): 50_000}.get(k, counts[k] / rate)) <= 1 for k, rate in kept.items() if k[1] == 0)
+
+
+def test_language_stage_is_one_rule_for_all_lengths(spark):
+    """Foreign words and letterless texts of one to two thousand characters: what counts is a letter."""
+    labelled = [(i, " ".join(WORDS[x] * 3), x, "s") for i in range(60) for x in [["en", "sk"][i % 2]]]
+    asked = [(1000 + n, unit * n, None, "s") for unit in ("Ωмегаж ", "7# ", "xq ") for n in (1, 20, 60, 67, 300)]
+    asked = [(100 * k + i, t, x, s) for k, (i, t, x, s) in enumerate(asked)]
+    docs = spark.createDataFrame(labelled + asked, "doc_id long, text string, lang string, source string")
+    left = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, docs, "").collect()}
+    assert left == {i for i, t, *_ in labelled + asked if "7#" not in t}
