@@ -3,51 +3,83 @@
 from __future__ import annotations
 
 import math
-import re
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from estatelake.functions.columns import fold, haversine_m, rounded
+from estatelake.operators.streets import street_candidates, street_mention, street_of  # noqa: F401
 
+#: A little less than there are, so that degrees reach as far as metres do.
 METRES_PER_DEGREE = 111_194.9
+#: Points of a cell that a task takes, about.
+CELL_POINTS = 20_000
 #: Fixed values of the amenity score: (count, weight, count at which it is full).
 SCORE = [("transport_500m", 0.30, 8), ("grocery_500m", 0.20, 5), ("schools_1km", 0.10, 5), ("parks_1km", 0.10, 3), ("restaurants_1km", 0.15, 15), ("healthcare_1km", 0.15, 8)]
 
 
-def near_places(points: DataFrame, places: DataFrame, radius_m: float, max_lat: float = 70.0, salts: int = 4) -> DataFrame:
+def _bands(lat: F.Column, high: float) -> F.Column:
+    """Number of the band of latitudes, from the south pole on."""
+    known = F.when(F.abs(lat) > 90, F.raise_error(F.concat(F.lit("no such latitude: "), lat.cast("string"))).cast("double")).otherwise(lat)
+    return F.floor((known + 90) / F.lit(high)).cast("long")
+
+
+def _columns(band: F.Column, high: float, radius_deg: float) -> F.Column:
+    """How many cells a band has round the earth: as wide as the radius reaches anywhere in it or its neighbours; one where it reaches a pole."""
+    edge = F.greatest(F.abs((band - 1) * high - 90), F.abs((band + 2) * high - 90))  # the latitude that is nearest to a pole
+    reach = F.degrees(F.asin(F.least(F.lit(1.0), F.lit(math.sin(math.radians(radius_deg))) / F.cos(F.radians(edge)))))
+    return F.when(edge + radius_deg >= 90, F.lit(1)).otherwise(F.greatest(F.lit(1), F.floor(360 / reach))).cast("long")
+
+
+def _column(lon: F.Column, columns: F.Column) -> F.Column:
+    return F.least(F.floor(F.pmod(lon + 180, F.lit(360.0)) / 360 * columns).cast("long"), columns - 1)
+
+
+def near_places(points: DataFrame, places: DataFrame, radius_m: float, cell_points: int = CELL_POINTS) -> DataFrame:
     """points (point_id, lat, lon) x places (place_id, category, lat, lon) within the radius, with ``distance_m``.
 
-    Each point lies in one cell; each place is sent to its cell and the eight
-    around it, as places are fewer. A cell is as high as the radius and as wide at
-    ``max_lat``, so nothing is missed up to there; a point or place beyond it
-    raises, and places across the date line aren't met. A crowded cell's points
-    are dealt over ``salts`` parts.
+    The grid's level follows the radius: bands of latitude a little higher than it,
+    each with as many cells round the earth as its own latitude needs, so that cells
+    close at the date line and the bands of the poles are one cell. A point lies in
+    one cell; a place is sent to its cell and those around it. A cell of more than
+    ``cell_points`` points is dealt into as many parts as its count asks for, and
+    what is sent there is sent to each. Nulls meet nothing; latitudes beyond 90 raise.
     """
-    high = radius_m / METRES_PER_DEGREE
-    wide = high / math.cos(math.radians(max_lat))
-    cell = lambda c, size: F.floor(c / F.lit(size)).cast("long")
-    inside = lambda lat: F.when(F.abs(lat) > max_lat, F.raise_error(F.concat(F.lit(f"beyond max_lat = {max_lat}: "), lat.cast("string"))).cast("double")).otherwise(lat)
-    asked = points.withColumns({"cy": cell(inside(F.col("lat")), high), "cx": cell(F.col("lon"), wide), "salt": F.pmod(F.xxhash64("point_id"), F.lit(salts))})
-    around = F.array(*[F.struct(F.lit(y).alias("y"), F.lit(x).alias("x")) for y in (-1, 0, 1) for x in (-1, 0, 1)])
-    held = places.withColumn("d", F.explode(around)).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    held = held.select("place_id", "category", F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"), "salt", (cell(inside(F.col("lat")), high) + F.col("d.y")).alias("cy"), (cell(F.col("lon"), wide) + F.col("d.x")).alias("cx"))
-    met = asked.join(held, ["cy", "cx", "salt"]).withColumn("distance_m", haversine_m(F.col("lat"), F.col("lon"), F.col("p_lat"), F.col("p_lon")))
-    return met.filter(F.col("distance_m") <= radius_m).select(*points.columns, "place_id", "category", "distance_m")
+    reach = radius_m / METRES_PER_DEGREE
+    high = reach * (1 + 1e-9)
+    asked = points.withColumn("cy", _bands(F.col("lat"), high))
+    asked = asked.withColumn("cx", _column(F.col("lon"), _columns(F.col("cy"), high, reach))).filter("cx IS NOT NULL")
+    crowded = asked.groupBy("cy", "cx").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > cell_points).select("cy", "cx", F.ceil(F.col("n") / cell_points).alias("parts"))
+    asked = asked.join(crowded, ["cy", "cx"], "left").withColumn("part", F.pmod(F.xxhash64("point_id"), F.coalesce("parts", F.lit(1)))).drop("parts")
+    held = places.select("place_id", "category", *[c for c in ("name",) if c in places.columns], F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"))
+    held = held.withColumn("cy", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: _bands(F.col("p_lat"), high) + d)))
+    n = _columns(F.col("cy"), high, reach)
+    around = F.array_distinct(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.pmod(_column(F.col("p_lon"), n) + d, n)))
+    held = held.withColumn("cx", F.explode(around)).join(crowded, ["cy", "cx"], "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+    met = asked.join(held, ["cy", "cx", "part"]).withColumn("distance_m", haversine_m(F.col("lat"), F.col("lon"), F.col("p_lat"), F.col("p_lon")))
+    return met.filter(F.col("distance_m") <= radius_m).select(*points.columns, *[c for c in held.columns if c in ("place_id", "category", "name")], "distance_m")
 
 
 def place_counts(points: DataFrame, places: DataFrame, wanted: list[tuple[str, str, float]]) -> DataFrame:
-    """wanted: (column, category, radius). One join at the largest radius; points without a place count 0."""
-    near = near_places(points, places, max(r for _, _, r in wanted))
-    counts = near.groupBy("point_id").agg(*[F.count_if((F.col("category") == c) & (F.col("distance_m") <= r)).alias(n) for n, c, r in wanted])
-    return points.join(counts, "point_id", "left").na.fill(0, [n for n, _, _ in wanted])
+    """wanted: (column, category, radius). Each radius is a join of its own, on its own grid, with the categories that it counts; points without a place count 0."""
+    found = None
+    for radius in sorted({r for _, _, r in wanted}):
+        here = [(n, c) for n, c, r in wanted if r == radius]
+        near = near_places(points, places.filter(F.col("category").isin(*{c for _, c in here})), radius)
+        counts = near.groupBy("point_id").agg(*[F.count_if(F.col("category") == c).alias(n) for n, c in here])
+        found = counts if found is None else found.unionByName(counts, allowMissingColumns=True)
+    names = [n for n, _, _ in wanted]
+    summed = found.groupBy("point_id").agg(*[F.sum(n).alias(n) for n in names])
+    return points.join(summed, "point_id", "left").na.fill(0, names)
 
 
 def nearest_place(points: DataFrame, places: DataFrame, radius_m: float) -> DataFrame:
-    """The nearest place of each category within the radius, ties to the smaller id."""
+    """The nearest named place of each category within the radius, ties to the smaller id; places without a name don't count, if there is a column ``name``."""
+    if "name" in places.columns:
+        places = places.filter(F.trim("name") != "")
     near = near_places(points, places, radius_m)
-    return near.groupBy("point_id", "category").agg(F.min_by("place_id", F.struct("distance_m", "place_id")).alias("place_id"), F.min("distance_m").alias("distance_m"))
+    first = F.min_by(F.struct("place_id", *[c for c in ("name",) if c in near.columns], "distance_m"), F.struct("distance_m", "place_id"))
+    return near.groupBy("point_id", "category").agg(first.alias("_p")).select("point_id", "category", "_p.*")
 
 
 def location_score() -> F.Column:
@@ -79,78 +111,36 @@ def with_region(listings: DataFrame, towns: DataFrame, town_col: str, aliases: D
     return listings.withColumn("_town", fold(F.col(town_col))).join(one, "_town", "left").drop("_town")
 
 
-#: A name is a run of capitalised words. Runs are possessive: what follows a name never starts with a capital, so giving words back can't help.
-_NAME = r"[A-ZÀ-Ž][\w.\-À-ž]*+(?:\s+[A-ZÀ-Ž][\w.\-À-ž]*+)*+"
-_NUMBER = r"(?:\s+(\d{1,4}(?:/\d{1,4})?[a-zA-Z]?))?"
-_PREFIX = re.compile(rf"(?:\b[Uu]l\.|\b[Uu]lic[aiou])\s+({_NAME}){_NUMBER}")
-#: All runs; a run that isn't followed by the word has no part that is.
-_RUN = re.compile(rf"\b({_NAME})(\s+(?:ul\.|ulic[aiue]\b))?")
-_SQUARE = re.compile(rf"(?:\b[Nn]ám\.|\b[Nn]ámestie|\b[Nn]ámestí)\s+({_NAME}){_NUMBER}")
-_INITIALS = re.compile(r"(?:[A-ZÀ-Ž]\.)+")
-#: Fixed words that stand before 'ulici' without being part of the name.
-_STOPWORDS = {"na", "pri", "v", "vo", "byt", "izbový", "izb", "novej", "tejto"}
-
-
-def _clean_street(name: str) -> str:
-    """The words up to the first that ends a sentence (initials don't) or, from the second on, is shouted."""
-    out: list[str] = []
-    for word in name.split():
-        if out and len(word) >= 3 and word.isupper():
-            break
-        out.append(word)
-        if word.endswith(".") and not _INITIALS.fullmatch(word):
-            break
-    return re.sub(r"[\s,.:;–-]+$", "", " ".join(out))
-
-
-def _street_in(text: str | None) -> tuple[str, str, str | None] | None:
-    """(form, name, house number)"""
-    if not text:
-        return None
-    if (m := _PREFIX.search(text)) and len(name := _clean_street(m[1])) >= 3:
-        return "prefix", name, m[2]
-    if ("ul." in text or "ulic" in text) and (m := next((m for m in _RUN.finditer(text) if m[2]), None)):
-        words = _clean_street(m[1]).split()
-        while words and words[0].lower() in _STOPWORDS:
-            words.pop(0)
-        if len(name := " ".join(words)) >= 3:
-            return "suffix", name, None
-    if (m := _SQUARE.search(text)) and len(name := _clean_street(m[1])) >= 3:
-        return "square", name, m[2]
-    return None
-
-
-def _streets(*texts: pd.Series) -> pd.DataFrame:
-    found = [next(filter(None, map(_street_in, row)), (None, None, None)) for row in zip(*texts, strict=True)]
-    return pd.DataFrame(found, columns=["form", "name", "house_number"])
-
-
-def street_of(*texts: F.Column) -> F.Column:
-    """(street, candidates, house_number) of the first text that names a street, in the order given (title first); null if none does.
-
-    In a text: 'ul. X 46' or 'ulica X', then 'X ulica', then 'námestie X'. Names of fewer than 3 letters don't count.
-    """
-    told = F.pandas_udf(_streets, "form string, name string, house_number string")(*texts)
-    name, square = told["name"], F.concat(F.lit("námestie "), told["name"])
-    spelt = F.when(told["form"] == "prefix", F.array(name)).when(told["form"] == "suffix", street_candidates(name)).otherwise(F.array(square, name))
-    return F.when(name.isNotNull(), F.struct(F.when(told["form"] == "square", square).otherwise(name).alias("street"), spelt.alias("candidates"), told["house_number"].alias("house_number")))
+#: Degrees that a found street may lie in (least and greatest latitude, longitude), and kilometres a degree.
+BOX, KM_PER_DEGREE = (47.7, 49.65, 16.8, 22.6), 111.0
+
 
+def plausible(lat: F.Column, lon: F.Column, town_lat: F.Column, town_lon: F.Column, max_km: float, box: tuple[float, float, float, float] | None) -> F.Column:
+    """In the box, and within max_km of the town; a town without a point rules nothing out."""
+    north, east = (lat - town_lat) * KM_PER_DEGREE, (lon - town_lon) * KM_PER_DEGREE * F.cos(F.radians(town_lat))
+    near = F.coalesce(F.sqrt(north * north + east * east) <= max_km, F.lit(True))
+    return near if box is None else near & lat.between(box[0], box[1]) & lon.between(box[2], box[3])
 
-def street_mention(*texts: F.Column) -> F.Column:
-    """The street that the first of the texts to name one names, or null."""
-    return street_of(*texts)["street"]
 
+def geocode_streets(mentions: DataFrame, gazetteer: DataFrame, max_km: float = 25.0, box: tuple[float, float, float, float] | None = BOX) -> DataFrame:
+    """The first plausible spelling of a mention that the town's gazetteer has; the house itself goes before its street.
 
-def geocode_streets(mentions: DataFrame, gazetteer: DataFrame, max_km: float = 25.0) -> DataFrame:
-    """mentions: (id, candidates, town, town_lat, town_lon). The first candidate in the town's gazetteer that lies within max_km of the town."""
-    asked = mentions.select("*", F.posexplode("candidates").alias("nth", "candidate")).withColumn("_s", fold(F.col("candidate"))).withColumn("_t", fold(F.col("town")))
-    held = gazetteer.select(fold(F.col("street")).alias("_s"), fold(F.col("town")).alias("_t"), F.col("lat").alias("geo_lat"), F.col("lon").alias("geo_lon"))
-    met = asked.join(held, ["_s", "_t"]).filter(haversine_m(F.col("town_lat"), F.col("town_lon"), F.col("geo_lat"), F.col("geo_lon")) <= max_km * 1000)
-    best = met.groupBy("id").agg(F.min_by(F.struct("candidate", "geo_lat", "geo_lon"), F.struct("nth", "geo_lat", "geo_lon")).alias("g")).select("id", F.col("g.candidate").alias("street"), "g.geo_lat", "g.geo_lon")
-    return mentions.join(best, "id", "left").withColumn("geo_precision", F.when(F.col("geo_lat").isNotNull(), "street")).withColumn("street", F.coalesce("street", F.get("candidates", F.lit(0))))
+    mentions: (id, candidates, town, town_lat, town_lon) and house_number, if there
+    is one. gazetteer: (street, town, lat, lon) and number, null for a street as a
+    whole. Adds ``geo_precision`` ('street', null for a miss) and ``matched`` (house
+    or street); a miss keeps the first spelling as its street.
+    """
+    none = F.lit(None).cast("string")
+    number = lambda df, c: F.lower(F.nullif(F.trim(F.col(c)), F.lit(""))) if c in df.columns else none
+    asked = mentions.select("*", F.posexplode("candidates").alias("nth", "candidate"), number(mentions, "house_number").alias("_n")).withColumn("_s", fold(F.col("candidate"))).withColumn("_t", fold(F.col("town")))
+    held = gazetteer.select(fold(F.col("street")).alias("_s"), fold(F.col("town")).alias("_t"), number(gazetteer, "number").alias("_house"), F.col("lat").alias("geo_lat"), F.col("lon").alias("geo_lon"))
+    met = asked.join(held, ["_s", "_t"]).filter(F.col("_house").isNull() | (F.col("_house") == F.col("_n"))).filter(plausible(F.col("geo_lat"), F.col("geo_lon"), F.col("town_lat"), F.col("town_lon"), max_km, box))
+    found = F.struct("candidate", "geo_lat", "geo_lon", F.lit("street").alias("geo_precision"), F.when(F.col("_house").isNotNull(), "house").otherwise("street").alias("matched"))
+    best = met.groupBy("id").agg(F.min_by(found, F.struct("nth", F.col("_house").isNull().alias("whole"), "geo_lat", "geo_lon")).alias("g")).select("id", F.col("g.candidate").alias("street"), "g.geo_lat", "g.geo_lon", "g.geo_precision", "g.matched")
+    return mentions.join(best, "id", "left").withColumn("street", F.coalesce("street", F.get("candidates", F.lit(0))))
 
 
-def geocode_batch(listings: DataFrame, gazetteer: DataFrame, now, max_km: float = 25.0) -> tuple[DataFrame, DataFrame]:
+def geocode_batch(listings: DataFrame, gazetteer: DataFrame, now, max_km: float = 25.0, box: tuple[float, float, float, float] | None = BOX) -> tuple[DataFrame, DataFrame]:
     """listings: (id, name, content, city, locality, lat, lon), those to geocode. Returns (results, counters).
 
     results: (id, street, geo_lat, geo_lon, geo_precision, geocoded_at); a miss is
@@ -158,7 +148,7 @@ def geocode_batch(listings: DataFrame, gazetteer: DataFrame, now, max_km: float
     """
     asked = listings.withColumn("_s", street_of(F.col("name"), F.col("content"))).withColumn("town", F.coalesce("city", "locality"))
     named = asked.filter(F.col("_s").isNotNull() & F.col("town").isNotNull())
-    met = geocode_streets(named.select("id", "_s.candidates", "town", F.col("lat").alias("town_lat"), F.col("lon").alias("town_lon")), gazetteer, max_km)
+    met = geocode_streets(named.select("id", "_s.candidates", "_s.house_number", "town", F.col("lat").alias("town_lat"), F.col("lon").alias("town_lon")), gazetteer, max_km, box)
     out = listings.select("id").join(met.select("id", "street", "geo_lat", "geo_lon", "geo_precision"), "id", "left").withColumn("geocoded_at", F.lit(now).cast("timestamp"))
     return out, out.agg(F.count(F.lit(1)).alias("processed"), F.count("street").alias("with_street"), F.count("geo_precision").alias("geocoded"))
 
@@ -193,25 +183,3 @@ def administrative_district(listings: DataFrame, areas: DataFrame) -> DataFrame:
     met = listings.withColumn("_area", fold(last)).join(dim, "_area", "left")
     known = F.col("district").rlike(r"^Praha \d+$")
     return met.withColumn("admin_district", F.when(known, F.col("district")).otherwise(F.col("_to"))).drop("_area", "_to")
-
-
-#: Fixed endings of Slovak street names in the locative: what is taken off, and the nominative's endings.
-ENDINGS = [("skej", 2, ("á", "a")), ("ckej", 2, ("á", "a")), ("ovej", 2, ("a",)), ("nej", 2, ("á", "a"))]
-
-
-def street_candidates(name: F.Column) -> F.Column:
-    """At most four spellings, each word in the nominative, then the name as found if it isn't among them; null for null."""
-
-    def spelt(word):
-        out = F.array(word)
-        for end, cut, tos in reversed(ENDINGS):
-            stem = F.substring(word, F.lit(1), F.length(word) - cut)
-            out = F.when(F.lower(word).endswith(end), F.array(*[F.concat(stem, F.lit(to)) for to in tos])).otherwise(out)
-        return out
-
-    def longer(made, word):
-        return F.slice(F.flatten(F.transform(made, lambda x: F.transform(spelt(word), lambda w: F.concat_ws(" ", x, w)))), 1, 4)
-
-    words = F.split(F.trim(name), r"\s+")
-    made = F.aggregate(F.slice(words, 2, F.size(words)), spelt(words[0]), longer)
-    return F.when(name.isNotNull(), F.when(F.array_contains(made, name), made).otherwise(F.concat(made, F.array(name))))

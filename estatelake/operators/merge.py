@@ -20,14 +20,25 @@ def last_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     return df.withColumn("_nth", nth).filter(F.col("_nth") == 1).drop("_nth")
 
 
-def merge_by_key(target: DataFrame, updates: DataFrame, keys: list[str], policies: dict[str, str] | None = None, null_safe: bool = False) -> DataFrame:
+def require_unique(df: DataFrame, keys: list[str], what: str) -> None:
+    """Raises if a key has more than one row."""
+    twice = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(3).collect()
+    if twice:
+        raise ValueError(f"{what}: more than one row for {[tuple(r[k] for k in keys) for r in twice]}")
+
+
+def merge_by_key(target: DataFrame, updates: DataFrame, keys: list[str], policies: dict[str, str | tuple] | None = None, null_safe: bool = False, unique: bool = False) -> DataFrame:
     """Full outer join of one row for each key on both sides.
 
     policies, by column: ``overwrite`` (default), ``keep_old`` (the stored value
-    stays), ``coalesce`` (a null update keeps the stored value), ``greatest``.
-    null_safe: a null in a key equals a null.
+    stays), ``coalesce`` (a null update keeps the stored value), ``greatest``,
+    ``("const", value)`` (updated and inserted rows get the value).
+    null_safe: a null in a key equals a null. unique: a repeated key raises.
     """
     policies = policies or {}
+    if unique:
+        require_unique(target, keys, "stored rows")
+        require_unique(updates, keys, "updates")
     t, u = target.withColumn("_t", F.lit(True)).alias("t"), updates.withColumn("_u", F.lit(True)).alias("u")
     same = [F.col(f"t.{k}").eqNullSafe(F.col(f"u.{k}")) if null_safe else F.col(f"t.{k}") == F.col(f"u.{k}") for k in keys]
     cond = same[0]
@@ -47,6 +58,8 @@ def merge_by_key(target: DataFrame, updates: DataFrame, keys: list[str], policie
             value = F.coalesce(new, old)
         elif rule == "greatest":
             value = F.greatest(old, new)
+        elif isinstance(rule, tuple) and rule[0] == "const":
+            value = F.when(isnew, F.lit(rule[1])).otherwise(old)
         else:
             raise ValueError(f"no such policy: {rule}")
         out.append(value.alias(c))
@@ -129,9 +142,3 @@ def run_summary(merged: DataFrame, changes: DataFrame, quarantine: DataFrame) ->
     states = merged.agg(F.count_if(F.col("merge_action") == "inserted").alias("n_new"), F.count_if(F.col("merge_action") == "updated").alias("n_updated"))
     out = states.crossJoin(changes.agg(F.count(F.lit(1)).alias("n_price_changes"))).crossJoin(quarantine.agg(F.count(F.lit(1)).alias("n_failed")))  # one row each
     return out.withColumn("status", F.when(F.col("n_failed") > 0, "completed_with_errors").otherwise("succeeded"))
-
-
-def ingest_summary(merged: DataFrame, n_changes: int, n_failed: int) -> DataFrame:
-    """One row: new, updated, price changes, failed, status. merged: a result of merge_by_key."""
-    counts = merged.agg(F.count_if(F.col("merge_action") == "inserted").alias("n_new"), F.count_if(F.col("merge_action") == "updated").alias("n_updated"))
-    return counts.select("n_new", "n_updated", F.lit(n_changes).alias("n_price_changes"), F.lit(n_failed).alias("n_failed"), F.lit("completed_with_errors" if n_failed else "succeeded").alias("status"))

@@ -7,7 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from estatelake.functions.columns import per_sqm
-from estatelake.operators import features, geo, history, market, merge, normalize, photos, search, valuation
+from estatelake.operators import features, geo, history, market, merge, normalize, photos, search, sketches, valuation
 from estatelake.plans.domain import BENCH, CHANGES, CURRENT, OBS, SNAP, benchmarks, observations, places, r2, table
 from estatelake.plans.registry import _PAIRS, ESTIMATE, OFF, _S, SQM, WANTED, _changes, _current, _listings, _points, _snaps, query
 from estatelake.sources import io
@@ -180,6 +180,29 @@ def _(spark, sf):
     return market.bucket_index(*_bucket_input(spark, sf))
 
 
+@query("a4_sketched_weeks", f"WITH {SNAP}, w AS (SELECT date_trunc('week', day)::DATE AS week, deal_type, price, {SQM} AS sqm FROM snap WHERE price IS NOT NULL) SELECT week, deal_type, count(*) AS n, count(sqm) AS n_sqm, TRUE AS within_1_percent FROM w GROUP BY ALL")
+def _(spark, sf):
+    """Sketches stored by day, merged by week: medians whose rank error is measured against all rows of the week."""
+    weekly = lambda df: df.withColumn("week", F.date_trunc("week", F.col("day").cast("timestamp_ntz")).cast("date"))
+    snaps = weekly(_snaps(spark, sf)).withColumn("sqm", per_sqm(F.col("price"), F.col("area")))
+    held, by = keep(sketches.day_sketches(snaps, ["source", "deal_type"]), "sketches"), ["week", "deal_type"]
+    index = sketches.index_of(sketches.merged(weekly(held), by))
+    exact = sketches.merged(weekly(held), by).select(*by, sketches.quantile(F.col("price_sketch"), 0.5).alias("median_price"), sketches.quantile(F.col("sqm_sketch"), 0.5).alias("median_sqm"))
+    errors = [sketches.rank_errors(snaps, exact, by, value, median) for value, median in (("price", "median_price"), ("sqm", "median_sqm"))]
+    met = errors[0].join(errors[1].select(*by, F.col("n").alias("n_sqm"), F.col("error").alias("error_sqm")), by).join(index.select(*by, F.col("n").alias("held")), by)
+    return met.select(*by, F.col("held").alias("n"), "n_sqm", ((F.col("error") < 0.01) & (F.col("error_sqm") < 0.01)).alias("within_1_percent"))
+
+
+@query("a2_sketched_distribution", f"WITH {LI}, s AS (SELECT * FROM li WHERE active AND price IS NOT NULL AND sqm IS NOT NULL) SELECT district, count(*) AS n, min(sqm) AS low, max(sqm) AS high, TRUE AS within_1_percent FROM s GROUP BY district")
+def _(spark, sf):
+    """A district's distribution from the sketches of its sources; small groups are exact."""
+    active = listings(spark, sf).filter("active")
+    held = sketches.merged(sketches.day_sketches(active.withColumn("day", F.to_date("last_seen_at")), ["district", "source"]), ["district"])
+    told = sketches.distribution_of(held)
+    middle = held.select("district", sketches.quantile(F.col("sqm_sketch"), 0.5).alias("m"))
+    return told.join(sketches.rank_errors(active.select("district", "sqm"), middle, ["district"], "sqm", "m").select("district", "error"), "district").select("district", "n", "low", "high", (F.col("error") < 0.01).alias("within_1_percent"))
+
+
 @query("a5_bucket_districts", f"WITH {SNAPS}, {_BUCKETED} SELECT deal_type, bucket, district, count(DISTINCT (source, listing_id)) AS n_listings FROM b WHERE bucket IS NOT NULL AND district IS NOT NULL GROUP BY ALL")
 def _(spark, sf):
     return market.bucket_districts(*_bucket_input(spark, sf))

@@ -11,7 +11,7 @@ from datetime import UTC, datetime
 
 from pyspark.sql import functions as F
 
-from estatelake.operators import merge, normalize
+from estatelake.operators import normalize
 from estatelake.plans.domain import places, table
 from estatelake.plans.registry import query
 from estatelake.sources import io
@@ -144,12 +144,3 @@ def _(spark, sf):
     io.append_raw(rows, path)
     log = spark.read.parquet(path)
     return log.groupBy("run_id", "source", "source_listing_id", "url", F.unix_micros("scraped_at").alias("scraped_us")).agg(F.count(F.lit(1)).cast("int").alias("times"))
-
-
-@query("e1_ingest_summary", f"WITH {NORMAL} SELECT (SELECT count(*) FROM nl WHERE event_id % 4 <> 0) AS n_new, (SELECT count(*) FROM nl WHERE event_id % 4 = 0) AS n_updated, 0 AS n_price_changes, (SELECT count(*) FROM events WHERE event_id % 6 >= 4) AS n_failed, 'completed_with_errors' AS status")
-def _(spark, sf):
-    """A run over all items, of which a part is stored already."""
-    good, bad = normalized(spark, sf)
-    rows = good.select("source", "source_listing_id", "price", F.col("scraped_at").alias("first_seen_at"), F.col("scraped_at").alias("last_seen_at"), "event_id")
-    merged = merge.merge_by_key(rows.filter("event_id % 4 = 0"), rows, ["source", "source_listing_id"], {"first_seen_at": "keep_old", "last_seen_at": "greatest"})
-    return merge.run_summary(merged, bad.limit(0), bad).withColumn("n_price_changes", F.col("n_price_changes").cast("int"))

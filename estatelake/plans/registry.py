@@ -10,9 +10,6 @@ from estatelake.functions.columns import per_sqm, rounded
 from estatelake.operators import geo, history, market, merge, photos, search, valuation
 from estatelake.plans.domain import BENCH, CHANGES, CURRENT, OBS, SNAP, benchmarks, observations, places, point, r2, table
 
-#: Mentions of streets, planted in texts that name none.
-STREETS = ["byt, ul. Orechova 46", "na Tatranskej ulici", "na ulici Nová Podhradná", "byt, Nám. J.K. Bystrého 12/3a", "Lipovecká ul. s balkónom", "ulica Javorova. PO OBNOVE. PIVNICA", "Na Jarnej ulici"]
-
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
@@ -318,21 +315,6 @@ def _(spark, sf):
     return score(model, frame).select("source", "listing_id", "day", "target", "predicted")
 
 
-@query("x1_street_mentions", r"SELECT page_id, regexp_extract(url, '^[a-z]+://([^/]+)/', 1) AS host, regexp_extract(url, '/(\d+)', 1) AS number FROM pages")
-def _(spark, sf):
-    return table(spark, sf, "pages").select("page_id", F.regexp_extract("url", "^[a-z]+://([^/]+)/", 1).alias("host"), F.regexp_extract("url", r"/(\d+)", 1).alias("number"))
-
-
-@query("x1_streets_in_texts")
-def _(spark, sf):
-    """Title: a document's first line; content: its whole text. The invented prose names no street, so every other document gets one at the end of its text or its title."""
-    docs, said = table(spark, sf, "documents"), F.element_at(F.array(*map(F.lit, STREETS)), (F.col("doc_id") % len(STREETS) + 1).cast("int"))
-    docs = docs.withColumn("title", F.regexp_extract("text", r"^([^\n]*)", 1)).withColumn("nth", F.col("doc_id") % (4 * len(STREETS)))
-    half = len(STREETS)
-    texts = docs.select("doc_id", F.when(F.col("nth") < half, F.concat_ws(" ", "title", said)).otherwise(F.col("title")).alias("title"), F.when(F.col("nth").between(half, 2 * half - 1), F.concat_ws(" ", "text", said)).otherwise(F.col("text")).alias("content"))
-    return texts.select("doc_id", geo.street_of(F.col("title"), F.col("content")).alias("s")).select("doc_id", "s.street", F.array_join("s.candidates", "|").alias("candidates"), "s.house_number")
-
-
 @query("p5_listing_projection", f"WITH {CURRENT} SELECT CAST(event_id AS VARCHAR) AS id, CASE WHEN deal_type = 'rent' THEN 'rent' ELSE 'sale' END AS dealType, category, district, region, price, CASE WHEN area % 2 = 0 THEN 48.5 ELSE 48.0 END AS lat, CASE WHEN area % 2 = 0 THEN 17.5 ELSE 17.0 END AS lon, CASE WHEN area % 2 = 0 THEN 'street' ELSE 'town' END AS geoPrecision FROM cur")
 def _(spark, sf):
     hit = F.col("area") % 2 == 0

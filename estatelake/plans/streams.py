@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from estatelake.functions.columns import rounded
-from estatelake.operators import history
-from estatelake.plans.domain import CHANGES, CURRENT, OBS
+from estatelake.operators import history, sketches
+from estatelake.plans.domain import CHANGES, CURRENT, OBS, observations
 from estatelake.plans.registry import query
 from estatelake.sources.shared import scratch
 from estatelake.streaming import listings as streams
@@ -55,6 +55,20 @@ def _(spark, sf):
         spark.conf.set("spark.sql.session.timeZone", before)
 
 
+@query("t4_sketched_medians", f"WITH {OBS}, d AS (SELECT day, count(*) AS n FROM obs WHERE day + INTERVAL 1 DAY <= (SELECT max(scraped_at) FROM obs) - INTERVAL 2 DAY GROUP BY day) SELECT day, n, TRUE AS within_1_percent FROM d")
+def _(spark, sf):
+    """The streamed sketches' medians, whose rank error is measured against all prices of the day."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    try:
+        held = finished(streams.daily_sketches(observed(spark, sf)).withColumn("day", F.col("day").cast("string")), spark, "sketches")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    medians = held.select(F.col("day").cast("date").alias("day"), sketches.quantile(F.col("price_sketch"), 0.5).alias("median"))
+    errors = sketches.rank_errors(observations(spark, sf).select("day", "price"), medians, ["day"], "price", "median")
+    return errors.select("day", "n", (F.col("error") < 0.01).alias("within_1_percent"))
+
+
 @query("t5_late_rows", "SELECT event_id, event_id % 9 > 4 AS late FROM events")
 def _(spark, sf):
     rows = observed(spark, sf).withColumn("landed_at", F.col("scraped_at") + F.make_dt_interval((F.col("event_id") % 9).cast("int")))
@@ -62,6 +76,13 @@ def _(spark, sf):
     return on_time.withColumn("late", F.lit(False)).unionByName(late.withColumn("late", F.lit(True)))
 
 
+@query("t5_revised_changes", f"WITH {CHANGES} SELECT source, listing_id, day, old_price, new_price FROM changes")
+def _(spark, sf):
+    """Events that land up to eight days late, in no order: after all revisions, the batch job's changes."""
+    rows = observed(spark, sf).withColumn("landed_at", F.col("scraped_at") + F.make_dt_interval((F.col("event_id") % 9).cast("int")))
+    return streams.settled(finished(streams.revised_changes(rows, 10), spark, "revisions"))
+
+
 @query("t6_without_repeats", "SELECT DISTINCT event_type AS source, user_id AS listing_id, CAST(ts AS DATE) AS day, CAST(event_id % 2 AS VARCHAR) AS content_hash FROM events")
 def _(spark, sf):
     rows = observed(spark, sf).withColumn("content_hash", (F.col("event_id") % 2).cast("string"))

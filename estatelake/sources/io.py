@@ -13,14 +13,24 @@ from estatelake.sources.shared import keep
 BENCHMARK = {"source": "string", "source_name": "string", "source_url": "string", "period": "string", "year": "int", "quarter": "int", "country": "string", "city": "string", "district": "string", "locality": "string", "property_type": "string", "segment": "string", "metric": "string", "value": "double", "change_percent": "double", "transaction_count": "int", "transaction_volume": "double", "granularity": "string", "notes": "string"}
 
 
-def read_dumps(spark: SparkSession, path: str) -> DataFrame:
-    """Items of JSON dumps (an array or one object a file): raw, file, actor and landed_at (from <actor>_<date>_<time>.json)."""
-    files = spark.read.text(path, wholetext=True).select(F.col("value"), F.col("_metadata.file_name").alias("file"))
-    items = files.select("file", F.explode(F.from_json(F.when(F.ltrim("value").startswith("["), F.col("value")).otherwise(F.concat(F.lit("["), F.col("value"), F.lit("]"))), "array<string>")).alias("raw"))
+def dump_files(reader, path: str) -> DataFrame:
+    """Files of dumps whole, by ``spark.read`` or ``spark.readStream``: value, file, path."""
+    return reader.text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_path").alias("path"))
+
+
+def dump_items(files: DataFrame) -> DataFrame:
+    """Items of dump files (an array or one object a file): raw, nth (place in the file), file, path, actor and landed_at (from <actor>_<date>_<time>.json)."""
+    whole = F.when(F.ltrim("value").startswith("["), F.col("value")).otherwise(F.concat(F.lit("["), F.col("value"), F.lit("]")))
+    items = files.select("file", "path", F.posexplode(F.from_json(whole, "array<string>")).alias("nth", "raw"))
     stamp = F.regexp_extract("file", r"(\d{4}-\d{2}-\d{2}_\d{2}-\d{2}-\d{2})\.json$", 1)
     return items.withColumn("actor", F.regexp_extract("file", r"^(.*)_\d{4}-\d{2}-\d{2}_", 1)).withColumn("landed_at", F.try_to_timestamp(stamp, F.lit("yyyy-MM-dd_HH-mm-ss")))
 
 
+def read_dumps(spark: SparkSession, path: str) -> DataFrame:
+    """Items of JSON dumps: raw, file, actor and landed_at."""
+    return dump_items(dump_files(spark.read, path)).select("file", "raw", "actor", "landed_at")
+
+
 def read_benchmarks(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
     """A benchmark CSV with typed columns; blanks are null, '12.0' is 12. strict: other columns raise."""
     raw = spark.read.csv(path, header=True)

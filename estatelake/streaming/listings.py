@@ -10,8 +10,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from estatelake.operators import ingest as ingests
+from estatelake.operators import sketches
+from estatelake.operators.normalize import normalize_listings
+from estatelake.sources.io import dump_files, dump_items
+
 CHANGES = "source string, listing_id long, day date, old_price double, new_price double"
-_STATE = "base double, days array<int>, stamps array<long>, events array<long>, prices array<double>"
+_STATE = "base double, closed int, days array<int>, stamps array<long>, events array<long>, prices array<double>"
+#: Without a watermark, days that a listing's state holds behind its newest.
+KEEP_DAYS = 60
 _EPOCH = date(1970, 1, 1)
 
 
@@ -20,12 +27,41 @@ def ingest(stream: DataFrame, batch_job: Callable[[DataFrame, int], None], check
     return stream.writeStream.foreachBatch(batch_job).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def ingest_dumps(spark, landing: str, store, run_time, stat_date, checkpoint: str, name: str = "stream", towns: DataFrame | None = None):
+    """Whole dumps that land in a folder, through the normalising job and a run of the ingest job for each batch.
+
+    A batch's run is named by its number, so a batch that is given again, as after
+    a failure between its commit and the stream's own, is skipped. Items come in the
+    order of landing time, path and place in the file.
+    """
+    return ingest(dump_files(spark.readStream, landing), ingest_batch(store, run_time, stat_date, name, towns), checkpoint)
+
+
+def ingest_batch(store, run_time, stat_date, name: str = "stream", towns: DataFrame | None = None) -> Callable[[DataFrame, int], None]:
+    """What a batch of dump files is given to."""
+
+    def job(files: DataFrame, number: int) -> None:
+        if (run := f"{name}-{number}") in store.entry()["runs"]:
+            return
+        items = dump_items(files).withColumn("place", F.struct("landed_at", "path", "nth"))
+        good, bad = normalize_listings(items, run_time, towns=towns)
+        ingests.ingest(store, ingests.listing_rows(good, F.col("place")), bad.count(), run, stat_date)
+
+    return job
+
+
 def daily_medians(stream: DataFrame, late: str = "2 days") -> DataFrame:
     """Median price and count of each day; a day closes when the watermark passes it."""
     timed = stream.withWatermark("scraped_at", late)
     return timed.groupBy(F.window("scraped_at", "1 day")).agg(F.percentile("price", 0.5).alias("median_price"), F.count(F.lit(1)).alias("n")).select(F.to_date("window.start").alias("day"), "median_price", "n")
 
 
+def daily_sketches(stream: DataFrame, late: str = "2 days", k: int = sketches.K) -> DataFrame:
+    """(day, n, price_sketch): a day's state is a sketch of its prices and its count, whatever their number; see ``sketches``."""
+    timed = stream.withWatermark("scraped_at", late).filter("price IS NOT NULL")
+    return timed.groupBy(F.window("scraped_at", "1 day")).agg(F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double("price", F.lit(k)).alias("price_sketch")).select(F.to_date("window.start").alias("day"), "n", "price_sketch")
+
+
 def without_repeats(stream: DataFrame, late: str = "2 days") -> DataFrame:
     """Each (source, listing, day, content) once within the watermark."""
     return stream.withWatermark("scraped_at", late).dropDuplicatesWithinWatermark(["source", "listing_id", "day", "content_hash"])
@@ -36,61 +72,139 @@ def _epoch_ms(day: int) -> int:
     return (day + 1) * 86_400_000 + 43_200_000
 
 
-def _changes(hold: bool):
+def _stamps(times: pd.Series) -> pd.Series:
+    """In microseconds: the column's own unit depends on the reader."""
+    return times.astype("datetime64[us]" if times.dt.tz is None else "datetime64[us, UTC]").astype("int64")
+
+
+class _Days:
+    """A listing's state: the last observation of each open day, the last price before them, and the newest closed day."""
+
+    def __init__(self, state: GroupState):
+        self.base, self.closed, *held = state.get if state.exists else (None, None, [], [], [], [])
+        self.open = {d: (at, event, price) for d, at, event, price in zip(*held, strict=True)}
+
+    def take(self, rows: pd.DataFrame) -> tuple[set[int], list[tuple[int, float | None]]]:
+        """Days that got a newer observation, and (day, price) of rows whose day is closed."""
+        touched, late = set(), []
+        price = rows["price"].astype(object).where(rows["price"].notna(), None)
+        for day, at, event, value in zip(rows["day"], _stamps(rows["scraped_at"]), rows["event_id"], price, strict=True):
+            d = (day - _EPOCH).days
+            new = (int(at), int(event), None if value is None else float(value))
+            if self.closed is not None and d <= self.closed:
+                late.append((d, new[2]))
+            elif d not in self.open or new[:2] > self.open[d][:2]:
+                self.open[d] = new
+                touched.add(d)
+        return touched, late
+
+    def changes(self) -> list[tuple[int, float, float]]:
+        """(day, old price, new price) of the open days."""
+        out, old = [], self.base
+        for d in sorted(self.open):
+            price = self.open[d][2]
+            if price is not None:
+                if old is not None and price != old:
+                    out.append((d, old, price))
+                old = price
+        return out
+
+    def close(self, holds) -> None:
+        """Folds the days for which ``holds(day)`` into the price before the open ones."""
+        for d in sorted(d for d in self.open if holds(d)):
+            price = self.open.pop(d)[2]
+            self.base = self.base if price is None else price
+            self.closed = d if self.closed is None else max(d, self.closed)
+
+    def stored(self) -> tuple:
+        left = sorted(self.open)
+        return (self.base, self.closed, left, *[[self.open[d][i] for d in left] for i in range(3)])
+
+
+def _frame(key: tuple, rows: list[tuple], *more: str) -> pd.DataFrame:
+    return pd.DataFrame([(key[0], int(key[1]), _EPOCH + timedelta(days=d), *rest) for d, *rest in rows], columns=["source", "listing_id", "day", "old_price", "new_price", *more])
+
+
+def _changes(hold: bool, keep_days: int):
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        """The state: the last observation of each open day, and the last price before them."""
-        base, *held = state.get if state.exists else (None, [], [], [], [])
-        days = {d: (at, event, price) for d, at, event, price in zip(*held, strict=True)}
-        touched = set()
+        days, touched = _Days(state), set()
         for rows in batches:
-            if rows.empty:  # a timeout
-                continue
-            price = rows["price"].astype(object).where(rows["price"].notna(), None)
-            # In microseconds: the column's own unit depends on the reader.
-            stamps = rows["scraped_at"].astype("datetime64[us]" if rows["scraped_at"].dt.tz is None else "datetime64[us, UTC]").astype("int64")
-            for day, at, event, value in zip(rows["day"], stamps, rows["event_id"], price, strict=True):
-                d = (day - _EPOCH).days
-                new = (int(at), int(event), None if value is None else float(value))
-                if d not in days or new[:2] > days[d][:2]:
-                    days[d] = new
-                    touched.add(d)
-        if hold:
-            now = state.getCurrentWatermarkMs()
-            touched = {d for d in days if _epoch_ms(d) <= now}
-        out, old = [], base
-        for d in sorted(days):
-            price = days[d][2]
-            if price is None:
-                continue
-            if d in touched and old is not None and price != old:
-                out.append((key[0], int(key[1]), _EPOCH + timedelta(days=d), old, price))
-            old = price
-            if hold and d in touched:
-                base = price
+            if not rows.empty:  # else a timeout
+                touched |= days.take(rows)[0]
+        now = state.getCurrentWatermarkMs() if hold else 0
         if hold:
-            days = {d: x for d, x in days.items() if d not in touched}
-        left = sorted(days)
-        state.update((base, left, *[[days[d][i] for d in left] for i in range(3)]))
-        if hold and left:
-            state.setTimeoutTimestamp(max(_epoch_ms(left[0]), now + 1))
-        yield pd.DataFrame(out, columns=["source", "listing_id", "day", "old_price", "new_price"])
+            touched = {d for d in days.open if _epoch_ms(d) <= now}
+        out = [x for x in days.changes() if x[0] in touched]
+        newest = max(days.open, default=0)
+        days.close(lambda d: d in touched if hold else d < newest - keep_days)
+        state.update(days.stored())
+        if hold and days.open:
+            state.setTimeoutTimestamp(max(_epoch_ms(min(days.open)), now + 1))
+        yield _frame(key, out)
 
     return run
 
 
-def price_changes(stream: DataFrame, late: str | None = None) -> DataFrame:
+def price_changes(stream: DataFrame, late: str | None = None, keep_days: int = KEEP_DAYS) -> DataFrame:
     """Changes of a day's last price against the last price strictly before its day, by listing.
 
     With ``late`` (as for a watermark; scraped_at is a timestamp) a day's row waits
     until the watermark has passed the day, so the rows are those of the batch job
     for all that comes in time; what comes later is dropped. Without it, rows come
-    at once and the state keeps a price for each day: a later observation of a day
-    gives a further row, and a late day is compared with the price before it but
-    doesn't revise the rows of days after it.
+    at once: a later observation of a day gives a further row, and a late day is
+    compared with the price before it but doesn't revise the rows of days after it
+    (``revised_changes`` does). The state then holds the ``keep_days`` days behind a
+    listing's newest, and what is older than these is dropped.
     """
     timed = stream.withWatermark("scraped_at", late) if late else stream
     timeout = GroupStateTimeout.EventTimeTimeout if late else GroupStateTimeout.NoTimeout
-    return timed.groupBy("source", "listing_id").applyInPandasWithState(_changes(bool(late)), CHANGES, _STATE, "append", timeout)
+    return timed.groupBy("source", "listing_id").applyInPandasWithState(_changes(bool(late), keep_days), CHANGES, _STATE, "append", timeout)
+
+
+def _revisions(keep_ms: int):
+    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        days, out = _Days(state), []
+        before, now = days.changes(), state.getCurrentWatermarkMs()
+        # Closed by what had landed when the batch began, whether or not the listing's timer has run.
+        over = lambda d: _epoch_ms(d) + keep_ms <= now
+        kept = [x for x in before if not over(x[0])]
+        days.close(over)
+        if now:
+            last = (now - keep_ms - 43_200_000) // 86_400_000 - 1
+            days.closed = last if days.closed is None else max(days.closed, last)
+        for rows in batches:
+            if not rows.empty:
+                out += [(d, None, price, "late") for d, price in days.take(rows)[1]]
+        after = days.changes()
+        out += [(*x, "retract") for x in kept if x not in after] + [(*x, "insert") for x in after if x not in kept]
+        state.update(days.stored())
+        if days.open:
+            state.setTimeoutTimestamp(max(_epoch_ms(min(days.open)) + keep_ms, now + 1))
+        yield _frame(key, out, "op")
+
+    return run
+
+
+def revised_changes(stream: DataFrame, keep_days: int) -> DataFrame:
+    """Price changes at once, with revisions: rows with ``op`` insert or retract, and late observations.
+
+    stream: as for ``price_changes``, and landed_at (a timestamp), the time of
+    arrival, which drives the watermark. A day stays open for ``keep_days`` after its
+    end; an observation of an open day, in whatever order it comes, gives the rows
+    that are new by it and takes back those that no longer hold, on its own day and
+    on the next. A day that is over goes into the price before the open days, by a
+    timer too, so the state of a listing is bounded by the open days. An observation
+    of a day that is over gives a row ``late`` (its price as new_price).
+    """
+    timed = stream.withWatermark("landed_at", "1 second").select("source", "listing_id", "day", "scraped_at", "event_id", "price", "landed_at")
+    return timed.groupBy("source", "listing_id").applyInPandasWithState(_revisions(keep_days * 86_400_000), f"{CHANGES}, op string", _STATE, "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def settled(revisions: DataFrame) -> DataFrame:
+    """The changes that hold after all revisions."""
+    weight = F.when(F.col("op") == "insert", 1).when(F.col("op") == "retract", -1).otherwise(0)
+    names = ["source", "listing_id", "day", "old_price", "new_price"]
+    return revisions.groupBy(*names).agg(F.sum(weight).alias("n")).filter("n > 0").select(*names)
 
 
 def in_time(stream: DataFrame, late_days: int) -> tuple[DataFrame, DataFrame]:
@@ -110,7 +224,7 @@ def _stale(days: int):
             gone = times
         else:
             for rows in batches:
-                times += rows["scraped_at"].astype("datetime64[us]" if rows["scraped_at"].dt.tz is None else "datetime64[us, UTC]").astype("int64").tolist()
+                times += _stamps(rows["scraped_at"]).tolist()
             times.sort()
             gone = [a for a, b in zip(times, times[1:], strict=False) if b - a >= span]
             state.update((times[-1],))

@@ -1,5 +1,7 @@
 """Jobs without SQL: models, counters, stores, limits."""
 
+import math
+import random
 from datetime import datetime
 
 import pytest
@@ -87,12 +89,58 @@ def test_comparables_of_unknown_facts_and_inactive_ones(spark):
     assert got == {3: {1}, 4: {1}, 5: {1}} | {k: v for k, v in got.items() if k in (1, 2, 7)} and got.get(1) is None and got.get(2) is None and got.get(7) is None
 
 
-def test_places_beyond_the_grid_raise(spark):
-    p = spark.createDataFrame([(1, 80.0, 17.0)], "point_id int, lat double, lon double")
+def metres(a, b, c, d):
+    a, b, c, d = map(math.radians, (a, b, c, d))
+    return 2 * 6_371_000 * math.asin(math.sqrt(min(1.0, math.sin((c - a) / 2) ** 2 + math.cos(a) * math.cos(c) * math.sin((d - b) / 2) ** 2)))
+
+
+@pytest.mark.parametrize("radius", [500, 3000, 60_000])
+def test_places_at_the_poles_and_the_date_line(spark, radius):
+    """At 80 degrees, across 180 degrees, round both poles and on the equator, with crowded cells: brute force."""
+    rng, near = random.Random(radius), radius / 111_194.9
+    centres = [(80.0, 179.9999), (-80.0, 20.0), (0.0, -180.0), (48.2, 17.1), (90.0, 0.0), (-89.999, 77.0), (89.99, -120.0), (-16.5, 180.0)]
+
+    def around():
+        lat, lon = rng.choice(centres)
+        lat = max(-90.0, min(90.0, lat + rng.uniform(-1.5, 1.5) * near))
+        lon += rng.uniform(-1.5, 1.5) * near / max(math.cos(math.radians(lat)), 0.001)
+        return lat, (lon + 180) % 360 - 180
+
+    points = [(i, *around()) for i in range(150)] + [(500, None, 1.0), (501, 1.0, None)]
+    held = [(i, rng.choice("ab"), *around()) for i in range(150)] + [(500, "a", None, 1.0)]
+    p = spark.createDataFrame(points, "point_id int, lat double, lon double")
+    s = spark.createDataFrame(held, "place_id int, category string, lat double, lon double")
+    want = sorted((i, j) for i, a, b in points for j, _, c, d in held if None not in (a, b, c, d) and metres(a, b, c, d) <= radius)
+    for cell_points in (10_000, 3):
+        assert sorted((r["point_id"], r["place_id"]) for r in geo.near_places(p, s, radius, cell_points=cell_points).collect()) == want
+    assert len(want) > 300
+
+
+def test_half_of_all_points_in_one_cell(spark):
+    p = spark.createDataFrame([(i, 48.0 + (0.3 if i % 2 else i / 1e7), 17.0) for i in range(2000)], "point_id int, lat double, lon double")
+    s = spark.createDataFrame([(1, "a", "x", 48.0, 17.0), (2, "a", None, 48.0, 17.0), (3, "a", " ", 48.0001, 17.0)], "place_id int, category string, name string, lat double, lon double")
+    got = geo.nearest_place(p, s, 500.0).collect()
+    assert len(got) == 1000 and {(r["place_id"], r["name"]) for r in got} == {(1, "x")}
+    sizes = geo.near_places(p, s, 500.0, cell_points=100).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in sizes) == 3000
+
+
+def test_latitudes_that_do_not_exist_raise(spark):
+    p = spark.createDataFrame([(1, 90.5, 17.0)], "point_id int, lat double, lon double")
     s = spark.createDataFrame([(1, "a", 48.0, 17.0)], "place_id int, category string, lat double, lon double")
-    with pytest.raises(Exception, match="max_lat"):
+    with pytest.raises(Exception, match="no such latitude"):
         geo.near_places(p, s, 500).collect()
-    assert geo.near_places(p, s, 500, max_lat=85.0).count() == 0
+
+
+def test_comparables_of_a_listing_without_a_price(spark):
+    rows = [(1, "d", "c", "buy", 50.0, None), (2, "d", "c", "buy", 50.0, 100.0), (3, "d", "c", "buy", 40.0, 101.0), (4, "d", "c", "buy", 60.0, None)]
+    df = spark.createDataFrame(rows, "id long, district string, category string, deal_type string, area double, price double").withColumn("layout", F.lit("2+kk"))
+    pairs = valuation.comparables(df)
+    assert sorted((r["id"], r["o_id"]) for r in pairs.collect()) == [(1, 2), (1, 3), (2, 3), (3, 2), (4, 2), (4, 3)]
+    got = {r["id"]: r for r in valuation.value_listings(pairs).collect()}
+    # The medians are 100.5 and (2.0 + 2.53) / 2 = 2.265: 100 and 2, so the estimates are 2 x area.
+    assert [(i, got[i]["median_price"], got[i]["median_sqm"], got[i]["estimate"], got[i]["difference"], got[i]["label"]) for i in (1, 4)] == [(1, 100.0, 2.0, 100.0, None, None), (4, 100.0, 2.0, 120.0, None, None)]
+    assert (got[2]["estimate"], got[2]["difference"], got[2]["difference_pct"], got[2]["label"]) == (150.0, -50.0, -33.3, "undervalued")
 
 
 def test_partitions_that_no_update_names_stay(spark, folder):

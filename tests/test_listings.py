@@ -113,8 +113,8 @@ def test_near_places_is_brute_force(spark):
     p = spark.createDataFrame(pts, "point_id int, lat double, lon double")
     s = spark.createDataFrame(pois, "place_id int, category string, lat double, lon double")
     want = {(i, j) for i, a, b in pts for j, _, c, d in pois if metres(a, b, c, d) <= 2000}
-    for salts in (1, 3):
-        got = [(r["point_id"], r["place_id"]) for r in geo.near_places(p, s, 2000, salts=salts).collect()]
+    for parts in (1000, 5):
+        got = [(r["point_id"], r["place_id"]) for r in geo.near_places(p, s, 2000, cell_points=parts).collect()]
         assert len(got) == len(set(got)) and set(got) == want
 
 
@@ -232,4 +232,4 @@ def test_report_parts(spark):
     ordered = search.in_given_order(spark.range(5), [3, 9, 1, 3]).collect()
     assert [r["id"] for r in ordered] == [3, 1]
     merged = merge.merge_by_key(spark.createDataFrame([(1, "a")], "k int, v string"), spark.createDataFrame([(1, "b"), (2, "c")], "k int, v string"), ["k"])
-    assert tuple(merge.ingest_summary(merged, 1, 0).first()) == (1, 1, 1, 0, "succeeded")
+    assert tuple(merge.run_summary(merged, spark.range(1), spark.range(0)).first()) == (1, 1, 1, 0, "succeeded")
