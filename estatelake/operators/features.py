@@ -16,6 +16,8 @@ from estatelake.sources.shared import keep
 CATEGORICAL = ["source", "deal_type", "category", "locality", "district", "layout"]
 NUMERIC = ["layout_code", "area", "land_area", "lat", "lon", "n", "median_price", "median_sqm"]
 PHOTO = ["photo_image_quality", "photo_brightness", "photo_sharpness"]
+#: What a request may leave to the market.
+MARKET = ["n", "median_price", "median_sqm"]
 #: Rows of a partition in training, about.
 PARTITION_ROWS = 50_000
 #: The order of layouts by rooms.
@@ -74,12 +76,18 @@ def build_features(snapshots: DataFrame, stats: DataFrame, target: str) -> DataF
     return rows.join(stats.select(*keys, "n", "median_price", "median_sqm"), keys, "left")
 
 
-def train(frame: DataFrame, seed: int = 42, rounds: int = 200, depth: int = 5, photos: bool = False) -> tuple[PipelineModel, dict[str, float]]:
+def metrics(scored: DataFrame, target: str = "target", prediction: str = "prediction") -> dict[str, float]:
+    """mae, rmse and r2 of predictions on the price scale; rows without either don't count."""
+    known = scored.select(F.col(target).cast("double").alias("target"), F.col(prediction).cast("double").alias("prediction")).na.drop()
+    return {m: RegressionEvaluator(labelCol="target", metricName=m).evaluate(known) for m in ("mae", "rmse", "r2")}
+
+
+def train(frame: DataFrame, seed: int = 42, rounds: int = 200, depth: int = 5, photos: bool = False, sample: float = 0.9) -> tuple[PipelineModel, dict[str, float]]:
     """Boosted trees on log1p(target); at least 5 rows, a fifth held out from 20 rows on; metrics on the price scale.
 
     Categories are numbers in their alphabetic order, unknown ones -1, so their
     number is no limit; missing numbers are the median. photos: the model reads
-    the photo columns too. A column without a value is left out.
+    the photo columns too. sample: share of the rows that a tree sees. A column without a value is left out.
     """
     rows = frame.filter(F.col("target").isNotNull())
     numbers = [c for c in [*NUMERIC, *PHOTO * photos] if c in frame.columns]
@@ -95,13 +103,12 @@ def train(frame: DataFrame, seed: int = 42, rounds: int = 200, depth: int = 5, p
     # A new column, without what says that it holds categories: trees then split it as a number.
     order = [f"CASE WHEN {c}_index < {len(labels)} THEN {c}_index ELSE -1D END AS {c}_order" for c, labels in zip(names, indexer.labelsArray, strict=True)]
     steps = [indexer, SQLTransformer(statement=f"SELECT *, {', '.join(order)} FROM __THIS__")]
-    for stage in (Imputer(strategy="median", inputCols=numbers, outputCols=[f"{c}_filled" for c in numbers]), VectorAssembler(inputCols=[*[f"{c}_order" for c in names], *[f"{c}_filled" for c in numbers]], outputCol="features"), GBTRegressor(labelCol="log_target", maxIter=rounds, maxDepth=depth, stepSize=0.1, subsamplingRate=0.9, seed=seed)):
+    for stage in (Imputer(strategy="median", inputCols=numbers, outputCols=[f"{c}_filled" for c in numbers]), VectorAssembler(inputCols=[*[f"{c}_order" for c in names], *[f"{c}_filled" for c in numbers]], outputCol="features"), GBTRegressor(labelCol="log_target", maxIter=rounds, maxDepth=depth, stepSize=0.1, subsamplingRate=sample, seed=seed)):
         ready = PipelineModel(steps).transform(fit)
         steps.append(stage.fit(ready) if hasattr(stage, "fit") else stage)
     model = PipelineModel(steps)
     scored = model.transform(held).withColumn("prediction", F.expm1("prediction"))
-    metrics = {m: RegressionEvaluator(labelCol="target", metricName=m).evaluate(scored) for m in ("mae", "rmse", "r2")}
-    return model, metrics
+    return model, metrics(scored)
 
 
 def score(model: PipelineModel | None, requests: DataFrame, target: str = "sale_price_per_sqm") -> DataFrame:
@@ -118,6 +125,25 @@ def score(model: PipelineModel | None, requests: DataFrame, target: str = "sale_
     return out.select(*requests.columns, shown.alias("predicted"))
 
 
+def with_market(requests: DataFrame, target: str, stats: DataFrame, listings: DataFrame) -> DataFrame:
+    """Requests of the target's deal type with the market's n, median_price and median_sqm, and ``context``.
+
+    A request that gives none of the three gets them from ``market.request_context``
+    (its district, or its locality where it names none); one that gives any keeps
+    its own, and its context is null.
+    """
+    from estatelake.operators.market import request_context
+
+    kind, _ = target_value(target)
+    given = requests.withColumn("deal_type", F.lit(kind)).withColumns({c: F.lit(None).cast("double") for c in MARKET if c not in requests.columns})
+    own = F.coalesce(*MARKET).isNotNull()
+    rest = [c for c in given.columns if c not in (*MARKET, "district")]
+    asked = given.select(*rest, F.col("district").alias("_district"), F.struct(*MARKET).alias("_given"), own.alias("_own"), F.coalesce("district", "locality").alias("district"))
+    met = request_context(asked, stats, listings)
+    filled = [F.when(F.col("_own"), F.col("_given")[c].cast("double")).otherwise(F.col(f"market_{c}").cast("double")).alias(c) for c in MARKET]
+    return met.select(*rest, F.col("_district").alias("district"), *filled, F.when(~F.col("_own"), F.col("context")).alias("context"))
+
+
 def prediction_log(scored: DataFrame, model_name: str, target: str, now) -> DataFrame:
     """What the log gets for scored requests: the request, the prediction as price or price per m2, the model and the time."""
     per = target.endswith("per_sqm")

@@ -32,12 +32,6 @@ def merge_scores(scores: DataFrame, results: DataFrame, now) -> DataFrame:
     return met.select(F.coalesce("s.id", "r.id").alias("id"), *take, failed.alias("failed_at"))
 
 
-def photo_facts(mock: F.Column, quality: F.Column) -> F.Column:
-    """A metric on a scale of 0 to 100 (from 0-1, 0-10 or 0-100); null for mock rows."""
-    scaled = F.when(quality <= 1, quality * 100).when(quality <= 10, quality * 10).otherwise(quality)
-    return F.when(~F.coalesce(mock, F.lit(False)) & quality.isNotNull(), F.greatest(F.lit(0), F.least(F.lit(100), F.round(scaled, 0).cast("int"))))
-
-
 def to_100(score: F.Column) -> F.Column:
     """A score on a scale of 0 to 100, whole; up to 1 it is a share, up to 10 a mark."""
     scaled = F.when(score <= 1, score * 100).when(score <= 10, score * 10).otherwise(score)

@@ -75,8 +75,8 @@ def property_block(rows: DataFrame, options: Options) -> Column:
 
 
 def days_on_market(until: Column) -> Column:
-    """Whole days since a listing was first seen."""
-    return F.greatest(F.floor((F.unix_micros(until.cast("timestamp")) - F.unix_micros(F.col("first_seen_at").cast("timestamp"))) / 86_400_000_000), F.lit(0)).cast("long")
+    """Whole days since a listing was first seen; null if that is unknown."""
+    return F.when(F.col("first_seen_at").isNotNull(), F.greatest(F.floor((F.unix_micros(until.cast("timestamp")) - F.unix_micros(F.col("first_seen_at").cast("timestamp"))) / 86_400_000_000), F.lit(0))).cast("long")
 
 
 def explanation(difference_pct: Column, sqm: Column, median_sqm: Column, wide: Column) -> Column:

@@ -11,7 +11,14 @@ DEALS = {"buy": (("buy", "sale"), ("prodej", "predaj")), "rent": (("rent",), ("p
 DEALS["sale"] = DEALS["buy"]
 
 
-def page(df: DataFrame, order: list, limit: int = 50, offset: int = 0) -> DataFrame:
+#: Rows of a page at most: of listings, drops and raw items, and of users.
+MOST_ROWS, MOST_USERS = 500, 200
+
+
+def page(df: DataFrame, order: list, limit: int = 50, offset: int = 0, most: int = MOST_ROWS) -> DataFrame:
+    """A page of 1 to ``most`` rows; other sizes raise."""
+    if not 1 <= limit <= most or offset < 0:
+        raise ValueError(f"a page has 1 to {most} rows from 0 on, not {limit} from {offset} on")
     return df.orderBy(*order).offset(offset).limit(limit)
 
 
@@ -108,6 +115,7 @@ def user_directory(users: DataFrame, subscriptions: DataFrame, key: str, q: str
     """Users with their subscription, if any; q is searched in the name, and the e-mail if there is one, regardless of case.
 
     ``total`` counts what is found on all pages. ``newest``: columns to order by, each descending; a page needs them.
+    A page's size is brought into 1 to MOST_USERS.
     """
     found = users
     if q:
@@ -118,8 +126,8 @@ def user_directory(users: DataFrame, subscriptions: DataFrame, key: str, q: str
     if limit is not None or offset:
         if not order:
             raise ValueError("a page needs an order")
-        found = found.orderBy(*order).offset(offset)
-        found = found if limit is None else found.limit(limit)
+        found = found.orderBy(*order).offset(max(offset, 0))
+        found = found if limit is None else found.limit(max(1, min(limit, MOST_USERS)))
     out = found.join(subscriptions, key, "left").crossJoin(F.broadcast(total))
     return out.orderBy(*order) if order else out
 
@@ -181,11 +189,6 @@ def saved_listings(saved: DataFrame, listings: DataFrame, user) -> DataFrame:
     return listings.join(own, "id").orderBy(F.desc("saved_at"), F.desc("id"))
 
 
-def with_total(df: DataFrame) -> int:
-    """The total for a page's footer."""
-    return df.count()
-
-
 def in_given_order(df: DataFrame, ids: list[int], most: int = 20, subject: int | None = None) -> DataFrame:
     """The rows of a list of ids in its order; the subject, unknown ids and repeats drop out. The list is a request's, so it is short."""
     spark = df.sparkSession
@@ -193,10 +196,6 @@ def in_given_order(df: DataFrame, ids: list[int], most: int = 20, subject: int |
     return df.join(F.broadcast(wanted), "id").orderBy("nth").limit(most)
 
 
-def public_user(users: DataFrame) -> DataFrame:
-    """Facts of users that may be shown: whether there is a password or a linked account, never which."""
-    return users.select("id", "email", "name", F.col("password_hash").isNotNull().alias("has_password"), F.col("google_sub").isNotNull().alias("has_google"), "plan", "status")
-
 
 def picked_lists(picks: DataFrame, listings: DataFrame, most: int = 20) -> DataFrame:
     """picks: (subject, ids), a list for each subject. (subject, nth, id, ...) of its first ``most`` others, in the list's order; unknown ids drop out."""

@@ -183,13 +183,6 @@ def widened(pairs: DataFrame, wide: DataFrame, floor: int = 60, min_strong: int
     return pairs.withColumn("widened", F.lit(False)).unionByName(weak.join(pairs.select("id", "o_id"), ["id", "o_id"], "left_anti").withColumn("widened", F.lit(True)))
 
 
-def photo_context(best: DataFrame, scores: DataFrame, metrics: list[str]) -> DataFrame:
-    """A listing's photo metrics beside the means over its comparables; mock rows don't count."""
-    real = scores.filter(~F.coalesce("mock", F.lit(False)))
-    means = best.join(real, best["o_id"] == real["id"]).groupBy(best["id"]).agg(*[F.avg(m).alias(f"mean_{m}") for m in metrics], F.count(F.lit(1)).alias("n_scored"))
-    return real.select("id", *metrics).join(means, "id", "left")
-
-
 def index_source(external: DataFrame, own: DataFrame, market: DataFrame, least: int = 3) -> DataFrame:
     """Series of (district, period, value): the external one if it has ``least`` points, else the district's own, else the market's; ``kind`` says which."""
     every = external.withColumn("kind", F.lit(0)).unionByName(own.withColumn("kind", F.lit(1))).unionByName(market.withColumn("kind", F.lit(2)))

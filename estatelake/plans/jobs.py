@@ -410,14 +410,14 @@ ft AS (SELECT sn.event_id AS snapshot_id, sn.source, sn.listing_id, sn.day, sn.d
   FROM sn JOIN li USING (source, listing_id) LEFT JOIN st ON st.stat_date = sn.day AND st.source = sn.source AND st.deal_type = coalesce(sn.deal_type, '') AND st.category = coalesce(sn.category, '') AND st.locality = coalesce(sn.locality, '') AND st.layout = coalesce(sn.layout, '') WHERE sn.deal_type = 'buy' AND sn.price IS NOT NULL)"""
 
 
-def _feature_table(spark, sf):
+def _feature_table(spark, sf, target="sale_price_per_sqm"):
     snaps = snapshots(spark, sf).withColumn("snapshot_id", F.col("event_id")).withColumn("land_area", F.lit(None).cast("double"))
     day = snaps.drop("active").withColumn("stat_date", F.col("day").cast("string"))
     stats = market.market_statistics(day, ["stat_date", *market.DAILY]).withColumn("stat_date", F.col("stat_date").cast("date"))
     i = F.col("listing_id")
     scores = listings(spark, sf).filter("listing_id % 2 = 0").select("source", "listing_id", ((i % 10) / 10).alias("image_quality"), F.lit(0.5).alias("brightness"), F.lit(None).cast("double").alias("sharpness"))
     homes = listings(spark, sf).withColumns({"lat": F.lit(48.5), "lon": F.lit(None).cast("double")})
-    return features.feature_table(snaps, homes, stats, scores, "sale_price_per_sqm")
+    return features.feature_table(snaps, homes, stats, scores, target)
 
 
 @query("j3_feature_table", f"WITH {_FEATURES} SELECT * FROM ft")
@@ -425,9 +425,43 @@ def _(spark, sf):
     return _feature_table(spark, sf).withColumns({c: F.col(c).cast("double") for c in ("layout_code", "n")})
 
 
-@query("m2_training_frame", f"WITH {_FEATURES} SELECT snapshot_id, target FROM ft WHERE target IS NOT NULL ORDER BY snapshot_id LIMIT 500")
+@query("m2_training_frame", f"WITH {_FEATURES} SELECT snapshot_id, target FROM ft WHERE target IS NOT NULL")
 def _(spark, sf):
-    return features.training_frame(_feature_table(spark, sf)).select("snapshot_id", "target").limit(500)
+    return features.training_frame(_feature_table(spark, sf)).select("snapshot_id", "target")
+
+
+@query("a11_model_metrics", f"WITH {_FEATURES}, p AS (SELECT target AS y, quantile_cont(target, 0.5) OVER (PARTITION BY day) AS p FROM ft WHERE target IS NOT NULL), m AS (SELECT avg(y) AS mean FROM p) SELECT round(avg(abs(y - p)), 6) AS mae, round(sqrt(avg((y - p) * (y - p))), 6) AS rmse, round(1 - sum((y - p) * (y - p)) / sum((y - mean) * (y - mean)), 6) AS r2 FROM p, m")
+def _(spark, sf):
+    """How well the day's median tells a listing's price per m2: what a model has to beat."""
+    rows = _feature_table(spark, sf).filter("target IS NOT NULL").select("day", "target")
+    medians = rows.groupBy("day").agg(F.percentile("target", 0.5).alias("median"))
+    got = features.metrics(rows.join(medians, "day"), "target", "median")
+    return spark.createDataFrame([tuple(round(got[m], 6) for m in ("mae", "rmse", "r2"))], "mae double, rmse double, r2 double")
+
+
+@query("m5_market_of_requests", f"""WITH {LI}, {DAILY}, {_MEDIANS}, rq AS (SELECT id, locality, layout, district, category, CAST(CASE WHEN listing_id % 4 = 0 THEN 7 END AS DOUBLE) AS n FROM li WHERE listing_id % 3 > 0), x AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY deal_type, category, locality, layout ORDER BY stat_date DESC, n DESC, median_price DESC, source DESC) AS nth FROM daily WHERE deal_type = 'buy') WHERE nth = 1)
+SELECT id, CASE WHEN rq.n IS NULL THEN CAST(coalesce(x.n, f.n, c.n) AS DOUBLE) ELSE rq.n END AS n, CASE WHEN rq.n IS NULL THEN coalesce(x.median_price, f.median_price, c.median_price) END AS median_price, CASE WHEN rq.n IS NULL THEN CASE WHEN x.n IS NOT NULL THEN 'exact' WHEN f.n IS NOT NULL THEN 'district_layout' WHEN c.n IS NOT NULL THEN 'district' END END AS context
+FROM rq LEFT JOIN x ON x.category = coalesce(rq.category, '') AND x.locality = coalesce(rq.locality, '') AND x.layout = coalesce(rq.layout, '') LEFT JOIN dm f ON f.deal_type = 'buy' AND f.category = rq.category AND f.district = rq.district AND f.layout = rq.layout LEFT JOIN dm c ON c.deal_type = 'buy' AND c.category = rq.category AND c.district = rq.district AND c.layout IS NULL""")
+def _(spark, sf):
+    """Requests to value; one in four gives a number of listings of its own."""
+    asked = _requests(spark, sf).withColumn("n", F.when(F.col("listing_id") % 4 == 0, F.lit(7.0)))
+    return features.with_market(asked, "sale_price", daily(spark, sf), listings(spark, sf)).select("id", "n", "median_price", "context")
+
+
+def _requests(spark, sf):
+    return listings(spark, sf).filter("listing_id % 3 > 0").select("id", "source", "listing_id", "category", "locality", "district", "layout", "area")
+
+
+@query("m3_train_and_score")
+def _(spark, sf):
+    """Trained on the feature table, requests filled from the market and scored, the log appended to and read back."""
+    model, _ = features.train(_feature_table(spark, sf, "sale_price"))
+    asked = features.with_market(_requests(spark, sf), "sale_price", daily(spark, sf), listings(spark, sf))
+    path = scratch(spark, "predictions")
+    features.prediction_log(features.score(model, asked, "sale_price"), "boosted", "sale_price", NOW).write.mode("append").parquet(path)
+    log = spark.read.parquet(path)
+    given = F.from_json("request", "id long, listing_id long, context string")
+    return log.select(given["id"].alias("id"), given["listing_id"].alias("listing_id"), given["context"].alias("context"), "model", "target", "predicted_price")
 
 
 @query("m6_prediction_log", f"""WITH {LI} SELECT 'm' AS model, 'sale_price' AS target, '{{"id":' || id || ',"area":' || area || '}}' AS request, CAST(area * 10 AS BIGINT) AS predicted_price, CAST(NULL AS DOUBLE) AS predicted_per_sqm, TIMESTAMP '2024-01-30 00:00:00' AS predicted_at FROM li""")

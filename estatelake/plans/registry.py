@@ -306,15 +306,6 @@ def _(spark, sf):
     return build_features(_snaps(spark, sf), market.market_statistics(_current(spark, sf)), "sale_price")
 
 
-@query("m3_train_and_score")
-def _(spark, sf):
-    from estatelake.operators.features import build_features, score, train
-
-    frame = build_features(_snaps(spark, sf), market.market_statistics(_current(spark, sf)), "sale_price")
-    model, _ = train(frame)
-    return score(model, frame).select("source", "listing_id", "day", "target", "predicted")
-
-
 @query("p5_listing_projection", f"WITH {CURRENT} SELECT CAST(event_id AS VARCHAR) AS id, CASE WHEN deal_type = 'rent' THEN 'rent' ELSE 'sale' END AS dealType, category, district, region, price, CASE WHEN area % 2 = 0 THEN 48.5 ELSE 48.0 END AS lat, CASE WHEN area % 2 = 0 THEN 17.5 ELSE 17.0 END AS lon, CASE WHEN area % 2 = 0 THEN 'street' ELSE 'town' END AS geoPrecision FROM cur")
 def _(spark, sf):
     hit = F.col("area") % 2 == 0

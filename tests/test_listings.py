@@ -226,9 +226,6 @@ def test_report_parts(spark):
     assert tuple(valuation.property_facts(listings, datetime(2026, 1, 11)).first()) == (1, ["card", "a"], 10, "sale")
     counts = spark.createDataFrame([(3, None)], "a int, b int")
     assert [x["label"] for x in counts.select(valuation.location_facts(["a", "b"])).first()[0]] == ["a"]
-    scores = spark.createDataFrame([(1, 50.0, False), (2, 70.0, False), (3, 90.0, True)], "id long, q double, mock boolean")
-    best = spark.createDataFrame([(1, 2), (1, 3)], "id long, o_id long")
-    assert {r["id"]: (r["q"], r["mean_q"]) for r in valuation.photo_context(best, scores, ["q"]).collect()} == {1: (50.0, 70.0), 2: (70.0, None)}
     ordered = search.in_given_order(spark.range(5), [3, 9, 1, 3]).collect()
     assert [r["id"] for r in ordered] == [3, 1]
     merged = merge.merge_by_key(spark.createDataFrame([(1, "a")], "k int, v string"), spark.createDataFrame([(1, "b"), (2, "c")], "k int, v string"), ["k"])
