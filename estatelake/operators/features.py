@@ -112,13 +112,16 @@ def train(frame: DataFrame, seed: int = 42, rounds: int = 200, depth: int = 5, p
 
 
 def score(model: PipelineModel | None, requests: DataFrame, target: str = "sale_price_per_sqm") -> DataFrame:
-    """Requests with ``predicted``, on the price scale: whole for a price, two digits for a price per m2. A missing layout code comes from the layout."""
+    """Requests with ``predicted``, on the price scale: whole for a price, two digits for a price per m2. A missing layout code comes from the layout; columns that requests lack are unknown."""
     if model is None:
         raise ValueError(f"no model for {target}")
     asked = requests
     if "layout" in asked.columns:
         given = F.col("layout_code") if "layout_code" in asked.columns else F.lit(None).cast("int")
         asked = asked.withColumn("layout_code", F.coalesce(given, layout_code(F.col("layout"))))
+    inputs = model.stages[3].getInputCols()
+    lacking = {c.removesuffix("_order"): "string" for c in inputs if c.endswith("_order")} | {c.removesuffix("_filled"): "double" for c in inputs if c.endswith("_filled")}
+    asked = asked.withColumns({c: F.lit(None).cast(kind) for c, kind in lacking.items() if c not in asked.columns})
     out = model.transform(asked.withColumns({c: F.col(c).cast("double") for c in [*NUMERIC, *PHOTO] if c in asked.columns}))
     value = F.expm1("prediction")
     shown = F.round(value, 2) if target.endswith("per_sqm") else F.bround(value, 0).cast("long")
