@@ -121,7 +121,7 @@ def normalize_listings(raw: DataFrame, run_time: datetime, raw_col: str = "raw",
     # Each item is parsed once; what is nested stays text. Blank is missing.
     g = lambda name: F.nullif(F.col("_item")[name], F.lit(""))
     inner = lambda name, path: F.nullif(F.get_json_object(F.col("_item")[name], f"$.{path}"), F.lit(""))
-    has = lambda key: F.array_contains(F.json_object_keys(raw_col), key)
+    has = lambda key: F.array_contains(F.col("_keys"), key)
     url = g("url")
     source = F.when(F.lower(url).contains("reality.bazos.sk"), "bazos").when(F.lower(g("source")) == "bezrealitky", "bezrealitky").when(g("listingId").isNotNull(), "sreality").when(url.contains("bezrealitky.cz"), "bezrealitky")
     rich = F.coalesce(has("estateType") | has("disposition") | has("coordinates"), F.lit(False))
@@ -131,7 +131,9 @@ def normalize_listings(raw: DataFrame, run_time: datetime, raw_col: str = "raw",
     linked = lambda path: F.transform(F.from_json(g(path), "array<string>"), lambda x: F.when(x.startswith("{"), F.get_json_object(x, "$.url")).otherwise(x))
     url_id = F.nullif(F.regexp_extract(url, r"/(\d+)-", 1), F.lit(""))
     run = F.lit(run_time).cast("timestamp")
-    df = raw.withColumn("_item", F.from_json(raw_col, ", ".join(f"{x} string" for x in FIELDS))).withColumn("source", source).withColumn("_shape", shape)
+    # A generator's row is computed once: the filters at the end would else move below and parse the item anew for each field that they look at.
+    parsed = F.struct(F.from_json(raw_col, ", ".join(f"{x} string" for x in FIELDS)).alias("_item"), F.json_object_keys(raw_col).alias("_keys"))
+    df = raw.select("*", F.inline(F.array(parsed))).withColumn("source", source).withColumn("_shape", shape)
     df = df.withColumn("price", by(sreality=whole(g("price")), bezrealitky=whole(g("price")), rich=whole(g("price")), bazos=price_in_text(g("priceRaw"))))
     df = df.withColumn("floor_area", by(sreality=number(g("areaSqm")), bezrealitky=number(g("floorArea")), rich=F.nullif(number(g("surface")), F.lit(0.0)), bazos=area_in_text(g("content"))))
     locality = by(sreality=g("locality"), bezrealitky=F.coalesce(g("locality"), g("name")), rich=prague(g("address")), bazos=g("locationName"))

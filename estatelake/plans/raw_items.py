@@ -15,7 +15,7 @@ from estatelake.operators import normalize
 from estatelake.plans.domain import places, table
 from estatelake.plans.registry import query
 from estatelake.sources import io
-from estatelake.sources.shared import scratch
+from estatelake.sources.shared import keep, scratch
 
 RUN = datetime(2026, 6, 19, 6, tzinfo=UTC)
 #: Values of the fields; the number says how fast they change with the event.
@@ -36,7 +36,8 @@ def _pick(name):
 
 def raw_items(spark, sf):
     """(event_id, raw)"""
-    e = table(spark, sf, "events").select("event_id")
+    # Items are much larger than their numbers: a file's few row groups would be as few tasks.
+    e = table(spark, sf, "events").select("event_id").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     n, id_ = F.floor(F.col("event_id") / 6), F.col("event_id").cast("string")
     link = F.concat(F.lit("https://www.bezrealitky.cz/"), _pick("segment"), id_, _pick("slug"))
     item = lambda **fields: F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()]))
@@ -139,7 +140,7 @@ def _(spark, sf):
     """The raw log after two runs over the same items: rows are only ever added."""
     good, _ = normalized(spark, sf)
     path = scratch(spark, "raw-log")
-    rows = io.raw_rows(good, "r1")
+    rows = keep(io.raw_rows(good, "r1"), "raw-rows")
     io.append_raw(rows, path)
     io.append_raw(rows, path)
     log = spark.read.parquet(path)
