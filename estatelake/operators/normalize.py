@@ -31,6 +31,10 @@ TEXT_CATEGORIES = [
 FIELDS = ["url", "source", "listingId", "id", "dealType", "propertyType", "title", "locality", "city", "district", "rooms", "areaSqm", "latitude", "longitude", "price", "currency", "images", "scrapedAt", "category", "name", "pricePerSqm", "layout", "floorArea", "landArea", "lat", "lon", "imageUrl", "estateType", "offerType", "disposition", "address", "surface", "surfaceLand", "coordinates", "mainImage", "publicImages", "priceRaw", "content", "locationName"]
 
 
+#: Of a normalised item: a source claims it, and it has an id.
+GOOD = "source IS NOT NULL AND source_listing_id IS NOT NULL"
+
+
 def category_of(value: F.Column) -> F.Column:
     key = F.lower(F.trim(value))
     table = F.create_map(*[F.lit(x) for pair in CATEGORIES.items() for x in pair])
@@ -117,6 +121,12 @@ def normalize_listings(raw: DataFrame, run_time: datetime, raw_col: str = "raw",
     towns: (town, district, region, lat, lon): the town of a classified advert
     gives its district and its point.
     """
+    out = normalized_items(raw, run_time, raw_col, towns)
+    return out.filter(GOOD), out.filter(f"NOT ({GOOD})").select(*raw.columns, F.when(F.col("source").isNull(), "unknown source").otherwise("no id").alias("reason"))
+
+
+def normalized_items(raw: DataFrame, run_time: datetime, raw_col: str = "raw", towns: DataFrame | None = None) -> DataFrame:
+    """A row for each item as ``normalize_listings`` has it; those for which ``GOOD`` doesn't hold belong to quarantine."""
     none = F.lit(None).cast("string")
     # Each item is parsed once; what is nested stays text. Blank is missing.
     g = lambda name: F.nullif(F.col("_item")[name], F.lit(""))
@@ -147,7 +157,7 @@ def normalize_listings(raw: DataFrame, run_time: datetime, raw_col: str = "raw",
         df = with_region(df, towns, "locality")
     zero = lambda c: F.nullif(c, F.lit(0.0))
     kind = by(sreality=g("propertyType"), bezrealitky=g("category"), rich=g("estateType"))
-    out = df.select(
+    return df.select(
         *raw.columns, "source", by(sreality=g("listingId"), bezrealitky=F.coalesce(url_id, g("id")), rich=F.coalesce(url_id, g("id")), bazos=g("id")).alias("source_listing_id"), by(sreality=url, bezrealitky=repaired_url(url), rich=repaired_url(url), bazos=url).alias("url"),
         F.coalesce(stated, F.lit("buy")).alias("deal_type"), stated.isNull().alias("deal_type_inferred"), F.coalesce(by(bazos=category_in_text(g("title"), g("content"))), category_of(kind)).alias("category"), kind.alias("source_category"),
         by(sreality=g("title"), bezrealitky=g("name"), rich=F.col("locality"), bazos=g("title")).alias("name"), "locality", by(sreality=g("city"), bazos=F.col("locality")).alias("city"),
@@ -159,8 +169,6 @@ def normalize_listings(raw: DataFrame, run_time: datetime, raw_col: str = "raw",
         F.coalesce(by(bezrealitky=F.nullif(number(g("pricePerSqm")), F.lit(0.0))), per_sqm(F.col("price"), F.col("floor_area"))).alias("price_per_sqm"),
         by(sreality=F.coalesce(F.try_to_timestamp(g("scrapedAt")), run), bezrealitky=run, rich=F.coalesce(F.try_to_timestamp(g("scrapedAt")), run), bazos=run).alias("scraped_at"), content_hash(F.col(raw_col)).alias("content_hash"),
     )
-    good = F.col("source").isNotNull() & F.col("source_listing_id").isNotNull()
-    return out.filter(good), out.filter(~good).select(*raw.columns, F.when(F.col("source").isNull(), "unknown source").otherwise("no id").alias("reason"))
 
 
 def repaired_url(url: F.Column, host: str = "bezrealitky.cz", segment: str = "/nemovitosti-byty-domy/") -> F.Column:

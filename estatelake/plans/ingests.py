@@ -92,6 +92,8 @@ def _(spark, sf):
 
 #: Items of a dump, as a scraper's run has.
 ITEMS = 500
+#: Dumps of a directory: each has to be listed by the stream at every start. File names number them with three digits.
+SHELF = 100
 LANDED = f"it AS (SELECT 'sreality' AS source, CAST(user_id AS VARCHAR) AS listing_id, event_id % 3 AS step, event_id, ts AS scraped_at, CAST(ts AS DATE) AS day, CAST(CAST(trunc(value) AS BIGINT) AS DOUBLE) AS price FROM events WHERE event_id % 50 <> 0), {_steps(3)}"
 
 
@@ -101,8 +103,10 @@ def land(spark, sf, folder: str, step: int) -> None:
     at = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     shown = F.to_json(F.struct(F.when(F.col("event_id") % 50 != 0, i).alias("listingId"), F.lit("https://www.sreality.cz/d/x").alias("url"), F.when(i % 3 == 0, "rent").otherwise("buy").alias("dealType"), F.lit("byty").alias("propertyType"), F.concat(F.lit("T"), i).alias("title"), F.col("n_name").alias("district"), F.lit("2+kk").alias("rooms"), F.get_json_object("props", "$.k").alias("areaSqm"), F.col("value").cast("string").alias("price"), at.alias("scrapedAt")))
     e = table(spark, sf, "events").filter(F.col("event_id") % 3 == step).join(F.broadcast(places(spark, sf).select(F.col("place_no"), F.col("district").alias("n_name"))), i % 25 == F.col("place_no"))
-    dumps = e.groupBy(F.format_string("%09d", F.floor(F.col("event_id") / ITEMS)).alias("no")).agg(F.array_sort(F.collect_list(F.struct("event_id", shown.alias("item")))).alias("d"))
-    dumps.select("no", F.concat(F.lit("["), F.array_join("d.item", ","), F.lit("]")).alias("value")).write.mode("append").partitionBy("no").text(f"{folder}/step={step}")
+    dumps = e.groupBy(F.floor(F.col("event_id") / ITEMS).alias("no")).agg(F.array_sort(F.collect_list(F.struct("event_id", shown.alias("item")))).alias("d"))
+    shelved = dumps.select("no", F.format_string("%09d", F.floor(F.col("no") / SHELF)).alias("shelf"), F.concat(F.lit("["), F.array_join("d.item", ","), F.lit("]")).alias("value"))
+    # A shelf is written by one task, so its files' names are in the order of dumps.
+    shelved.repartition("shelf").sortWithinPartitions("shelf", "no").drop("no").write.mode("append").option("maxRecordsPerFile", 1).partitionBy("shelf").text(f"{folder}/step={step}")
 
 
 def streamed_dumps(spark, sf, repeat: int = 1) -> VersionedTables:

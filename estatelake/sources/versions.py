@@ -53,7 +53,11 @@ class VersionedTables:
     def read(self, table: str, schema: StructType, only: list[str] | None = None, number: int | None = None) -> DataFrame:
         """A table's rows; with ``only``, those of these partition values, and no other file is read."""
         held = self.entry(number)["tables"].get(table, {})
-        paths = [p for value, p in sorted(held.items()) if only is None or value in only]
+        return self.rows({value: p for value, p in held.items() if only is None or value in only}, schema)
+
+    def rows(self, held: dict[str, str], schema: StructType) -> DataFrame:
+        """The rows of an entry's directories, or of what ``write`` returned."""
+        paths = [p for _, p in sorted(held.items())]
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     def values(self, table: str) -> list[str]:

@@ -8,13 +8,13 @@ from itertools import repeat
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from estatelake.operators import ingest as ingests
 from estatelake.operators import sketches
-from estatelake.operators.normalize import normalize_listings
+from estatelake.operators.normalize import normalized_items
 from estatelake.sources.io import dump_files, dump_items
 
 CHANGES = "source string, listing_id long, day date, old_price double, new_price double"
@@ -48,8 +48,11 @@ def ingest_batch(store, run_time, stat_date, name: str = "stream", towns: DataFr
         if (run := f"{name}-{number}") in store.entry()["runs"]:
             return
         items = dump_items(files).withColumn("place", F.struct("landed_at", "path", "nth"))
-        good, bad = normalize_listings(items, run_time, towns=towns)
-        ingests.ingest(store, ingests.listing_rows(good, F.col("place")), bad.count(), run, stat_date)
+        # Items are parsed once: those of the quarantine are counted on the way to the raw log.
+        seen = Observation(run)
+        rows = ingests.listing_rows(normalized_items(items, run_time, towns=towns), F.col("place"))
+        bad = F.col("source").isNull() | F.col("listing_id").isNull()
+        ingests.ingest(store, rows.observe(seen, F.count_if(bad).alias("n_failed")).filter(~bad), seen, run, stat_date)
 
     return job
 

@@ -1,11 +1,14 @@
 """Runs of the ingest job: repeated, half done, over late days, and from a stream of dumps."""
 
+import json
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from estatelake.operators import ingest, merge
+from estatelake.plans import ingests
 from estatelake.plans.ingests import land, streamed_dumps
 from estatelake.sources.versions import VersionedTables
 from estatelake.streaming import listings as streams
@@ -110,3 +113,28 @@ def test_stream_of_dumps_is_the_batch_job(spark, folder):
     drop = lambda t: [F.col(c) for c in spark.read.parquet(*batch.entry()["tables"][t].values()).columns if c not in ("event_id", "scraped_at")]
     for t in ("state", "snapshots", "changes", "statistics"):
         assert stored(spark, streamed, t, *drop(t)) == stored(spark, batch, t, *drop(t))
+
+
+def test_a_directory_holds_many_dumps_in_order(spark, folder, monkeypatch):
+    """The stream lists each directory at every start; names have to be in the order of events, as later places overwrite earlier ones."""
+    monkeypatch.setattr(ingests, "ITEMS", 10)
+    monkeypatch.setattr(ingests, "SHELF", 30)
+    land(spark, SF, f"{folder}/landing", 1)
+    files = sorted(Path(folder, "landing").glob("step=1/*/*.txt"))
+    dumps = [json.loads(f.read_text()) for f in files]
+    times = [x["scrapedAt"] for d in dumps for x in d]
+    n = spark.read.parquet(f"{SF}/events.parquet")
+    wanted = [r[0] for r in n.filter("event_id % 3 = 1").orderBy("event_id").select(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")).collect()]
+    assert times == wanted and len(files) == n.selectExpr("event_id div 10").distinct().count()
+    assert len({f.parent for f in files}) == n.selectExpr("event_id div 300").distinct().count()
+
+
+def test_quarantine_is_counted_in_one_pass(spark, folder, monkeypatch):
+    """An item that no source claims is counted while the raw log is written, so no item is parsed for it again."""
+    Path(folder, "in").mkdir()
+    Path(folder, "in", "a.json").write_text(json.dumps([{"listingId": "1", "price": "5"}, {"title": "none"}, {"listingId": "2", "price": "6"}]))
+    store, given = VersionedTables(spark, f"{folder}/store", ingest.PARTS), []
+    real = ingest.ingest
+    monkeypatch.setattr(ingest, "ingest", lambda store, items, failed, *rest: given.append(failed) or real(store, items, failed, *rest))
+    streams.ingest_batch(store, datetime(2024, 2, 1), date(2024, 2, 1))(streams.dump_files(spark.read, f"{folder}/in"), 0)
+    assert not isinstance(given[0], int) and store.entry()["summary"]["n_failed"] == 1 and store.entry()["summary"]["n_new"] == 2
