@@ -56,7 +56,8 @@ def ingest(store: VersionedTables, items: DataFrame, n_failed: int | Observation
     their number (``n_failed``) while the items are written.
 
     Each table is written once, and what needs it reads what was written: the items
-    are those of the raw log.
+    are those of the raw log. Days are brought together before they are written, so
+    that a day's files grow with its rows, not with the tasks.
     """
     since = store.entry()
     if run_id in since["runs"]:
@@ -79,12 +80,12 @@ def ingest(store: VersionedTables, items: DataFrame, n_failed: int | Observation
 
     # The rows of a day are the run's where it has any, so stored and new ones are ranked together.
     ranked = store.read("snapshots", items.schema, days).withColumn("_new", F.lit(False)).unionByName(items.withColumn("_new", F.lit(True)))
-    written["snapshots"] = store.write("snapshots", last_per_key(ranked, _SNAPSHOTS, [F.desc("_new"), F.desc("event_id")]).drop("_new"))
+    written["snapshots"] = store.write("snapshots", last_per_key(ranked, _SNAPSHOTS, [F.desc("_new"), F.desc("event_id")]).drop("_new").hint("rebalance", "day"))
     rows = keep(last_per_key(items.select(*_SNAPSHOTS, "price", "event_id"), _SNAPSHOTS, [F.desc("event_id")]).drop("event_id"), "ingest-days")
     earlier = [d for d in store.values("snapshots") if d < max(days, default="")]
     changes = keep(as_of_changes(rows, store.read("snapshots", rows.schema, earlier)), "ingest-changes")
     stored = store.read("changes", changes.schema, days)
-    written["changes"] = store.write("changes", stored.join(rows.select(*_SNAPSHOTS), _SNAPSHOTS, "left_anti").unionByName(changes))
+    written["changes"] = store.write("changes", stored.join(rows.select(*_SNAPSHOTS), _SNAPSHOTS, "left_anti").unionByName(changes).hint("rebalance", "day"))
 
     statistics = market_statistics(state, STATISTICS_BY, stat_date=stat_date)
     others = store.read("statistics", statistics.schema, [str(stat_date)]).filter(~F.col("source").isin(sources))

@@ -129,6 +129,22 @@ def test_a_directory_holds_many_dumps_in_order(spark, folder, monkeypatch):
     assert len({f.parent for f in files}) == n.selectExpr("event_id div 300").distinct().count()
 
 
+def test_days_and_items_are_written_once(spark, store, monkeypatch):
+    """Few rows of a day are one file, whatever the tasks; only narrow tables are kept aside."""
+    kept, real = [], ingest.keep
+    monkeypatch.setattr(ingest, "keep", lambda df, name: kept.append(df.columns) or real(df, name))
+    many = items(spark, [("a", str(i), 1 + i % 3, 8 + j, float(i + d)) for i in range(60) for j in range(2) for d in range(2)]).repartition(8)
+    with_setting = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        ingest.ingest(store, many, 0, "one", date(2026, 1, 3))
+        ingest.ingest(store, many.withColumn("price", F.col("price") + 1), 0, "two", date(2026, 1, 4))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", with_setting)
+    assert {len([f for f in Path(p).glob("*.parquet")]) for p in store.entry()["tables"]["snapshots"].values()} == {1}
+    assert all("deal_type" not in columns for columns in kept)
+
+
 def test_quarantine_is_counted_in_one_pass(spark, folder, monkeypatch):
     """An item that no source claims is counted while the raw log is written, so no item is parsed for it again."""
     Path(folder, "in").mkdir()
