@@ -33,7 +33,8 @@ def as_of_changes(rows: DataFrame, stored: DataFrame) -> DataFrame:
     rows = rows.na.drop(subset=_SNAPSHOTS)
     marked = lambda df, new: df.select(*_SNAPSHOTS, "price", F.lit(new).alias("_new"))
     history = marked(stored.join(rows.select(*KEY).distinct(), KEY, "left_semi"), False).unionByName(marked(rows, True))
-    history = history.groupBy(*_SNAPSHOTS).agg(F.max_by("price", "_new").alias("price"), F.max("_new").alias("_new"))
+    # Dealt by listing, so that neither days nor histories are shuffled again.
+    history = history.repartition(*KEY).groupBy(*_SNAPSHOTS).agg(F.max_by("price", "_new").alias("price"), F.max("_new").alias("_new"))
     return price_changes(history, F.col("_new"))
 
 

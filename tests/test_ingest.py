@@ -154,3 +154,13 @@ def test_quarantine_is_counted_in_one_pass(spark, folder, monkeypatch):
     monkeypatch.setattr(ingest, "ingest", lambda store, items, failed, *rest: given.append(failed) or real(store, items, failed, *rest))
     streams.ingest_batch(store, datetime(2024, 2, 1), date(2024, 2, 1))(streams.dump_files(spark.read, f"{folder}/in"), 0)
     assert not isinstance(given[0], int) and store.entry()["summary"]["n_failed"] == 1 and store.entry()["summary"]["n_new"] == 2
+
+
+def test_histories_are_dealt_by_listing_alone(spark):
+    """Days of a listing are ranked where its history is, so nothing is shuffled by day."""
+    rows = items(spark, [("a", "1", 2, 8, 2.0), ("a", "1", 3, 8, 3.0)]).withColumn("day", F.to_date("scraped_at"))
+    stored_rows = items(spark, [("a", "1", 1, 8, 1.0), ("a", "1", 2, 9, 9.0), ("b", "1", 1, 8, 1.0)]).withColumn("day", F.to_date("scraped_at"))
+    changes = ingest.as_of_changes(rows, stored_rows)
+    plan = changes._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(source#" in plan and not any("day#" in x.split(")")[0] for x in plan.split("hashpartitioning(")[1:])
+    assert sorted(tuple(r)[2:5] for r in changes.collect()) == [(date(2026, 1, 2), 1.0, 2.0), (date(2026, 1, 3), 2.0, 3.0)]
