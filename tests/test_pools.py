@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from estatelake.operators import geo, valuation
+from estatelake.operators import geo, report, valuation
 
 
 @pytest.mark.parametrize("cap", [200, 7])
@@ -36,3 +36,23 @@ def test_equal_questions_meet_equal_rows_once(spark, monkeypatch):
     out = geo.geocode_streets(asked, held).collect()
     assert met.value <= 3 and len(out) == 120
     assert {(r["id"] % 2, r["street"], r["geo_lat"], r["matched"]) for r in out} == {(0, "Dlhá", 48.03, "house"), (1, "Dlhá", 48.0, "street")}
+
+
+def test_report_pools_are_a_row_for_each_listing_with_its_best(spark, monkeypatch):
+    monkeypatch.setattr(valuation, "PART_LISTINGS", 900)
+    i = F.col("id")
+    rows = spark.range(2600).select(
+        "id", F.when(i % 7 != 0, (i % 3).cast("string")).alias("layout"), F.when(i % 13 != 0, (i % 37 + 1).cast("int")).alias("area"), F.when(i % 11 != 0, F.round(1000 + F.pmod(F.hash("id"), F.lit(9000)) / 7, 2)).alias("price"), (i % 4 != 0).alias("active"),
+        F.lit("C").alias("city"), F.when(i % 100 == 0, (i % 3).cast("string")).when(i % 19 != 0, "D").alias("district"), F.when(i % 5 != 0, "house").alias("category"), F.lit("buy").alias("deal_type"), F.concat(F.lit("l"), "id").alias("locality"), F.concat(F.lit("u"), "id").alias("url"),
+    ).cache()
+    pools = lambda df: valuation.comparables(df).drop(*valuation.SEGMENT)
+    pairs = valuation.widened(pools(rows), pools(rows.withColumn("district", F.col("city")))).cache()
+    made = report.pools(rows).cache()
+    assert made.count() == made.select("id").distinct().count() == pairs.select("id").distinct().count() > 2000
+    told = lambda df: sorted(map(repr, map(tuple, df.collect())))
+    want = valuation.value_listings(pairs)
+    assert told(valuation.valued(made)) == told(want)
+    names = ["o_id", "o_layout", "o_area", "o_price", "o_sqm", "similarity"]
+    got = made.select("id", F.posexplode("best").alias("n", "b"))
+    assert told(got.select("id", F.col("n") + 1, *[F.col("b")[c] for c in names])) == told(valuation.best_comparables(pairs).select("id", "rank", *names))
+    assert got.filter("b.o_url <> concat('u', b.o_id) OR b.o_locality <> concat('l', b.o_id)").count() == 0 < got.count()
