@@ -18,8 +18,8 @@ NUMERIC = ["layout_code", "area", "land_area", "lat", "lon", "n", "median_price"
 PHOTO = ["photo_image_quality", "photo_brightness", "photo_sharpness"]
 #: What a request may leave to the market.
 MARKET = ["n", "median_price", "median_sqm"]
-#: Rows of a partition in training, about.
-PARTITION_ROWS = 50_000
+#: Rows of a partition in training: at least, about, and at most.
+PARTITION_ROWS, MOST_ROWS = 50_000, 4_000_000
 #: The order of layouts by rooms.
 LAYOUTS = {"atypical": 0, "1+kk": 1, "1+1": 2, "2+kk": 3, "2+1": 4, "3+kk": 5, "3+1": 6, "4+kk": 7, "4+1": 8, "5+kk": 9, "5+1": 10, "6+kk": 11, "6+1": 12}
 
@@ -78,8 +78,15 @@ def build_features(snapshots: DataFrame, stats: DataFrame, target: str) -> DataF
 
 def metrics(scored: DataFrame, target: str = "target", prediction: str = "prediction") -> dict[str, float]:
     """mae, rmse and r2 of predictions on the price scale; rows without either don't count."""
-    known = scored.select(F.col(target).cast("double").alias("target"), F.col(prediction).cast("double").alias("prediction")).na.drop()
-    return {m: RegressionEvaluator(labelCol="target", metricName=m).evaluate(known) for m in ("mae", "rmse", "r2")}
+    known = scored.select(F.col(target).cast("double").alias("target"), F.col(prediction).cast("double").alias("prediction")).na.drop().persist()
+    out = {m: RegressionEvaluator(labelCol="target", metricName=m).evaluate(known) for m in ("mae", "rmse", "r2")}
+    known.unpersist()
+    return out
+
+
+def training_parts(rows: int, cores: int) -> int:
+    """As many as there are cores, or a multiple of it: each tree costs a job for each level, and a partition more than the cores would double its time; fewer for few rows."""
+    return max(1, min(rows // PARTITION_ROWS, cores * max(1, -(-rows // (cores * MOST_ROWS)))))
 
 
 def train(frame: DataFrame, seed: int = 42, rounds: int = 200, depth: int = 5, photos: bool = False, sample: float = 0.9) -> tuple[PipelineModel, dict[str, float]]:
@@ -89,16 +96,15 @@ def train(frame: DataFrame, seed: int = 42, rounds: int = 200, depth: int = 5, p
     number is no limit; missing numbers are the median. photos: the model reads
     the photo columns too. sample: share of the rows that a tree sees. A column without a value is left out.
     """
-    rows = frame.filter(F.col("target").isNotNull())
-    numbers = [c for c in [*NUMERIC, *PHOTO * photos] if c in frame.columns]
-    counts = rows.agg(F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(c) for c in numbers]).first()
+    # Read many times, so written once, before the rows are counted.
+    asked, names = [c for c in [*NUMERIC, *PHOTO * photos] if c in frame.columns], [c for c in CATEGORICAL if c in frame.columns]
+    rows = keep(frame.filter(F.col("target").isNotNull()).withColumns({c: F.col(c).cast("double") for c in asked}).withColumn("log_target", F.log1p("target")).select(*names, *asked, "target", "log_target"), "training")
+    counts = rows.agg(F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(c) for c in asked]).first()
     if counts["rows"] < 5:
         raise ValueError(f"5 rows are needed to train, not {counts['rows']}")
-    numbers, names = [c for c in numbers if counts[c]], [c for c in CATEGORICAL if c in frame.columns]
-    rows = rows.withColumns({c: F.col(c).cast("double") for c in numbers}).withColumn("log_target", F.log1p("target")).select(*names, *numbers, "target", "log_target")
-    # Read many times, so written once; each tree costs a job for each level, so partitions aren't more than the rows need.
-    rows = keep(rows.repartition(max(1, counts["rows"] // PARTITION_ROWS)), "training")
-    fit, held = rows.randomSplit([0.8, 0.2], seed) if counts["rows"] >= 20 else (rows, rows)
+    numbers = [c for c in asked if counts[c]]
+    rows = rows.select(*names, *numbers, "target", "log_target").repartition(training_parts(counts["rows"], rows.sparkSession.sparkContext.defaultParallelism))
+    fit, held = [part.persist() for part in (rows.randomSplit([0.8, 0.2], seed) if counts["rows"] >= 20 else (rows, rows))]
     indexer = StringIndexer(inputCols=names, outputCols=[f"{c}_index" for c in names], handleInvalid="keep", stringOrderType="alphabetAsc").fit(fit)
     # A new column, without what says that it holds categories: trees then split it as a number.
     order = [f"CASE WHEN {c}_index < {len(labels)} THEN {c}_index ELSE -1D END AS {c}_order" for c, labels in zip(names, indexer.labelsArray, strict=True)]
@@ -107,8 +113,10 @@ def train(frame: DataFrame, seed: int = 42, rounds: int = 200, depth: int = 5, p
         ready = PipelineModel(steps).transform(fit)
         steps.append(stage.fit(ready) if hasattr(stage, "fit") else stage)
     model = PipelineModel(steps)
-    scored = model.transform(held).withColumn("prediction", F.expm1("prediction"))
-    return model, metrics(scored)
+    found = metrics(model.transform(held).withColumn("prediction", F.expm1("prediction")))
+    for part in (fit, held):
+        part.unpersist()
+    return model, found
 
 
 def score(model: PipelineModel | None, requests: DataFrame, target: str = "sale_price_per_sqm") -> DataFrame:

@@ -249,3 +249,15 @@ def test_stale_listing_seen_again(spark, folder):
 
 def test_picked_list_drops_the_subject(spark):
     assert [r["id"] for r in search.in_given_order(spark.range(5), [3, 2, 9, 1], subject=2).collect()] == [3, 1]
+
+
+def test_training_makes_its_rows_once_and_deals_them_to_all_cores(spark):
+    made, df = spark.sparkContext.accumulator(0), frame(spark, 90, 4)
+
+    def sized(i):
+        made.add(1)
+        return float(20 + i % 90)
+
+    features.train(df.withColumn("area", F.udf(sized, "double").asNondeterministic()("snapshot_id")), rounds=1, depth=2)
+    assert made.value == 90
+    assert [features.training_parts(n, 12) for n in (90, 200_000, 3_200_000, 19_400_000, 100_000_000)] == [1, 4, 12, 12, 36]
